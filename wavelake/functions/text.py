@@ -28,13 +28,25 @@ def fold(text: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFD", text) if unicodedata.category(ch) != "Mn")
 
 
-def _fold_col(c: Column, rules: Rules) -> Column:
-    # translate() with the accented letters that occur in the rule phrases and
-    # their base letters; plain built-in expression, no UDF
-    accented = sorted({ch for phrase, _ in rules for ch in phrase if fold(ch) != ch})
-    if not accented:
-        return c
-    return F.translate(c, "".join(accented), "".join(fold(ch) for ch in accented))
+def _latin_accents() -> tuple[str, str]:
+    """Accented Latin letters (Latin-1 and Latin Extended-A blocks) and their
+    base letters, generated from Unicode decomposition."""
+    src, dst = [], []
+    for code in range(0x00C0, 0x0180):
+        ch = chr(code)
+        base = fold(ch)
+        if base != ch and len(base) == 1 and base.isascii():
+            src.append(ch)
+            dst.append(base)
+    return "".join(src), "".join(dst)
+
+
+_ACCENTS = _latin_accents()
+
+
+def _fold_col(c: Column) -> Column:
+    # one translate() call: built-in, stays in codegen
+    return F.translate(c, _ACCENTS[0], _ACCENTS[1])
 
 
 def ordered_rules(c: str | Column, rules: Rules, fallback: str | Column | None = "trimmed",
@@ -47,7 +59,7 @@ def ordered_rules(c: str | Column, rules: Rules, fallback: str | Column | None =
     probe = F.lower(original)
     phrases = [(p.lower(), code) for p, code in rules]
     if fold_accents:
-        probe = _fold_col(probe, rules)
+        probe = _fold_col(probe)
         phrases = [(fold(p), code) for p, code in phrases]
     if isinstance(fallback, Column):
         out = fallback
