@@ -1,0 +1,60 @@
+"""End-to-end medallion job: bronze editions -> silver -> gold, persisted.
+
+Each layer is written as wave-partitioned Parquet below ``root`` (a shared
+folder, e.g. under ``spark.checkpoint.dir`` or the lake) and the next layer
+reads the written files back.  That cuts the lineage at every layer, so a lost
+executor recomputes at most one layer from files, never from the raw CSVs, and
+every check or report re-reads compact Parquet instead of re-running the job.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.catalog import register_views
+from ..sources.parquet import read_table, write_partitioned
+from . import gold, silver
+from .config import Questionnaire
+
+SILVER = ("entities", "selections", "answers")
+GOLD = ("profile", "pay", "technologies", "gold_answers")
+
+
+def _rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns]) if names else df
+
+
+def _persist(df: DataFrame, path: str, wave: str, names: Mapping[str, str]) -> DataFrame:
+    write_partitioned(_rename(df, names), path, [names.get(wave, wave)])
+    back = read_table(df.sparkSession, path)
+    inverse = {v: k for k, v in names.items()}
+    # restore the engine's column names and order for the next layer
+    return _rename(back, inverse).select(*df.columns)
+
+
+def run(spark: SparkSession, q: Questionnaire, bronze: Mapping[str, DataFrame], root: str,
+        table_names: Mapping[str, str] | None = None,
+        output_names: Mapping[str, Mapping[str, str]] | None = None) -> dict[str, DataFrame]:
+    """Build, write and register all seven tables; returns them as read back.
+
+    ``table_names`` name the registered views / folders; ``output_names``
+    rename stored columns per table (e.g. to a legacy schema)."""
+    table_names = dict(table_names or {k: k for k in SILVER + GOLD})
+    output_names = output_names or {}
+    root = root.rstrip("/")
+    out: dict[str, DataFrame] = {}
+    builders = {"entities": silver.entities, "selections": silver.selections, "answers": silver.answers}
+    for key in SILVER:
+        out[key] = _persist(builders[key](q, bronze), f"{root}/silver/{table_names[key]}", q.wave_name,
+                            output_names.get(key, {}))
+    gold_frames = {"profile": gold.profile(q, out["entities"]), "pay": gold.pay(q, out["entities"]),
+                   "technologies": gold.technologies(q, out["selections"]),
+                   "gold_answers": gold.answers(q, out["answers"])}
+    for key in GOLD:
+        out[key] = _persist(gold_frames[key], f"{root}/gold/{table_names[key]}", q.wave_name,
+                            output_names.get(key, {}))
+    register_views({table_names[k]: _rename(df, output_names.get(k, {})) for k, df in out.items()})
+    return out
