@@ -49,3 +49,36 @@ def is_selected(c: str | Column, value: float = 1.0) -> Column:
 def not_blank(c: str | Column) -> Column:
     col = as_col(c)
     return col.isNotNull() & (F.trim(col) != "")
+
+
+# --- the same helpers as SQL expression text --------------------------------
+# Wide projections (hundreds of questionnaire columns) are built as one
+# ``selectExpr`` call instead of several Py4J calls per column; Catalyst
+# receives the identical expressions.
+
+def ident(name: str) -> str:
+    """Back-quoted identifier for any header text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_str(value: str) -> str:
+    """Spark SQL string literal (backslash escapes are on by default)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def clean_text_sql(expr: str) -> str:
+    return f"NULLIF(trim(CAST({expr} AS STRING)), '')"
+
+
+def tolerant_int_sql(expr: str) -> str:
+    text = f"trim(CAST({expr} AS STRING))"
+    return f"COALESCE(TRY_CAST({text} AS INT), TRY_CAST(TRY_CAST({text} AS DOUBLE) AS INT))"
+
+
+def tolerant_long_sql(expr: str) -> str:
+    text = f"trim(CAST({expr} AS STRING))"
+    return f"COALESCE(TRY_CAST({text} AS BIGINT), TRY_CAST(TRY_CAST({text} AS DOUBLE) AS BIGINT))"
+
+
+def is_selected_sql(expr: str, value: float = 1.0) -> str:
+    return f"COALESCE(TRY_CAST(trim(CAST({expr} AS STRING)) AS DOUBLE) = {float(value)!r}D, false)"

@@ -74,6 +74,21 @@ def ordered_rules(c: str | Column, rules: Rules, fallback: str | Column | None =
     return out
 
 
+def ordered_rules_sql(expr: str, rules: Rules, fold_accents: bool = False) -> str:
+    """``ordered_rules`` as SQL text (first match wins, else trim(expr))."""
+    from .columns import sql_str
+    original = f"trim(CAST({expr} AS STRING))"
+    probe = f"lower({original})"
+    phrases = [(p.lower(), code) for p, code in rules]
+    if fold_accents:
+        probe = f"translate({probe}, {sql_str(_ACCENTS[0])}, {sql_str(_ACCENTS[1])})"
+        phrases = [(fold(p), code) for p, code in phrases]
+    if not phrases:
+        return original
+    whens = " ".join(f"WHEN contains({probe}, {sql_str(p)}) THEN {sql_str(c)}" for p, c in phrases)
+    return f"CASE {whens} ELSE {original} END"
+
+
 def alias(c: str | Column, mapping: Mapping[str, str]) -> Column:
     """Exact-match rename after trimming; values not in the table pass through."""
     trimmed = F.trim(as_col(c).cast("string"))

@@ -17,9 +17,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import is_selected, not_blank, safe_col
-from ..functions.text import ordered_rules
-from .multiselect import Option, _id_expr, _wave_expr, options_frame
+from ..functions.columns import ident, is_selected_sql
+from ..functions.text import ordered_rules_sql
+from .multiselect import Option, _id_sql, _with_wave_sql, options_frame
 
 
 @dataclass(frozen=True)
@@ -41,22 +41,27 @@ def answers_long(df: DataFrame, id_col: str, wave: int | str | Column, categoric
     slots = [f"_f{i}" for i in range(n_cat + len(flags))]
     meta_opts = [Option(c.header, {**c.values, "_kind": "c"}) for c in categorical] + \
                 [Option(o.header, {**o.values, "_kind": "f"}) for o in flags]
-    base = df.select(
-        _id_expr(id_col, blank_as_null).alias(id_name),
-        _wave_expr(wave).alias(wave_name),
-        *[safe_col(o.header).cast("string").alias(s) for o, s in zip(meta_opts, slots)],
-    )
-    long = base.unpivot([id_name, wave_name], slots, "_slot", "_v").filter(F.col(id_name).isNotNull())
+    df, wave_sql = _with_wave_sql(df, wave)
+    base = df.selectExpr(
+        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
+        *[f"CAST({ident(o.header)} AS STRING) AS {s}" for o, s in zip(meta_opts, slots)])
+    long = base.unpivot([id_name, wave_name], slots, "_slot", "_v").filter(f"{ident(id_name)} IS NOT NULL")
     meta = F.broadcast(options_frame(df.sparkSession, meta_opts, [*columns, "_kind"]))
     joined = long.join(meta, "_slot")
-    text_ok = not_blank("_v") if blank_as_null else F.col("_v").isNotNull()
-    keep = F.when(F.col("_kind") == "f", is_selected("_v")).otherwise(text_ok)
-    code = F.lit(None).cast("string")
-    for i, c in reversed(list(enumerate(categorical))):
-        code = F.when(F.col("_slot") == f"_f{i}", ordered_rules("_v", c.rules, fold_accents=fold_accents)) \
-            .otherwise(code)
-    answer = F.when(F.col("_kind") == "f", F.col(answer_name)).otherwise(code)
-    original = F.when(F.col("_kind") == "f", F.col(original_name)).otherwise(F.trim(F.col("_v")))
-    out_cols = [answer.alias(c) if c == answer_name else original.alias(c) if c == original_name else F.col(c)
-                for c in columns]
-    return joined.filter(keep).select(id_name, wave_name, *out_cols)
+    text_ok = "NULLIF(trim(_v), '') IS NOT NULL" if blank_as_null else "_v IS NOT NULL"
+    keep = f"CASE WHEN _kind = 'f' THEN {is_selected_sql('_v')} ELSE {text_ok} END"
+    if categorical:
+        code = "CASE " + " ".join(
+            f"WHEN _slot = '_f{i}' THEN {ordered_rules_sql('_v', c.rules, fold_accents)}"
+            for i, c in enumerate(categorical)) + " END"
+    else:
+        code = "CAST(NULL AS STRING)"
+    exprs = []
+    for c in columns:
+        if c == answer_name:
+            exprs.append(f"CASE WHEN _kind = 'f' THEN {ident(c)} ELSE {code} END AS {ident(c)}")
+        elif c == original_name:
+            exprs.append(f"CASE WHEN _kind = 'f' THEN {ident(c)} ELSE trim(_v) END AS {ident(c)}")
+        else:
+            exprs.append(ident(c))
+    return joined.filter(keep).selectExpr(ident(id_name), ident(wave_name), *exprs)

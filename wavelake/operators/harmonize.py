@@ -13,9 +13,8 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.columns import clean_text, safe_col, tolerant_int, tolerant_long
+from ..functions.columns import clean_text_sql, ident, tolerant_int_sql, tolerant_long_sql
 
 TEXT = "text"        # trim, blank -> NULL
 RAW = "raw"          # as string, untouched
@@ -29,15 +28,15 @@ class Field:
     kind: str = TEXT
 
 
-def _convert(col: Column, kind: str) -> Column:
+def _convert(expr: str, kind: str) -> str:
     if kind == TEXT:
-        return clean_text(col)
+        return clean_text_sql(expr)
     if kind == INT:
-        return tolerant_int(col)
+        return tolerant_int_sql(expr)
     if kind == LONG:
-        return tolerant_long(col)
+        return tolerant_long_sql(expr)
     if kind == RAW:
-        return col.cast("string")
+        return f"CAST({expr} AS STRING)"
     raise ValueError(f"unknown field kind {kind!r}")
 
 
@@ -55,14 +54,16 @@ def harmonize(df: DataFrame, fields: Sequence[Field], mapping: Mapping[str, str]
     if absent:
         raise ValueError(f"headers not in the input: {absent}")
     if isinstance(wave, Column):
-        wave_col = wave
+        df = df.withColumn("__wave", wave)
+        wave_sql = "`__wave`"
     elif isinstance(wave, str):
-        wave_col = tolerant_int(safe_col(wave))
+        wave_sql = tolerant_int_sql(ident(wave))
     else:
-        wave_col = F.lit(int(wave))
-    cols = [_convert(safe_col(mapping[f.name]), f.kind).alias(f.name) for f in fields]
-    cols.insert(wave_position, wave_col.cast("int").alias(wave_name))
-    return df.select(*cols)
+        wave_sql = str(int(wave))
+    exprs = [f"{_convert(ident(mapping[f.name]), f.kind)} AS {ident(f.name)}" for f in fields]
+    exprs.insert(wave_position, f"CAST({wave_sql} AS INT) AS {ident(wave_name)}")
+    # one selectExpr for the whole mapped schema (one JVM call, same plan)
+    return df.selectExpr(*exprs)
 
 
 def union_waves(parts: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

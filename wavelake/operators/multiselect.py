@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import clean_text, is_selected, safe_col, tolerant_int
+from ..functions.columns import (clean_text, clean_text_sql, ident, is_selected_sql, safe_col, tolerant_int,
+                                 tolerant_int_sql)
 from ..functions.text import alias_py, classify_py
 from . import discover
 
@@ -45,6 +46,19 @@ def _wave_expr(wave: int | str | Column) -> Column:
     return F.lit(int(wave)).cast("int")
 
 
+def _id_sql(id_col: str, blank_as_null: bool) -> str:
+    return clean_text_sql(ident(id_col)) if blank_as_null else f"trim(CAST({ident(id_col)} AS STRING))"
+
+
+def _with_wave_sql(df: DataFrame, wave: int | str | Column) -> tuple[DataFrame, str]:
+    """The wave as SQL text over ``df`` (a Column wave is added first)."""
+    if isinstance(wave, Column):
+        return df.withColumn("__wave", wave.cast("int")), "`__wave`"
+    if isinstance(wave, str):
+        return df, tolerant_int_sql(ident(wave))
+    return df, f"CAST({int(wave)} AS INT)"
+
+
 def options_frame(spark: SparkSession, options: Sequence[Option], columns: Sequence[str]) -> DataFrame:
     if len(options) > MAX_OPTIONS:
         raise ValueError(f"{len(options)} option columns exceed the broadcast bound {MAX_OPTIONS}")
@@ -56,24 +70,23 @@ def options_frame(spark: SparkSession, options: Sequence[Option], columns: Seque
 
 def flags_to_long(df: DataFrame, id_col: str, wave: int | str | Column, options: Sequence[Option],
                   columns: Sequence[str], id_name: str = "entity_id", wave_name: str = "wave",
-                  selected: Callable[[Column], Column] = is_selected,
-                  blank_as_null: bool = True) -> DataFrame:
+                  selected_value: float = 1.0, blank_as_null: bool = True) -> DataFrame:
     """Selected options as rows ``(id_name, wave_name, *columns)``.
 
-    ``columns`` are the metadata keys carried by every ``Option.values``."""
+    ``columns`` are the metadata keys carried by every ``Option.values``; a
+    cell is selected when it parses to ``selected_value``."""
     if not options:
         raise ValueError("no option columns")
     spark = df.sparkSession
     slots = [f"_f{i}" for i in range(len(options))]
-    base = df.select(
-        _id_expr(id_col, blank_as_null).alias(id_name),
-        _wave_expr(wave).alias(wave_name),
-        *[safe_col(o.header).cast("string").alias(s) for o, s in zip(options, slots)],
-    )
+    df, wave_sql = _with_wave_sql(df, wave)
+    base = df.selectExpr(
+        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
+        *[f"CAST({ident(o.header)} AS STRING) AS {s}" for o, s in zip(options, slots)])
     long = (base.unpivot([id_name, wave_name], slots, "_slot", "_flag")
-            .filter(F.col(id_name).isNotNull() & selected(F.col("_flag"))))
+            .filter(f"{ident(id_name)} IS NOT NULL AND {is_selected_sql('_flag', selected_value)}"))
     meta = F.broadcast(options_frame(spark, options, columns))
-    return long.join(meta, "_slot").select(id_name, wave_name, *[F.col(c) for c in columns])
+    return long.join(meta, "_slot").select(id_name, wave_name, *columns)
 
 
 # --- option builders (plan time, from the header only) ---------------------

@@ -22,12 +22,16 @@ with DataFrame operations over the whole tables.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bands import BandSpec
 from ..operators.discover import TUPLE, UNDERSCORE
 from ..operators.harmonize import INT, LONG, TEXT, Field
+from ..functions.columns import ident, sql_str
+from ..session import checkpoint_dir, path_exists
 from .config import CategoricalQuestion, CodedBlock, Edition, Questionnaire
 
 # Fixed values of the virtual questionnaire (its option lists and labels).
@@ -48,6 +52,9 @@ PRIORITY_RULES = [("not specified", "not_specified"), ("specified", "specified")
 STATUS_RULES = [('"split"', "partial_split"), ("fulfilled", "fulfilled"), ("partial", "partial")]
 CLASS_RULES = [("no return", "no_use"), ("other", "other_answer")]
 
+# bump when the derivation of the stored base changes
+BASE_VERSION = "base-v2"
+
 E1, E2, E3 = "e1", "e2", "e3"
 # first wave of editions 2 and 3; every earlier wave is edition 1, every later one edition 3
 EDITION_START = {E2: 1997, E3: 1999}
@@ -198,14 +205,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _band_text(price: Column) -> Column:
-    labels = band_labels()
-    out = F.lit(labels[-1])
-    for edge, label in reversed(list(zip(BAND_EDGES, labels))):
-        out = F.when(price <= F.lit(float(edge)), F.lit(label)).otherwise(out)
-    return out
-
-
 def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag",
                                                  "l_linestatus", "l_discount")
@@ -226,29 +225,57 @@ def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _flag_columns() -> dict[str, Column]:
-    """Per order, 0/1 for every option: ``max`` of the line's match."""
-    def hit(cond: Column) -> Column:
-        return F.max(F.when(cond, 1).otherwise(0))
-    cols = {}
-    for i, t in enumerate(PART_TYPES + ["OTHER"]):
-        cols[f"type_{i}"] = hit(F.col("f_type") == t)
-    for i, t in enumerate(PART_ITEMS + [OTHER]):
-        cols[f"item_{i}"] = hit(F.col("f_item") == t)
-    for i, t in enumerate(PART_COLORS + [OTHER]):
-        cols[f"color_{i}"] = hit(F.col("f_color") == t)
-    for i, t in enumerate(list(RETURN_LABELS) + ["?"]):
-        cols[f"return_{i}"] = hit(F.col("f_return") == t)
-    for n in BRAND_CODES:
-        cols[f"brand_f_{n}"] = hit((F.col("f_brand") == n) & (F.col("f_status") == "F"))
-        cols[f"brand_o_{n}"] = hit((F.col("f_brand") == n) & (F.col("f_status") != "F"))
-    for n in DISCOUNT_LEVELS:
-        cols[f"discount_{n}"] = hit(F.col("f_discount") == n)
-    return cols
+def _option_bits() -> dict[str, tuple[str, int]]:
+    """Every 0/1 option of the virtual form -> (mask column, bit).  Two long
+    masks hold all options; a line sets the bits of its options."""
+    keys = ([f"type_{i}" for i in range(len(PART_TYPES) + 1)] + [f"item_{i}" for i in range(len(PART_ITEMS) + 1)] +
+            [f"color_{i}" for i in range(len(PART_COLORS) + 1)] + [f"return_{i}" for i in range(len(RETURN_LABELS) + 1)] +
+            [f"discount_{n}" for n in DISCOUNT_LEVELS])
+    bits = {k: ("mask_a", i) for i, k in enumerate(keys)}
+    brands = [f"brand_f_{n}" for n in BRAND_CODES] + [f"brand_o_{n}" for n in BRAND_CODES]
+    bits.update({k: ("mask_b", i) for i, k in enumerate(brands)})
+    assert len(keys) <= 63 and len(brands) <= 63
+    return bits
+
+
+def _line_masks(lines: DataFrame) -> DataFrame:
+    """Per line, the two option bitmasks (pure expressions)."""
+    def bit(i: int) -> Column:
+        return F.shiftleft(F.lit(1).cast("long"), i)
+    bits = _option_bits()
+
+    def index_of(values, col, keys):
+        out = F.lit(0).cast("long")
+        for v, k in zip(values, keys):
+            out = F.when(col == v, bit(bits[k][1])).otherwise(out)
+        return out
+
+    def numbered(prefix, n):
+        return [f"{prefix}_{i}" for i in range(n)]
+    parts = [index_of(PART_TYPES + ["OTHER"], F.col("f_type"), numbered("type", len(PART_TYPES) + 1)),
+             index_of(PART_ITEMS + [OTHER], F.col("f_item"), numbered("item", len(PART_ITEMS) + 1)),
+             index_of(PART_COLORS + [OTHER], F.col("f_color"), numbered("color", len(PART_COLORS) + 1)),
+             index_of(list(RETURN_LABELS) + ["?"], F.col("f_return"), numbered("return", len(RETURN_LABELS) + 1)),
+             index_of(list(DISCOUNT_LEVELS), F.col("f_discount"), [f"discount_{n}" for n in DISCOUNT_LEVELS])]
+    mask_a = parts[0]
+    for p in parts[1:]:
+        mask_a = mask_a.bitwiseOR(p)
+    first_o = bits["brand_o_1"][1]
+    brand_shift = F.col("f_brand") - F.lit(1) + F.when(F.col("f_status") == "F", F.lit(0)) \
+        .when(F.col("f_status").isNotNull(), F.lit(first_o))
+    mask_b = F.coalesce(F.call_function("shiftleft", F.lit(1).cast("long"), brand_shift), F.lit(0).cast("long"))
+    return lines.select("l_orderkey", mask_a.alias("mask_a"), mask_b.alias("mask_b"))
+
+
+def flag_column(key: str) -> Column:
+    """0/1 of one option, read from the order's masks (NULL masks: no lines)."""
+    mask, i = _option_bits()[key]
+    return F.coalesce(F.shiftright(F.col(mask), i).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
 
 
 def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
-    """One row per order with typed attributes and (optionally) 0/1 flags."""
+    """One row per order with typed attributes and (optionally) the two
+    option bitmasks of its lines."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                    "o_orderdate", "o_orderpriority")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -259,82 +286,126 @@ def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) ->
     base = (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(nation, customer.c_nationkey == nation.n_nationkey)
             .join(region, nation.n_regionkey == region.r_regionkey)
-            .withColumn("wave", F.year("o_orderdate")))
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+                    "c_acctbal", "c_mktsegment", "n_name", "r_name", F.year("o_orderdate").alias("wave")))
     if not with_flags:
         return base
-    flags = _line_features(spark, sf_dir).groupBy("l_orderkey").agg(
-        *[c.alias(k) for k, c in _flag_columns().items()])
-    return base.join(flags, base.o_orderkey == flags.l_orderkey, "left")
+    # two bit_or aggregates per order instead of one aggregate per option;
+    # partial aggregation runs map-side, the shuffle is on the order key
+    flags = _line_masks(_line_features(spark, sf_dir)).groupBy("l_orderkey").agg(
+        F.bit_or("mask_a").alias("mask_a"), F.bit_or("mask_b").alias("mask_b"))
+    return base.join(flags, base.o_orderkey == flags.l_orderkey, "left").drop("l_orderkey")
+
+
+def _input_key(spark: SparkSession, sf_dir: str, with_flags: bool) -> str:
+    """Identity of the inputs (paths, sizes, modification times) and of this
+    derivation, so a stored base is reused only for the same data."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [BASE_VERSION, str(with_flags)]
+    for name in ("orders", "customer", "nation", "region", "lineitem", "part"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        for st in fs.listStatus(path):
+            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:20]
+
+
+def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
+    """The response base written once as Parquet below the shared checkpoint
+    folder (the bronze layer of the virtual form) and read back by every
+    edition and query.  It cuts the lineage: the three editions and all
+    silver queries scan this compact table instead of re-deriving it from
+    lineitem each time."""
+    root = checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, with_flags)}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        base_responses(spark, sf_dir, with_flags).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _flag_sql(key: str) -> str:
+    mask, i = _option_bits()[key]
+    return f"COALESCE(shiftright({mask}, {i}) & 1, 0) = 1"
+
+
+def _flag_text(edition: str, key: str) -> str:
+    on = _flag_sql(key)
+    yes, no = {E1: ("'1'", "'0'"), E2: ("'1.0'", "'0.0'")}.get(edition, ("'1'", "''"))
+    return f"CASE WHEN {on} THEN {yes} ELSE {no} END"
+
+
+def _age_text(edition: str) -> str:
+    age = "CAST(20 + floor((c_acctbal + 1000.0D) / 250.0D) AS INT)"
+    shown = f"format_string('%d.0', {age})" if edition == E2 else f"CAST({age} AS STRING)"
+    missing = "'n/a'" if edition == E3 else "''"
+    return f"CASE WHEN c_acctbal < 0 THEN {missing} ELSE {shown} END"
+
+
+def _pay_text(edition: str) -> str:
+    labels = band_labels()
+    whens = " ".join(f"WHEN o_totalprice <= {float(edge)!r}D THEN {sql_str(label)}"
+                     for edge, label in zip(BAND_EDGES, labels))
+    text = f"CASE {whens} ELSE {sql_str(labels[-1])} END"
+    if edition in MISPRINTS:
+        good, bad = MISPRINTS[edition]
+        text = f"replace({text}, {sql_str(good)}, {sql_str(bad)})"
+    return f"CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {sql_str(NO_BAND)} ELSE {text} END"
 
 
-def _flag_text(edition: str, col: Column) -> Column:
-    on = F.coalesce(col, F.lit(0)) == 1
-    if edition == E1:
-        return F.when(on, "1").otherwise("0")
-    if edition == E2:
-        return F.when(on, "1.0").otherwise("0.0")
-    return F.when(on, "1").otherwise("")
+def _status_text() -> str:
+    whens = " ".join(f"WHEN o_orderstatus = {sql_str(k)} THEN {sql_str(v)}" for k, v in STATUS_TEXT.items())
+    return f"CASE {whens} END"
 
 
-def _age_text(edition: str) -> Column:
-    bal = F.col("c_acctbal")
-    age = (F.lit(20) + F.floor((bal + F.lit(1000.0)) / F.lit(250.0))).cast("int")
+def edition_filter_sql(edition: str) -> str:
+    if edition == E1:
+        return f"wave < {EDITION_START[E2]}"
     if edition == E2:
-        shown = F.format_string("%d.0", age)
-    else:
-        shown = age.cast("string")
-    missing = F.lit("n/a") if edition == E3 else F.lit("")
-    return F.when(bal < 0, missing).otherwise(shown)
-
-
-def _pay_text(edition: str) -> Column:
-    text = _band_text(F.col("o_totalprice"))
-    if edition in MISPRINTS:
-        good, bad = MISPRINTS[edition]
-        text = F.replace(text, F.lit(good), F.lit(bad))
-    return F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(NO_BAND)).otherwise(text)
+        return f"wave >= {EDITION_START[E2]} AND wave < {EDITION_START[E3]}"
+    return f"wave >= {EDITION_START[E3]}"
 
 
 def bronze_edition(base: DataFrame, edition: str, parts: tuple[str, ...] = ("profile", "flags")) -> DataFrame:
-    """The wide, all-string layout of one edition (its waves only)."""
+    """The wide, all-string layout of one edition (its waves only), built as
+    one projection of the response base."""
     pm = _profile_map(edition)
-    cols = [F.col("o_custkey").cast("string").alias(_id_header(edition)),
-            F.col("wave").cast("string").alias(_wave_header(edition))]
+    cols = [f"CAST(o_custkey AS STRING) AS {ident(_id_header(edition))}",
+            f"CAST(wave AS STRING) AS {ident(_wave_header(edition))}"]
     if "profile" in parts or "answers" in parts:
-        cols.append(F.col("o_orderpriority").alias(pm["priority"]))
+        cols.append(f"o_orderpriority AS {ident(pm['priority'])}")
     if "profile" in parts:
-        segment = F.concat(F.col("c_mktsegment"), F.lit(" ")) if edition == E2 else F.col("c_mktsegment")
-        cols += [F.col("o_orderkey").cast("string").alias(pm["response_id"]),
-                 _age_text(edition).alias(pm["age"]), segment.alias(pm["segment"]),
-                 F.col("n_name").alias(pm["nation"]), F.col("r_name").alias(pm["region"]),
-                 F.col("o_orderstatus").alias(pm["status"]), _pay_text(edition).alias(pm["pay_band"])]
+        segment = "concat(c_mktsegment, ' ')" if edition == E2 else "c_mktsegment"
+        cols += [f"CAST(o_orderkey AS STRING) AS {ident(pm['response_id'])}",
+                 f"{_age_text(edition)} AS {ident(pm['age'])}", f"{segment} AS {ident(pm['segment'])}",
+                 f"n_name AS {ident(pm['nation'])}", f"r_name AS {ident(pm['region'])}",
+                 f"o_orderstatus AS {ident(pm['status'])}", f"{_pay_text(edition)} AS {ident(pm['pay_band'])}"]
     if "answers" in parts and _status_header(edition):
-        status = F.col("o_orderstatus")
-        text = F.lit(None).cast("string")
-        for k, v in reversed(list(STATUS_TEXT.items())):
-            text = F.when(status == k, F.lit(v)).otherwise(text)
-        cols.append(text.alias(_status_header(edition)))
+        cols.append(f"{_status_text()} AS {ident(_status_header(edition))}")
     if "flags" in parts:
         prefixes, labels = _prefixes(edition), _labels(edition)
         keys = {"part_type": "type", "part_item": "item", "part_color": "color", "returns": "return"}
         for cat, key in keys.items():
             for i, label in enumerate(labels[cat]):
-                cols.append(_flag_text(edition, F.col(f"{key}_{i}"))
-                            .alias(_flag_header(edition, prefixes[cat], i + 1, label)))
+                cols.append(f"{_flag_text(edition, f'{key}_{i}')} AS "
+                            f"{ident(_flag_header(edition, prefixes[cat], i + 1, label))}")
     if "answers" in parts:
         coded = _coded_prefixes(edition)
         (pf, po), (pd,) = coded["brand_bought"], coded["discount_level"]
         for n in BRAND_CODES:
-            cols.append(_flag_text(edition, F.col(f"brand_f_{n}")).alias(_coded_header(edition, pf, n, BRAND_LABELS[n])))
-            cols.append(_flag_text(edition, F.col(f"brand_o_{n}")).alias(_coded_header(edition, po, n, BRAND_LABELS[n])))
+            cols.append(f"{_flag_text(edition, f'brand_f_{n}')} AS {ident(_coded_header(edition, pf, n, BRAND_LABELS[n]))}")
+            cols.append(f"{_flag_text(edition, f'brand_o_{n}')} AS {ident(_coded_header(edition, po, n, BRAND_LABELS[n]))}")
         for n in DISCOUNT_LEVELS:
-            cols.append(_flag_text(edition, F.col(f"discount_{n}"))
-                        .alias(_coded_header(edition, pd, n, DISCOUNT_LABELS[n])))
-    return base.filter(edition_filter(edition)).select(*cols)
+            cols.append(f"{_flag_text(edition, f'discount_{n}')} AS "
+                        f"{ident(_coded_header(edition, pd, n, DISCOUNT_LABELS[n]))}")
+    return base.filter(edition_filter_sql(edition)).selectExpr(*cols)
 
 
-def bronze(spark: SparkSession, sf_dir: str, parts: tuple[str, ...] = ("profile",)) -> dict[str, DataFrame]:
-    """The three editions; together they hold every order exactly once."""
+def bronze(spark: SparkSession, sf_dir: str, parts: tuple[str, ...] = ("profile",),
+           stored: bool = True) -> dict[str, DataFrame]:
+    """The three editions; together they hold every order exactly once.
+    ``stored=False`` derives the base inside the plan instead of reading the
+    stored one."""
     need_flags = "flags" in parts or "answers" in parts
-    base = base_responses(spark, sf_dir, with_flags=need_flags)
+    base = (stored_base if stored else base_responses)(spark, sf_dir, with_flags=need_flags)
     return {e: bronze_edition(base, e, parts) for e in (E1, E2, E3)}
