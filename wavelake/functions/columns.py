@@ -81,4 +81,10 @@ def tolerant_long_sql(expr: str) -> str:
 
 
 def is_selected_sql(expr: str, value: float = 1.0) -> str:
-    return f"COALESCE(TRY_CAST(trim(CAST({expr} AS STRING)) AS DOUBLE) = {float(value)!r}D, false)"
+    parsed = f"COALESCE(TRY_CAST(trim(CAST({expr} AS STRING)) AS DOUBLE) = {float(value)!r}D, false)"
+    if float(value) != 1.0:
+        return parsed
+    # the common spellings are decided by a string compare; only other text
+    # is parsed as a number (same result, far fewer parses)
+    return (f"CASE WHEN {expr} IN ('1', '1.0') THEN true WHEN {expr} IS NULL OR {expr} IN ('0', '0.0', '') "
+            f"THEN false ELSE {parsed} END")
