@@ -9,15 +9,14 @@ A respondent who selected nothing in a block yields no row (inner semantics).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import (clean_text, clean_text_sql, ident, is_selected_sql, safe_col, tolerant_int,
-                                 tolerant_int_sql)
+from ..functions.columns import clean_text_sql, ident, is_selected_sql, tolerant_int_sql
 from ..functions.text import alias_py, classify_py
 from . import discover
 
@@ -33,19 +32,6 @@ class Option:
     values: Mapping[str, str] = field(default_factory=dict)
 
 
-def _id_expr(id_col: str, blank_as_null: bool) -> Column:
-    raw = safe_col(id_col).cast("string")
-    return clean_text(raw) if blank_as_null else F.trim(raw)
-
-
-def _wave_expr(wave: int | str | Column) -> Column:
-    if isinstance(wave, Column):
-        return wave.cast("int")
-    if isinstance(wave, str):
-        return tolerant_int(safe_col(wave))
-    return F.lit(int(wave)).cast("int")
-
-
 def _id_sql(id_col: str, blank_as_null: bool) -> str:
     return clean_text_sql(ident(id_col)) if blank_as_null else f"trim(CAST({ident(id_col)} AS STRING))"
 

@@ -19,7 +19,6 @@ from ..sources import csv as csv_io
 from ..sources import export, parquet
 from ..session import scratch_path
 from . import gold, reports, silver, virtual
-from .silver import ANSWER_COLUMNS, SELECTION_COLUMNS
 
 Q = virtual.questionnaire()
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.answers import Categorical, answers_long
 from ..operators.dedupe import dedupe
@@ -84,7 +83,3 @@ def answers(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: bool
         return out
     # the two equivalent blocks of one dimension merge here; keep the first block
     return dedupe(out, [q.wave_name, q.id_name, "dimension", "answer"], order=["block", "answer_original"])
-
-
-def selection_key_counts(df: DataFrame, q: Questionnaire) -> DataFrame:
-    return df.groupBy(q.wave_name, "category").agg(F.count(F.lit(1)).alias("selections"))

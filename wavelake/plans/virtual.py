@@ -60,15 +60,6 @@ E1, E2, E3 = "e1", "e2", "e3"
 EDITION_START = {E2: 1997, E3: 1999}
 
 
-def edition_filter(edition: str, wave: Column | None = None) -> Column:
-    w = F.col("wave") if wave is None else wave
-    if edition == E1:
-        return w < EDITION_START[E2]
-    if edition == E2:
-        return (w >= EDITION_START[E2]) & (w < EDITION_START[E3])
-    return w >= EDITION_START[E3]
-
-
 def amount(n: int) -> str:
     return f"{n:,}".replace(",", ".")
 
@@ -267,12 +258,6 @@ def _line_masks(lines: DataFrame) -> DataFrame:
     return lines.select("l_orderkey", mask_a.alias("mask_a"), mask_b.alias("mask_b"))
 
 
-def flag_column(key: str) -> Column:
-    """0/1 of one option, read from the order's masks (NULL masks: no lines)."""
-    mask, i = _option_bits()[key]
-    return F.coalesce(F.shiftright(F.col(mask), i).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
-
-
 def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
     """One row per order with typed attributes and (optionally) the two
     option bitmasks of its lines."""
