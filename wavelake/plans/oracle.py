@@ -353,6 +353,7 @@ UNION ALL SELECT 'answers', count(*) FROM gans"""),
 SELECT 'entities' AS table_name, wave, count(*) AS row_count FROM ent GROUP BY ALL
 UNION ALL SELECT 'selections', wave, count(*) FROM sel GROUP BY ALL
 UNION ALL SELECT 'answers', wave, count(*) FROM ans GROUP BY ALL"""),
+        "dedupe_is_idempotent": sql(["sel"], f"SELECT {SEL_COLS} FROM sel WHERE false"),
         "quality_sample": sql(["sel"], f"SELECT {SEL_COLS} FROM sel ORDER BY wave, entity_id, category, item LIMIT 20"),
         "parquet_partition_roundtrip": sql(["ent"], "SELECT wave, segment, count(*) AS entities, "
                                                     "count(DISTINCT entity_id) AS distinct_ids, "

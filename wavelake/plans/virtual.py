@@ -32,6 +32,7 @@ from ..operators.discover import TUPLE, UNDERSCORE
 from ..operators.harmonize import INT, LONG, TEXT, Field
 from ..functions.columns import ident, sql_str
 from ..session import checkpoint_dir, path_exists
+from ..sources.parquet import write_partitioned
 from .config import CategoricalQuestion, CodedBlock, Edition, Questionnaire
 
 # Fixed values of the virtual questionnaire (its option lists and labels).
@@ -53,7 +54,7 @@ STATUS_RULES = [('"split"', "partial_split"), ("fulfilled", "fulfilled"), ("part
 CLASS_RULES = [("no return", "no_use"), ("other", "other_answer")]
 
 # bump when the derivation of the stored base changes
-BASE_VERSION = "base-v2"
+BASE_VERSION = "base-v3"
 
 E1, E2, E3 = "e1", "e2", "e3"
 # first wave of editions 2 and 3; every earlier wave is edition 1, every later one edition 3
@@ -305,7 +306,8 @@ def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> Da
     root = checkpoint_dir(spark).rstrip("/")
     path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, with_flags)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        base_responses(spark, sf_dir, with_flags).write.mode("overwrite").parquet(path)
+        # partitioned by wave: each edition's scan prunes to its own waves
+        write_partitioned(base_responses(spark, sf_dir, with_flags), path, ["wave"])
     return spark.read.parquet(path)
 
 
