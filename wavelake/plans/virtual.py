@@ -23,6 +23,7 @@ with DataFrame operations over the whole tables.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ..functions.bands import BandSpec
 from ..operators.discover import TUPLE, UNDERSCORE
 from ..operators.harmonize import INT, LONG, TEXT, Field
 from ..functions.columns import ident, sql_str
-from ..session import checkpoint_dir, path_exists
+from ..session import checkpoint_dir, path_exists, rename_path
 from ..sources.parquet import write_partitioned
 from .config import CategoricalQuestion, CodedBlock, Edition, Questionnaire
 
@@ -306,8 +307,13 @@ def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> Da
     root = checkpoint_dir(spark).rstrip("/")
     path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, with_flags)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
+        # written to a private folder, then published by one rename: a
+        # concurrent or failed build never leaves a half-written base behind
+        staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
         # partitioned by wave: each edition's scan prunes to its own waves
-        write_partitioned(base_responses(spark, sf_dir, with_flags), path, ["wave"])
+        write_partitioned(base_responses(spark, sf_dir, with_flags), staging, ["wave"])
+        if not rename_path(spark, staging, path) and not path_exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"could not publish {staging} as {path}")
     return spark.read.parquet(path)
 
 

@@ -75,4 +75,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "path_exists", "local_path"]
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename a folder on the session's file system (atomic on HDFS and local
+    disks); False when ``dst`` already exists."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(conf)
+    if fs.exists(d):
+        return False
+    return bool(fs.rename(s, d))
+
+
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "path_exists", "local_path", "rename_path"]
