@@ -124,3 +124,16 @@ def test_matches_sql_oracle(spark, sf, key):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _digest(df.columns, [tuple(r) for r in df.collect()]) == _digest(ocols, res.fetchall())
+
+
+def test_landing_keeps_odd_headers_and_prunes_columns(spark):
+    from wavelake.sources import land, read_landed
+    rows = [("1", 'say "hi", ok', "1", "Branca", "x"), ("2", "", "0.0", None, "y")]
+    df = spark.createDataFrame(rows, ODD)
+    path = scratch_path(spark, "landed")
+    landed = land(df, path)
+    assert landed.columns == ODD
+    assert sorted(tuple(r) for r in landed.collect()) == sorted(rows, key=str)
+    again = read_landed(spark, path).select("`4.d.1_Python`")
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c00002:string>" in plan

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.catalog import register_views
+from ..sources.landing import land
 from ..sources.parquet import read_table, write_partitioned
 from . import gold, silver
 from .config import Questionnaire
@@ -37,14 +38,19 @@ def _persist(df: DataFrame, path: str, wave: str, names: Mapping[str, str]) -> D
 
 def run(spark: SparkSession, q: Questionnaire, bronze: Mapping[str, DataFrame], root: str,
         table_names: Mapping[str, str] | None = None,
-        output_names: Mapping[str, Mapping[str, str]] | None = None) -> dict[str, DataFrame]:
+        output_names: Mapping[str, Mapping[str, str]] | None = None,
+        land_bronze: bool = True) -> dict[str, DataFrame]:
     """Build, write and register all seven tables; returns them as read back.
 
     ``table_names`` name the registered views / folders; ``output_names``
-    rename stored columns per table (e.g. to a legacy schema)."""
+    rename stored columns per table (e.g. to a legacy schema).  With
+    ``land_bronze`` each wide edition is read once and landed as Parquet, so
+    the three silver builds read only their own columns."""
     table_names = dict(table_names or {k: k for k in SILVER + GOLD})
     output_names = output_names or {}
     root = root.rstrip("/")
+    if land_bronze:
+        bronze = {name: land(df, f"{root}/bronze_landed/{name}") for name, df in bronze.items()}
     out: dict[str, DataFrame] = {}
     builders = {"entities": silver.entities, "selections": silver.selections, "answers": silver.answers}
     for key in SILVER:

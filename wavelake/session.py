@@ -23,12 +23,40 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (about 100 TB of waves, ~1000 executors).  The
+# shuffle starts wide and AQE coalesces each stage to ~256 MB partitions, so
+# the big stages (line-level flags, dedupe) get tens of thousands of tasks
+# while the aggregated ones shrink to a few.  Input splits of 512 MB keep
+# scan tasks in the thousands.  Skew handling is on for joins and rebalanced
+# writes; lost executors are tolerated by task/stage retries and by
+# decommissioning that migrates shuffle blocks.
+LARGE_SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "wavelake",
-              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra: dict | None = None,
+              large_scale: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if large_scale:
+        conf.update(LARGE_SCALE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -87,4 +115,4 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "path_exists", "local_path", "rename_path"]
+__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "local_path", "rename_path"]
