@@ -145,3 +145,24 @@ def test_row_counts_single_job(spark):
     b = spark.createDataFrame([(2,)], "wave int")
     got = sorted(tuple(r) for r in row_counts({"a": a, "b": b}).collect())
     assert got == [("a", 1, 2), ("a", 2, 1), ("b", 2, 1)]
+
+
+def test_hot_category_and_null_ids_keep_exact_results(spark):
+    """A third of all rows in one category plus a block of NULL ids: the share
+    stays exact (NULL ids do not count) and the distinct count is planned
+    with a shuffle on (keys, id), so the hot category is spread by id."""
+    n = 30000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 1000).cast("string")).alias("id"),
+        F.lit(1).alias("wave"),
+        F.when(F.col("id") < n // 3, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 7).cast("string")))
+        .alias("cat"))
+    out = distinct_share(df, ["wave"], ["cat"], "id", rank_name="rank")
+    rows = {r["cat"]: r for r in out.collect()}
+    pdf = df.toPandas()
+    valid = pdf[pdf["id"].notna()]
+    base = valid["id"].nunique()
+    for cat, g in valid.groupby("cat"):
+        assert rows[cat]["count"] == g["id"].nunique() and rows[cat]["total"] == base
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "count(distinct" in plan and "Expand" in plan
