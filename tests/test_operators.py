@@ -166,3 +166,15 @@ def test_hot_category_and_null_ids_keep_exact_results(spark):
         assert rows[cat]["count"] == g["id"].nunique() and rows[cat]["total"] == base
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "count(distinct" in plan and "Expand" in plan
+
+
+def test_blank_handling_option_reproduces_reference(spark):
+    """Default: a spaces-only answer is missing.  ``blank_as_null=False``:
+    the answer is kept as '' (tested for NULL before trimming)."""
+    df = spark.createDataFrame([("r1", "   "), ("r2", "x"), ("r3", None)], ["id", "q"])
+    cats = [Categorical("q", [("x", "code_x")], {"dimension": "d"})]
+    cols = ["dimension", "answer", "answer_original"]
+    strict = answers_long(df, "id", 2024, cats, [], cols)
+    legacy = answers_long(df, "id", 2024, cats, [], cols, blank_as_null=False)
+    assert sorted((r["entity_id"], r["answer"]) for r in strict.collect()) == [("r2", "code_x")]
+    assert sorted((r["entity_id"], r["answer"]) for r in legacy.collect()) == [("r1", ""), ("r2", "code_x")]

@@ -54,6 +54,9 @@ class Questionnaire:
     id_name: str = "entity_id"
     wave_name: str = "wave"
     dedupe_order: Sequence[str] = ()
+    # blank ids / answers count as missing (True); False keeps the
+    # reference's mixed handling (ids only trimmed, spaces-only answers kept)
+    blank_as_null: bool = True
     # technologies-like multi-select
     aliases: Mapping[str, str] = field(default_factory=dict)
     class_rules: Sequence[tuple[str, str]] = ()

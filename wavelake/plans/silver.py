@@ -51,7 +51,7 @@ def selections(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: b
         df = bronze[e.name]
         opts = selection_options(q, e, df.columns)
         parts.append(flags_to_long(df, e.id_header, e.wave, opts, SELECTION_COLUMNS,
-                                   id_name=q.id_name, wave_name=q.wave_name))
+                                   id_name=q.id_name, wave_name=q.wave_name, blank_as_null=q.blank_as_null))
     out = union_waves(parts)
     if not deduplicate:
         return out
@@ -77,7 +77,7 @@ def answers(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: bool
         df = bronze[e.name]
         cats, flags = answer_inputs(q, e, df.columns)
         parts.append(answers_long(df, e.id_header, e.wave, cats, flags, ANSWER_COLUMNS,
-                                  id_name=q.id_name, wave_name=q.wave_name))
+                                  id_name=q.id_name, wave_name=q.wave_name, blank_as_null=q.blank_as_null))
     out = union_waves(parts)
     if not deduplicate:
         return out

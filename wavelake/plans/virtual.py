@@ -303,18 +303,20 @@ def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> Da
     folder (the bronze layer of the virtual form) and read back by every
     edition and query.  It cuts the lineage: the three editions and all
     silver queries scan this compact table instead of re-deriving it from
-    lineitem each time."""
+    lineitem each time.  One base (with the option masks) serves every
+    query; profile-only reads prune the mask columns."""
     root = checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, with_flags)}"
+    path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, True)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         # written to a private folder, then published by one rename: a
         # concurrent or failed build never leaves a half-written base behind
         staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
         # partitioned by wave: each edition's scan prunes to its own waves
-        write_partitioned(base_responses(spark, sf_dir, with_flags), staging, ["wave"])
+        write_partitioned(base_responses(spark, sf_dir, True), staging, ["wave"])
         if not rename_path(spark, staging, path) and not path_exists(spark, f"{path}/_SUCCESS"):
             raise RuntimeError(f"could not publish {staging} as {path}")
-    return spark.read.parquet(path)
+    base = spark.read.parquet(path)
+    return base if with_flags else base.drop("mask_a", "mask_b")
 
 
 def _flag_sql(key: str) -> str:
