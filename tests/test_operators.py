@@ -178,3 +178,9 @@ def test_blank_handling_option_reproduces_reference(spark):
     legacy = answers_long(df, "id", 2024, cats, [], cols, blank_as_null=False)
     assert sorted((r["entity_id"], r["answer"]) for r in strict.collect()) == [("r2", "code_x")]
     assert sorted((r["entity_id"], r["answer"]) for r in legacy.collect()) == [("r1", ""), ("r2", "code_x")]
+
+
+def test_zero_base_gives_null_percent_not_an_error(spark):
+    df = spark.createDataFrame([(None, 1, "d", "p")], "id string, wave int, dim string, cat string")
+    got = distinct_share(df, ["wave", "dim"], ["cat"], "id").collect()
+    assert [(r["count"], r["total"], r["percent"]) for r in got] == [(0, 0, None)]
