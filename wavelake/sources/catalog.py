@@ -15,7 +15,8 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
     """A catalog table over Parquet files already written; partitions are
     discovered from the folder layout (``MSCK REPAIR TABLE``)."""
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{location}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -10,11 +10,12 @@ from .csv import read_wave_csv
 
 def export_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Numbers are written in Spark's shortest text form (31.0, 75.1).
-    ``single_file`` adds a shuffle to one partition (the upstream stages stay
-    parallel); use it only for aggregated, report-sized results."""
+    ``single_file`` concatenates the partitions in order (``coalesce(1)``), so
+    an ORDER BY result keeps its order; the stages before the sort's exchange
+    stay parallel.  Use it only for aggregated, report-sized results."""
     out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     if single_file:
-        out = out.repartition(1)
+        out = out.coalesce(1)
     out.write.mode("overwrite").options(header="true", quoteAll="true", quote='"', escape='"').csv(path)
 
 
