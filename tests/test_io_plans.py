@@ -137,3 +137,23 @@ def test_landing_keeps_odd_headers_and_prunes_columns(spark):
     again = read_landed(spark, path).select("`4.d.1_Python`")
     plan = again._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c00002:string>" in plan
+
+
+def test_multiselect_and_answers_scan_each_edition_once(spark):
+    """All option blocks of an edition (4 prefix blocks; categorical + coded
+    answers) come from one scan, not one scan per option as in the
+    reference's plan."""
+    from wavelake.plans import silver
+    from wavelake.plans import survey_preset as P
+
+    from .test_survey_preset import bronze_rows
+    q = P.questionnaire()
+    cols, rows = bronze_rows(2024)
+    path = scratch_path(spark, "edition-2024")
+    from wavelake.sources import land
+    landed = land(spark.createDataFrame(rows, cols), path)
+    one = __import__("dataclasses").replace(q, editions=[e for e in q.editions if e.name == "2024"])
+    for build in (silver.selections, silver.answers):
+        plan = build(one, {"2024": landed}, deduplicate=False)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        assert plan.count("Expand") == 1
