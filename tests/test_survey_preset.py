@@ -71,11 +71,12 @@ def bronze_rows(year, n_resp=5):
         for n, label in enumerate(TECH_OPTIONS[cat], start=1):
             flag = "1.0" if year == 2024 else "1"
             add(_flag_header(year, prefix, n, label), [flag if (i + n) % 2 == 0 else "0" for i in range(n_resp)])
-    add(P.AI_PRIORITY[year], PRIORITY_TEXTS[:n_resp])
-    if year in P.AI_RESULT:
-        add(P.AI_RESULT[year], RESULT_TEXTS[:n_resp])
-    blocks = [(p, P.USE_TYPES) for p in P.AI_USE_BLOCKS[year]] + \
-             [(P.AI_PRODUCTIVITY[year], P.PRODUCTIVITY), (P.AI_BARRIERS[year], P.BARRIERS)]
+    form = P.AI_FORMS[year]
+    add(form["prioridade"], PRIORITY_TEXTS[:n_resp])
+    if form["resultado"]:
+        add(form["resultado"], RESULT_TEXTS[:n_resp])
+    blocks = [(p, P.USE_TYPES) for p in form["tipo_uso_blocos"]] + \
+             [(form["produtividade"], P.PRODUCTIVITY), (form["barreiras"], P.BARRIERS)]
     for b, (prefix, codes) in enumerate(blocks):
         for n in codes:
             add(_coded_header(year, prefix, n, f"opção {n} do bloco"),

@@ -82,10 +82,31 @@ PROFILE_MAP_2024 = {
     "modelo_trabalho_ideal": "2.s_modelo_de_trabalho_ideal",
 }
 
-# 2025 equals 2024 except the two work-model questions, renumbered
-PROFILE_MAP_2025 = {**PROFILE_MAP_2024,
-                    "modelo_trabalho_atual": "2.q_modelo_de_trabalho_atual",
-                    "modelo_trabalho_ideal": "2.r_modelo_de_trabalho_ideal"}
+PROFILE_MAP_2025 = {
+    "id_respondente": "0.a_token",
+    "idade": "1.a_idade",
+    "faixa_idade": "1.a.1_faixa_idade",
+    "genero": "1.b_genero",
+    "raca_etnia": "1.c_cor/raca/etnia",
+    "pcd": "1.d_pcd",
+    "vive_brasil": "1.g_vive_no_brasil",
+    "uf": "1.i.1_uf_onde_mora",
+    "regiao": "1.i.2_regiao_onde_mora",
+    "nivel_ensino": "1.l_nivel_de_ensino",
+    "area_formacao": "1.m_área_de_formação",
+    "situacao_trabalho": "2.a_situação_de_trabalho",
+    "setor": "2.b_setor",
+    "numero_funcionarios": "2.c_numero_de_funcionarios",
+    "atua_como_gestor": "2.d_atua_como_gestor",
+    "cargo_atual": "2.f_cargo_atual",
+    "senioridade": "2.g_nivel",
+    "faixa_salarial_original": "2.h_faixa_salarial",
+    "tempo_experiencia_dados": "2.i_tempo_de_experiencia_em_dados",
+    "tempo_experiencia_ti": "2.j_tempo_de_experiencia_em_ti",
+    "satisfeito_emprego": "2.k_satisfeito_atualmente",
+    "modelo_trabalho_atual": "2.q_modelo_de_trabalho_atual",
+    "modelo_trabalho_ideal": "2.r_modelo_de_trabalho_ideal",
+}
 
 TECH_PREFIXES = {
     2023: {"linguagem": "('P4_d_", "banco_dados": "('P4_g_", "cloud": "('P4_h_", "bi": "('P4_j_"},
@@ -104,9 +125,13 @@ TECH_QUESTIONS = {
            "cloud": "cloud_(dia_a_dia)", "bi": "ferramenta_de_bi_(dia_a_dia)"},
 }
 
-# every (wave, category) is "comparavel" except these two
-SEMANTIC_ATTENTION = {(2023, "cloud"), (2025, "linguagem")}
-COMPARABLE, ATTENTION = "comparavel", "atencao_semantica"
+TECH_COMPARABILITY = {
+    2023: {"linguagem": "comparavel", "banco_dados": "comparavel", "cloud": "atencao_semantica",
+           "bi": "comparavel"},
+    2024: {"linguagem": "comparavel", "banco_dados": "comparavel", "cloud": "comparavel", "bi": "comparavel"},
+    2025: {"linguagem": "atencao_semantica", "banco_dados": "comparavel", "cloud": "comparavel",
+           "bi": "comparavel"},
+}
 
 TECH_ALIASES = {
     "SQL SERVER": "SQL Server",
@@ -125,14 +150,32 @@ ITEM_CLASS_RULES = [
 ]
 ITEM_DEFAULT_CLASS = "tecnologia"
 
-AI_ID = {2023: "('P0', 'id')", 2024: "0.a_token", 2025: "0.a_token"}
-AI_PRIORITY = {2023: "('P3_e ', 'AI Generativa é uma prioridade em sua empresa?')",
-               2024: "3.e_ai_generativa_e_llm_é_uma_prioridade?",
-               2025: "3.e_ai_generativa_e_llm_é_uma_prioridade?"}
-AI_RESULT = {2025: "3.g_empresa_está_conseguindo_ter_bons_resultados_com_llms"}
-AI_USE_BLOCKS = {2023: ["P3_f_", "P4_l_"], 2024: ["3.f.", "4.l."], 2025: ["3.f.", "4.i."]}
-AI_PRODUCTIVITY = {2023: "P4_m_", 2024: "4.m.", 2025: "4.j."}
-AI_BARRIERS = {2023: "P3_g_", 2024: "3.g.", 2025: "3.h."}
+AI_FORMS = {
+    2023: {
+        "id": "('P0', 'id')",
+        "prioridade": "('P3_e ', 'AI Generativa é uma prioridade em sua empresa?')",
+        "resultado": None,
+        "tipo_uso_blocos": ["P3_f_", "P4_l_"],
+        "produtividade": "P4_m_",
+        "barreiras": "P3_g_",
+    },
+    2024: {
+        "id": "0.a_token",
+        "prioridade": "3.e_ai_generativa_e_llm_é_uma_prioridade?",
+        "resultado": None,
+        "tipo_uso_blocos": ["3.f.", "4.l."],
+        "produtividade": "4.m.",
+        "barreiras": "3.g.",
+    },
+    2025: {
+        "id": "0.a_token",
+        "prioridade": "3.e_ai_generativa_e_llm_é_uma_prioridade?",
+        "resultado": "3.g_empresa_está_conseguindo_ter_bons_resultados_com_llms",
+        "tipo_uso_blocos": ["3.f.", "4.i."],
+        "produtividade": "4.j.",
+        "barreiras": "3.h.",
+    },
+}
 
 USE_TYPES = {1: "uso_descentralizado", 2: "direcionamento_centralizado", 3: "copilots_desenvolvedores",
              4: "produtos_externos", 5: "produtos_internos", 6: "principal_frente_negocio",
@@ -212,18 +255,19 @@ PROFILE_MAPS = {2023: PROFILE_MAP_2023, 2024: PROFILE_MAP_2024, 2025: PROFILE_MA
 
 def _edition(year: int) -> Edition:
     style = TUPLE if year == 2023 else UNDERSCORE
-    blocks = {cat: (prefix, TECH_QUESTIONS[year][cat], ATTENTION if (year, cat) in SEMANTIC_ATTENTION else COMPARABLE)
+    form = AI_FORMS[year]
+    blocks = {cat: (prefix, TECH_QUESTIONS[year][cat], TECH_COMPARABILITY[year][cat])
               for cat, prefix in TECH_PREFIXES[year].items()}
-    coded = [CodedBlock(AI_DIMENSIONS["use"], p, USE_TYPES, AI_COMPARABLE) for p in AI_USE_BLOCKS[year]]
-    coded.append(CodedBlock(AI_DIMENSIONS["productivity"], AI_PRODUCTIVITY[year], PRODUCTIVITY, AI_COMPARABLE))
-    coded.append(CodedBlock(AI_DIMENSIONS["barriers"], AI_BARRIERS[year], BARRIERS, AI_COMPARABLE))
-    cats = [CategoricalQuestion(AI_DIMENSIONS["priority"], AI_PRIORITY[year], PRIORITY_RULES, AI_COMPARABLE,
+    coded = [CodedBlock(AI_DIMENSIONS["use"], p, USE_TYPES, AI_COMPARABLE) for p in form["tipo_uso_blocos"]]
+    coded.append(CodedBlock(AI_DIMENSIONS["productivity"], form["produtividade"], PRODUCTIVITY, AI_COMPARABLE))
+    coded.append(CodedBlock(AI_DIMENSIONS["barriers"], form["barreiras"], BARRIERS, AI_COMPARABLE))
+    cats = [CategoricalQuestion(AI_DIMENSIONS["priority"], form["prioridade"], PRIORITY_RULES, AI_COMPARABLE,
                                 AI_PRIORITY_BLOCK)]
-    if year in AI_RESULT:
-        cats.append(CategoricalQuestion(AI_DIMENSIONS["result"], AI_RESULT[year], RESULT_RULES, AI_ONLY_2025,
+    if form["resultado"]:
+        cats.append(CategoricalQuestion(AI_DIMENSIONS["result"], form["resultado"], RESULT_RULES, AI_ONLY_2025,
                                         AI_RESULT_BLOCK))
     profile_map = {k: v for k, v in PROFILE_MAPS[year].items() if k != ID}
-    return Edition(name=str(year), style=style, id_header=AI_ID[year], profile_map=profile_map, wave=year,
+    return Edition(name=str(year), style=style, id_header=form["id"], profile_map=profile_map, wave=year,
                    waves=(year,), prefix_blocks=blocks, coded_blocks=coded, categorical=cats,
                    coded_style=TUPLE if year == 2023 else SPACE)
 
