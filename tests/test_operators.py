@@ -184,3 +184,13 @@ def test_zero_base_gives_null_percent_not_an_error(spark):
     df = spark.createDataFrame([(None, 1, "d", "p")], "id string, wave int, dim string, cat string")
     got = distinct_share(df, ["wave", "dim"], ["cat"], "id").collect()
     assert [(r["count"], r["total"], r["percent"]) for r in got] == [(0, 0, None)]
+
+
+def test_empty_dimension_lists_are_rejected(spark):
+    from wavelake.functions import BandSpec
+    from wavelake.operators.metrics import band_distribution
+    df = spark.createDataFrame([("1", 1, "b")], "id string, wave int, band string")
+    with pytest.raises(ValueError):
+        profile_distribution(df, "wave", "id", [])
+    with pytest.raises(ValueError):
+        band_distribution(df, "wave", "id", "band", [], BandSpec(), overall=None)

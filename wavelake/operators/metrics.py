@@ -73,6 +73,8 @@ def profile_distribution(df: DataFrame, wave: str, id_col: str, dims: Sequence[s
                          rank_name: str = "rank") -> DataFrame:
     """Share of entities per category of each dimension; the base is the
     entities with a non-blank value in that dimension."""
+    if not dims:
+        raise ValueError("profile_distribution needs at least one dimension")
     long = unpivot_dimensions(df, [wave, id_col], dims, dim_name, cat_name).filter(not_blank(cat_name))
     return distinct_share(long, [wave, dim_name], [cat_name], id_col, count_name=count_name,
                           total_name=total_name, pct_name=pct_name, rank_name=rank_name)
@@ -88,6 +90,8 @@ def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims
     base is the entities with a valid band (and category).  Adds the band
     order key and the anomaly flag; anomalous bands are kept."""
     band_name = band_name or band_col
+    if not dims and not overall:
+        raise ValueError("band_distribution needs dimensions or an overall analysis")
     valid = df.filter(not_blank(band_col))
     long = unpivot_dimensions(valid, [wave, id_col, band_col], dims, dim_name, cat_name, constant=overall)
     long = long.filter(not_blank(cat_name))
