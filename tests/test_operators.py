@@ -194,3 +194,13 @@ def test_empty_dimension_lists_are_rejected(spark):
         profile_distribution(df, "wave", "id", [])
     with pytest.raises(ValueError):
         band_distribution(df, "wave", "id", "band", [], BandSpec(), overall=None)
+
+
+def test_schema_check_reports_missing_type_and_extra_columns(spark):
+    from wavelake.operators.quality import schema_check
+    df = spark.createDataFrame([("1", 2023, 3)], "id string, wave int, extra long")
+    ok = schema_check(df.select("id", "wave"), [("id", "string"), ("wave", "int")])
+    assert ok.count() == 0
+    bad = {(r["column"], r["problem"]) for r in schema_check(df, [("id", "string"), ("wave", "bigint"),
+                                                                  ("missing", "string")]).collect()}
+    assert bad == {("wave", "type"), ("missing", "missing"), ("extra", "unexpected")}

@@ -188,3 +188,27 @@ def test_dashboard_sql_runs_on_registered_tables(spark, tables):
     assert band and not any(r["faixa_salarial_original"].startswith("de R$ 101/") for r in band)
     prof = reports.profile_report(spark, "senioridade", "senioridade", True, True, names=eng).collect()
     assert [r["rank"] for r in prof if r[P.WAVE] == 2023] == [1, 2, 3]
+
+
+def test_gold_schemas_match_reference_types(spark, tables):
+    """Column names, types and order of the four gold tables as the reference
+    defines them (the registered views keep the wave first)."""
+    from wavelake.operators.quality import schema_check
+    expected = {
+        "gold_perfil_mercado": [("dimensao", "string"), ("categoria", "string"), ("quantidade", "bigint"),
+                                ("total_validos", "bigint"), ("percentual", "double"), ("ranking", "int")],
+        "gold_remuneracao": [("dimensao_analise", "string"), ("categoria_analise", "string"),
+                             ("faixa_salarial_original", "string"), ("faixa_salarial_ordem", "int"),
+                             ("anomalia_faixa_salarial", "boolean"), ("quantidade", "bigint"),
+                             ("total_validos", "bigint"), ("percentual", "double")],
+        "gold_tecnologias": [("categoria", "string"), ("tecnologia", "string"), ("qtd_profissionais", "bigint"),
+                             ("total_respondentes_categoria", "bigint"), ("percentual_adocao", "double"),
+                             ("ranking", "int"), ("comparabilidade", "string")],
+        "gold_ia": [("dimensao", "string"), ("resposta", "string"), ("qtd_respondentes", "bigint"),
+                    ("total_respondentes_dimensao", "bigint"), ("percentual", "double"), ("ranking", "int"),
+                    ("tipo_resposta", "string"), ("percentuais_somam_100", "boolean"),
+                    ("comparabilidade", "string")],
+    }
+    for table, cols in expected.items():
+        problems = schema_check(spark.table(table), [("ano_pesquisa", "int")] + cols).collect()
+        assert problems == [], (table, problems)

@@ -29,3 +29,23 @@ def sample(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (empty after a correct dedupe)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def schema_check(df: DataFrame, expected: Sequence[tuple[str, str]]) -> DataFrame:
+    """Differences between ``df``'s schema and the expected (name, type)
+    list, as rows (column, expected_type, actual_type, problem); empty when
+    they agree.  Built from the schema only (metadata, no rows read)."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wanted = dict(expected)
+    rows = []
+    for name, typ in expected:
+        if name not in actual:
+            rows.append((name, typ, None, "missing"))
+        elif actual[name] != typ:
+            rows.append((name, typ, actual[name], "type"))
+    rows += [(name, None, typ, "unexpected") for name, typ in actual.items() if name not in wanted]
+    order = [n for n, _ in expected if n in actual]
+    if not rows and order != [n for n in df.columns if n in wanted]:
+        rows.append(("*", None, None, "order"))
+    schema = "column string, expected_type string, actual_type string, problem string"
+    return df.sparkSession.createDataFrame(rows, schema)
