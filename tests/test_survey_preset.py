@@ -6,7 +6,7 @@ the dashboard SQL.  Structural checks follow the reference's published facts
 import pytest
 from pyspark.sql import functions as F
 
-from wavelake.plans import pipeline, reports
+from wavelake.plans import medallion, reports
 from wavelake.plans import survey_preset as P
 from wavelake.session import scratch_path
 from wavelake.sources.csv import read_wave_csv, write_wave_csv
@@ -101,7 +101,7 @@ def bronze(spark):
 @pytest.fixture(scope="module")
 def tables(spark, bronze):
     root = scratch_path(spark, "preset-lake")
-    return pipeline.run(spark, P.questionnaire(), bronze, root, table_names=P.TABLE_NAMES,
+    return medallion.run(spark, P.questionnaire(), bronze, root, table_names=P.TABLE_NAMES,
                         output_names=P.OUTPUT_NAMES)
 
 

@@ -1,4 +1,4 @@
-"""Command line: run the survey pipeline on wave folders and export reports.
+"""Command line: run the survey job on wave folders and export reports.
 
     python -m wavelake run --wave 2023=/lake/bronze/ano=2023 --wave 2024=... --root /lake
     python -m wavelake reports --root /lake --out /lake/reports
@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from .plans import pipeline, reports
+from .plans import medallion, reports
 from .plans import survey_preset as P
 from .session import get_spark
 from .sources import export_report, read_table, read_wave_csv
@@ -34,7 +34,7 @@ def _engine_tables(spark, root: str) -> dict:
     """Written tables read back under the engine's column names."""
     out = {}
     for key, table in P.TABLE_NAMES.items():
-        layer = "silver" if key in pipeline.SILVER else "gold"
+        layer = "silver" if key in medallion.SILVER else "gold"
         df = read_table(spark, f"{root.rstrip('/')}/{layer}/{table}")
         inverse = {v: k for k, v in P.OUTPUT_NAMES[key].items()}
         out[key] = df.select(*[df[c].alias(inverse.get(c, c)) for c in df.columns])
@@ -98,7 +98,7 @@ def main(argv: list[str] | None = None) -> int:
         if set(bronze) - known:
             raise SystemExit(f"no layout for waves {sorted(set(bronze) - known)}")
         q = __import__("dataclasses").replace(q, editions=[e for e in q.editions if e.name in bronze])
-        pipeline.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES)
+        medallion.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES)
     else:
         for path in export_reports(spark, args.root, args.out):
             print(path)

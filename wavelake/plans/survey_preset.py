@@ -1,5 +1,5 @@
 """Preset: the three-edition (2023/2024/2025) data-career survey layout that
-the reference pipeline processes, and the names of its output tables.
+the reference processes, and the names of its output tables.
 
 Everything below the FIXED VALUES marker must equal the reference for equal
 results (raw headers, block prefixes, option codes, answer rules, aliases,
