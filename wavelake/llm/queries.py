@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, simhash
+from . import bpe, decontaminate, exact_dedup, langid, licenses, simhash
 from .common import table
 
 #: folder of the public tokenizer files
@@ -15,13 +15,27 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = langid.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return langid.language_report(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_report(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_decontamination, op9_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op4_exact_dedup,
+                                  op5_decontamination, op8_license_scan, op9_bpe)}
+ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
