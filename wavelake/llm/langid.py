@@ -40,6 +40,8 @@ LONGEST = 30
 #: words whose scores a task keeps, and new words that it scores at once
 MEMO, TOGETHER = 300_000, 20_000
 UNKNOWN = "und"
+#: probability of a character that no piece stands for, in every language
+UNKNOWN_CHARACTER = 1e-6
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # marks the start of a word in the vocabulary
 
@@ -70,10 +72,11 @@ class Lattice:
         text = START + ("\n" + START).join(words)  # position i of the text is node i
         found = [(e, piece, n) for e, (piece, n) in automaton.iter(text)]
         e, piece, n = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
-        # any character, the mark included, may also be unknown
+        # a character that no piece stands for alone is an unknown one
         nodes = self.end[-1] + 1
         inner = np.ones(nodes, bool)
         inner[self.end] = False
+        inner[e[n == 1]] = False
         single = np.flatnonzero(inner)
         self.source = np.concatenate([e - n + 1, single])
         self.target = np.concatenate([e + 1, single + 1])
@@ -171,6 +174,7 @@ def train(labelled: DataFrame, vocabulary: list[str], text_col: str = "text", la
     languages = sorted(counts)
     n, spark = len(vocabulary) + 1, labelled.sparkSession
     prob = np.full((n, len(languages)), 1.0 / n)
+    prob[-1] = UNKNOWN_CHARACTER
     if not languages:
         return Model(vocabulary, [], prob, np.zeros(0))
     prior = np.log(np.array([counts[k] for k in languages]) / sum(counts.values()))
@@ -195,6 +199,7 @@ def train(labelled: DataFrame, vocabulary: list[str], text_col: str = "text", la
         count = np.full(prob.shape, smooth)
         np.add.at(count, (expected["piece"].to_numpy(), expected["k"].to_numpy()), expected["n"].to_numpy())
         prob = count / count.sum(axis=0)
+        prob[-1] = UNKNOWN_CHARACTER
         model.unpersist()
     return Model(vocabulary, languages, prob, prior)
 
