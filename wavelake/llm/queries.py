@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, exact_dedup, langid, licenses, simhash
+from . import (bpe, decontaminate, exact_dedup, html_extract, langid, licenses, simhash,
+               token_files, warc)
 from .common import table
 
 #: folder of the public tokenizer files
@@ -28,6 +29,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivative_report(table(spark, sf_dir, "pages"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -36,6 +45,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_report(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op4_exact_dedup,
-                                  op5_decontamination, op8_license_scan, op9_bpe)}
+                                  op5_decontamination, op6_token_counts, op7_warc_derivatives, op8_license_scan, op9_bpe,
+                                  op10_html_extraction)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
