@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, decontaminate, exact_dedup, html_extract, langid, licenses, simhash,
-               token_files, warc)
+               suffix_dedup, token_files, warc)
 from .common import table
 
 #: folder of the public tokenizer files
@@ -21,6 +21,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -49,7 +53,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_id, op4_exact_dedup,
-                                  op5_decontamination, op6_token_counts, op7_warc_derivatives, op8_license_scan, op9_bpe,
-                                  op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op2_language_id, op3_suffix_dedup, op4_exact_dedup, op5_decontamination, op6_token_counts,
+    op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
