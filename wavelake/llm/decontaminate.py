@@ -195,6 +195,19 @@ def find_spans(texts: list[str | None], phrases: dict) -> tuple[list[int], list[
 SCHEMA = "doc_id bigint, n_words bigint, spans array<struct<start:bigint,stop:bigint>>, items array<string>"
 
 
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
+    """Broadcast phrase tables of about ``block_bytes`` of text each; equal
+    texts are in one block."""
+    bench = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t"))
+    size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks, out = max(1, -(-size // block_bytes)), []
+    for b in range(blocks):
+        block = bench if blocks == 1 else bench.filter(F.pmod(F.coalesce(F.xxhash64("t"), F.lit(0)), F.lit(blocks)) == b)
+        out.append(benchmark.sparkSession.sparkContext.broadcast(
+            phrase_table([tuple(r) for r in block.collect()], window)))
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -206,19 +219,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a null item id reads ``None``; repeated items and documents are judged
     each for itself; an empty benchmark hits nothing.  Extra columns of
     either table are not read."""
-    spark = docs.sparkSession
-    bench = benchmark.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
-    size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    tables = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
+    blocks = len(tables)
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     if blocks > 1:  # a key that stays with the row while its blocks are merged
         base = base.withColumn("key", F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"),
                                                F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("c")))
-    parts = []
-    for b in range(blocks):
-        block = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b)
-        table = spark.sparkContext.broadcast(phrase_table([tuple(r) for r in block.collect()], window))
-        parts.append(_search(base, table))
+    parts = [_search(base, t) for t in tables]
     if blocks == 1:
         return parts[0]
     merged = parts[0]
@@ -265,6 +272,24 @@ def _search(base: DataFrame, table) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that hold a window of
+    the benchmark.  Nothing is shuffled: each block of phrases filters what
+    the one before let through."""
+    for table in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
+        docs = docs.mapInArrow(_clean_rows(table, text_col), docs.schema)
+    return docs
+
+
+def _clean_rows(table, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, spans, _ = find_spans(batch.column(text_col).to_pylist(), table.value)
+            yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
+    return run
+
+
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Digest columns of ``contamination`` (one row per document)."""
     found = contamination(docs, benchmark)

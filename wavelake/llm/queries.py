@@ -13,7 +13,7 @@ TOKENIZERS = "/opt/tokenizers"
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

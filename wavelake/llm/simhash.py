@@ -65,12 +65,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (as a signed 64-bit number) per row."""
+    """doc_id, fingerprint (as a signed 64-bit number) and a hash of the text
+    per row."""
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
-    return map_batches(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
-                       fn, "doc_id bigint, fp bigint")
+        fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp)], ["doc_id", "text_hash", "fp"])
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                       F.col(text_col).alias("text"))
+    return map_batches(rows, fn, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 class BKForest:
@@ -246,9 +248,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits) and
+    """One row per input row: doc_id, fingerprint (16 hex digits),
     component_id, the smallest id reachable over links of at most
-    ``max_bits`` differing bits.
+    ``max_bits`` differing bits, and text_hash (of the text as it is).
 
     A null, empty or blank text has fingerprint zero and is linked like any
     other.  Rows without an id take part; they never name a component, and a
@@ -262,4 +264,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = labelled.join(smallest, "root").select("fp", "component_id")
     return own.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash")
