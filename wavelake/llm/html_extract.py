@@ -50,7 +50,7 @@ ENDS_SAME = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)
              "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")),
              "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)),
              "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
-             "body": (("head",), ("html",))}
+             "body": (("head",), ())}
 SKIP_TAGS = frozenset("head nav footer aside form menu dialog noscript template svg math button select input "
                       "object embed applet audio video canvas map".split()) | RAW
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
@@ -95,13 +95,13 @@ def _step(tag: str, attrs: str) -> tuple[str, bool, bool]:
             header = header or bool(words & HEADER_WORDS)
             if name.lower() == "class":
                 step = ".".join([tag, *sorted({re.sub(r"\d+", "0", c) for c in value.split()})])
-    return step, skip and tag not in ("html", "body", *MAIN), header and tag not in ("html", "body", *MAIN)
+    return step, skip and tag not in MAIN, header and tag not in MAIN
 
 
 def parse(html: str | None) -> Page:
     """Containers and blocks of a page.  Unclosed, stray and cut-off tags are
     taken as browsers do in the usual cases."""
-    page = Page([Node("", -1, "", False, False)])
+    page = Page([Node("body", -1, "body", False, False)])  # html and body tags may be missing
     nodes, stack, text, linked, depth = page.nodes, [0], [], 0, 0
     href, anchor = None, []
     html, at = html or "", 0
@@ -166,12 +166,12 @@ def parse(html: str | None) -> Page:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        if tag in VOID:
+        if tag in VOID or tag in ("html", "body"):
             continue
         step, skip, header = _step(tag, attrs)
         parent = stack[-1]
         up = nodes[parent]
-        nodes.append(Node(tag, parent, f"{up.path}>{step}" if up.path else step, skip or up.skip, header or up.header))
+        nodes.append(Node(tag, parent, f"{up.path}>{step}", skip or up.skip, header or up.header))
         if not attrs.rstrip().endswith("/"):
             stack.append(len(nodes) - 1)
     flush()
@@ -189,7 +189,6 @@ def container_scores(page: Page) -> dict[int, float]:
         if k in score:
             up = page.nodes[k].parent
             score[up] = score.get(up, 0.0) + score[k] / 2
-    score.pop(0, None)
     return score
 
 
@@ -205,7 +204,7 @@ def votes(page: Page) -> dict[str, float]:
 
 def _ancestors(page: Page, k: int) -> list[int]:
     out = [k]
-    while page.nodes[k].parent > 0:
+    while page.nodes[k].parent >= 0:
         k = page.nodes[k].parent
         out.append(k)
     return out
@@ -214,7 +213,7 @@ def _ancestors(page: Page, k: int) -> list[int]:
 def main_element(page: Page, path: str | None) -> int:
     """Node to extract: the elements on ``path`` or what encloses them all,
     widened to an enclosing article or main element."""
-    found = [k for k in range(1, len(page.nodes)) if page.nodes[k].path == path and not page.nodes[k].skip]
+    found = [k for k, node in enumerate(page.nodes) if node.path == path and not node.skip]
     if not found:
         score = container_scores(page)
         if not score:
@@ -226,7 +225,7 @@ def main_element(page: Page, path: str | None) -> int:
         common = [c for c in common if c in have]
     wide = [k for k in common if page.nodes[k].tag in MAIN]
     articles = [k for k in wide if page.nodes[k].tag == "article"]
-    return (articles or wide or common or [0])[-1 if articles or wide else 0]
+    return (articles or wide or [common[0]])[-1]
 
 
 def extract(page: Page, path: str | None) -> list[str]:
@@ -239,7 +238,7 @@ def extract(page: Page, path: str | None) -> list[str]:
     for _, inner, text, _ in page.blocks:
         node = page.nodes[inner]
         if inner in inside and not node.skip:
-            if node.header and not (node.tag in HEADING and page.nodes[top].tag not in ("html", "body", "")):
+            if node.header and not (node.tag in HEADING and top > 0):
                 continue
             out.append(text)
     return out
