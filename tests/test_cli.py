@@ -3,7 +3,8 @@ written tables and the seven dashboard report files out."""
 
 import os
 
-from wavelake.__main__ import REPORT_HEADERS, export_reports, main
+from wavelake.__main__ import export_reports, main
+from wavelake.plans.survey_preset import REPORT_HEADERS
 from wavelake.session import local_path, scratch_path
 from wavelake.sources.csv import write_wave_csv
 

@@ -57,7 +57,7 @@ def test_alias_exact_match_and_classify_on_original(spark):
 
 
 def test_band_order_and_anomaly(spark):
-    spec = BandSpec(anomaly_prefixes=("de R$ 101/",), anomaly_contains=("R$ 3000/",),
+    spec = BandSpec(amount_pattern=r"R\$\s*([0-9\.]+)", thousands_sep=".", anomaly_prefixes=("de R$ 101/",), anomaly_contains=("R$ 3000/",),
                     order_overrides={"de R$ 101/": 1001})
     bands = ["Menos de R$ 1.000/mês", "de R$ 101/mês a R$ 2.000/mês", "de R$ 2.001/mês a R$ 3000/mês",
              "Acima de R$ 40.001/mês", "Prefiro não informar"]

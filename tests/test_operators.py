@@ -193,7 +193,7 @@ def test_empty_dimension_lists_are_rejected(spark):
     with pytest.raises(ValueError):
         profile_distribution(df, "wave", "id", [])
     with pytest.raises(ValueError):
-        band_distribution(df, "wave", "id", "band", [], BandSpec(), overall=None)
+        band_distribution(df, "wave", "id", "band", [], BandSpec(amount_pattern="([0-9]+)"), overall=None)
 
 
 def test_schema_check_reports_missing_type_and_extra_columns(spark):

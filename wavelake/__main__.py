@@ -5,13 +5,15 @@
 
 ``run`` reads each wave's CSV folder (all strings), lands it as Parquet,
 builds and writes the three silver and four gold tables (survey preset names)
-and registers them.  ``reports`` re-registers the written tables and exports
-the dashboard reports (quoted CSV, one folder per report).
+and registers them as external tables of the session's catalog.  Given some
+of the waves, it replaces these and keeps the others.  ``reports`` exports the
+dashboard reports of the written tables (quoted CSV, one folder per report).
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import sys
 
 from .plans import medallion, reports
@@ -52,20 +54,6 @@ REPORTS = {
     "07_ia": lambda s, n: reports.indicator_subset(s, ["prioridade_empresa", "resultado_llm_empresa"], names=n),
 }
 
-# column names of the exported files, in the reference's dashboard format
-REPORT_HEADERS = {
-    "01_senioridade": ["ano_pesquisa", "senioridade", "quantidade", "total_validos", "percentual", "ranking"],
-    "02_genero": ["ano_pesquisa", "genero", "quantidade", "total_validos", "percentual"],
-    "03_regiao": ["ano_pesquisa", "regiao", "quantidade", "percentual"],
-    "04_modelo_trabalho": ["ano_pesquisa", "modelo_trabalho", "quantidade", "percentual"],
-    "05_remuneracao_senioridade": ["ano_pesquisa", "senioridade", "faixa_salarial", "quantidade", "percentual",
-                                   "faixa_salarial_ordem"],
-    "06_top_tecnologias": ["ano_pesquisa", "categoria", "ranking", "tecnologia", "qtd_profissionais",
-                           "percentual_adocao", "comparabilidade"],
-    "07_ia": ["ano_pesquisa", "dimensao", "resposta", "qtd_respondentes", "percentual", "ranking",
-              "percentuais_somam_100"],
-}
-
 
 def export_reports(spark, root: str, out: str) -> list[str]:
     names = reports.register(_engine_tables(spark, root),
@@ -74,7 +62,7 @@ def export_reports(spark, root: str, out: str) -> list[str]:
     written = []
     for name, build in REPORTS.items():
         path = f"{out.rstrip('/')}/{name}"
-        export_report(build(spark, names).toDF(*REPORT_HEADERS[name]), path, single_file=True)
+        export_report(build(spark, names).toDF(*P.REPORT_HEADERS[name]), path, single_file=True)
         written.append(path)
     return written
 
@@ -97,8 +85,9 @@ def main(argv: list[str] | None = None) -> int:
         known = {e.name for e in q.editions}
         if set(bronze) - known:
             raise SystemExit(f"no layout for waves {sorted(set(bronze) - known)}")
-        q = __import__("dataclasses").replace(q, editions=[e for e in q.editions if e.name in bronze])
-        medallion.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES)
+        q = dataclasses.replace(q, editions=[e for e in q.editions if e.name in bronze])
+        medallion.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES,
+                      catalog=True)
     else:
         for path in export_reports(spark, args.root, args.out):
             print(path)

@@ -1,7 +1,6 @@
 """Pay-band text helpers: order key from the first amount, anomaly flag.
 
-A band label such as ``de R$ 1.001/mês a R$ 2.000/mês`` is ordered by its
-first amount (thousands dots removed).  Misprinted options are kept but
+A band label is ordered by its first amount (thousands separators removed).  Misprinted options are kept but
 flagged, and may get an explicit order key.
 """
 
@@ -15,22 +14,20 @@ from pyspark.sql import functions as F
 
 from .columns import as_col
 
-# Fixed value: the amount pattern of the reference's band labels
-# (currency symbol, optional spaces, digits with dot thousands separators).
-DEFAULT_AMOUNT_PATTERN = r"R\$\s*([0-9\.]+)"
-
 
 @dataclass(frozen=True)
 class BandSpec:
-    amount_pattern: str = DEFAULT_AMOUNT_PATTERN
-    thousands_sep: str = "."
+    """How a questionnaire writes its bands; ``amount_pattern`` has one group
+    around the digits of the first amount and their thousands separators."""
+    amount_pattern: str
+    thousands_sep: str = ""
     anomaly_prefixes: Sequence[str] = field(default_factory=tuple)
     anomaly_contains: Sequence[str] = field(default_factory=tuple)
     # label prefix -> order key used instead of the parsed first amount
     order_overrides: Mapping[str, int] = field(default_factory=dict)
 
 
-def first_amount(c: str | Column, spec: BandSpec = BandSpec()) -> Column:
+def first_amount(c: str | Column, spec: BandSpec) -> Column:
     """First amount in the label as int; NULL when the label has none."""
     raw = F.regexp_extract(as_col(c), spec.amount_pattern, 1)
     digits = F.regexp_replace(raw, "[" + "\\" + spec.thousands_sep + "]", "") if spec.thousands_sep else raw

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ident, is_selected_sql
 from ..functions.text import ordered_rules_sql
-from .multiselect import Option, _id_sql, _with_wave_sql, options_frame
+from .multiselect import Option, options_frame, unpivot_slots
 
 
 @dataclass(frozen=True)
@@ -38,30 +38,19 @@ def answers_long(df: DataFrame, id_col: str, wave: int | str | Column, categoric
     and ``original_name``.  Flag options carry both in ``Option.values``; for
     categorical questions they come from the text."""
     n_cat = len(categorical)
-    slots = [f"_f{i}" for i in range(n_cat + len(flags))]
-    meta_opts = [Option(c.header, {**c.values, "_kind": "c"}) for c in categorical] + \
-                [Option(o.header, {**o.values, "_kind": "f"}) for o in flags]
-    df, wave_sql = _with_wave_sql(df, wave)
-    base = df.selectExpr(
-        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
-        *[f"CAST({ident(o.header)} AS STRING) AS {s}" for o, s in zip(meta_opts, slots)])
-    long = base.unpivot([id_name, wave_name], slots, "_slot", "_v").filter(f"{ident(id_name)} IS NOT NULL")
-    meta = F.broadcast(options_frame(df.sparkSession, meta_opts, [*columns, "_kind"]))
-    joined = long.join(meta, "_slot")
+    options = [Option(c.header, c.values) for c in categorical] + list(flags)
+    headers = {i: o.header for i, o in enumerate(options)}
+    # what a column is follows from its number, so cells that are no answer go
+    # before the join
+    long = unpivot_slots(df, id_col, wave, headers, id_name, wave_name, blank_as_null)
     text_ok = "NULLIF(trim(_v), '') IS NOT NULL" if blank_as_null else "_v IS NOT NULL"
-    keep = f"CASE WHEN _kind = 'f' THEN {is_selected_sql('_v')} ELSE {text_ok} END"
-    if categorical:
-        code = "CASE " + " ".join(
-            f"WHEN _slot = '_f{i}' THEN {ordered_rules_sql('_v', c.rules, fold_accents)}"
-            for i, c in enumerate(categorical)) + " END"
-    else:
-        code = "CAST(NULL AS STRING)"
-    exprs = []
-    for c in columns:
-        if c == answer_name:
-            exprs.append(f"CASE WHEN _kind = 'f' THEN {ident(c)} ELSE {code} END AS {ident(c)}")
-        elif c == original_name:
-            exprs.append(f"CASE WHEN _kind = 'f' THEN {ident(c)} ELSE trim(_v) END AS {ident(c)}")
-        else:
-            exprs.append(ident(c))
-    return joined.filter(keep).selectExpr(ident(id_name), ident(wave_name), *exprs)
+    long = long.filter(f"CASE WHEN _slot >= {n_cat} THEN {is_selected_sql('_v')} ELSE {text_ok} END")
+    meta = F.broadcast(options_frame(df.sparkSession, options, columns))
+    code = "CASE " + " ".join(
+        f"WHEN _slot = {i} THEN {ordered_rules_sql('_v', c.rules, fold_accents)}"
+        for i, c in enumerate(categorical)) + " END" if categorical else "CAST(NULL AS STRING)"
+    own = {answer_name: code, original_name: "trim(_v)"}
+    return long.join(meta, "_slot").selectExpr(
+        ident(id_name), ident(wave_name),
+        *[f"CASE WHEN _slot >= {n_cat} THEN {ident(c)} ELSE {own[c]} END AS {ident(c)}" if c in own else ident(c)
+          for c in columns])

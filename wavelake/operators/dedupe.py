@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import safe_col
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` ascending (NULLs first),
-    ties broken by the remaining columns.  NULL keys form one group, as in
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None,
+           nulls_last: bool = False) -> DataFrame:
+    """One row per ``keys``: the first by ``order`` ascending, ties broken by
+    the remaining columns; a NULL is the least value, or with ``nulls_last``
+    the greatest.  NULL keys form one group, as in
     ``dropDuplicates``.  Column order of ``df`` is kept."""
     cols = list(df.columns)
     rest = [c for c in cols if c not in keys]
@@ -28,7 +30,10 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | N
     order_exprs = [(safe_col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
     if not rest:
         return df.select(*[safe_col(k) for k in keys]).distinct().select(*[safe_col(c) for c in cols])
-    best = F.min(F.struct(*order_exprs, *[safe_col(c).alias(f"_v{i}") for i, c in enumerate(rest)])).alias("_best")
+    parts = [*order_exprs, *[safe_col(c).alias(f"_v{i}") for i, c in enumerate(rest)]]
+    if nulls_last:
+        parts = [x for p in parts for x in (p.isNull(), p)]
+    best = F.min(F.struct(*parts)).alias("_best")
     agg = df.groupBy(*[safe_col(k) for k in keys]).agg(best)
     out = {c: safe_col(c) for c in keys}
     out.update({c: F.col("_best").getField(f"_v{i}").alias(c) for i, c in enumerate(rest)})

@@ -10,6 +10,10 @@ rows by a window over ``outer`` (the aggregated rows are few: one per
 category).  One scan of the input, no join.  The distinct aggregate is
 planned as partial dedupe -> shuffle on (keys, id) -> count, so a hot key is
 combined map-side and never lands whole on one task.
+
+Where an id stands at most once per (outer) already (``unique_ids``), a plain
+``count(id)`` per detail group is enough and the denominator is the sum of
+the group counts: the shuffle carries one row per group and task, no id.
 """
 
 from __future__ import annotations
@@ -31,19 +35,24 @@ def _c(x: str | Column) -> Column:
 def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id_col: str, *,
                    count_name: str = "count", total_name: str = "total", pct_name: str = "percent",
                    numerator: Column | None = None, rank_name: str | None = None,
-                   rank_order: Sequence[Column] | None = None) -> DataFrame:
+                   rank_order: Sequence[Column] | None = None, unique_ids: bool = False) -> DataFrame:
     """Per (outer, inner): distinct ids (numerator rows only), distinct ids of
     all rows of (outer) as the base, the percentage and optionally a
-    ``row_number`` rank within (outer)."""
+    ``row_number`` rank within (outer).  ``unique_ids`` states that no id
+    occurs twice in (outer); it changes the plan, not the result."""
     outer, inner = list(outer), list(inner)
     flag = (numerator if numerator is not None else F.lit(True)).alias("_num")
     base = df.select(*[_c(c) for c in outer + inner], _c(id_col).alias("_id"), flag)
     keys = outer + inner + ["_num"]
-    agg = (base.groupingSets([keys, outer], *keys)
-           .agg(F.count_distinct("_id").alias("_q"), F.grouping_id().alias("_g")))
     w = Window.partitionBy(*outer)
-    spread = agg.withColumn("_t", F.max(F.when(F.col("_g") != 0, F.col("_q"))).over(w))
-    detail = spread.filter((F.col("_g") == 0) & F.col("_num"))
+    if unique_ids:
+        agg = base.groupBy(*keys).agg(F.count("_id").alias("_q"))
+        detail = agg.withColumn("_t", F.sum("_q").over(w)).filter("_num")
+    else:
+        agg = (base.groupingSets([keys, outer], *keys)
+               .agg(F.count_distinct("_id").alias("_q"), F.grouping_id().alias("_g")))
+        spread = agg.withColumn("_t", F.max(F.when(F.col("_g") != 0, F.col("_q"))).over(w))
+        detail = spread.filter((F.col("_g") == 0) & F.col("_num"))
     out = detail.select(*outer, *inner, F.col("_q").alias(count_name), F.col("_t").alias(total_name),
                         percent("_q", "_t").alias(pct_name))
     if rank_name:
@@ -70,14 +79,14 @@ def unpivot_dimensions(df: DataFrame, ids: Sequence[str], dims: Sequence[str], d
 def profile_distribution(df: DataFrame, wave: str, id_col: str, dims: Sequence[str], *,
                          dim_name: str = "dimension", cat_name: str = "category", count_name: str = "count",
                          total_name: str = "total_valid", pct_name: str = "percent",
-                         rank_name: str = "rank") -> DataFrame:
+                         rank_name: str = "rank", unique_ids: bool = False) -> DataFrame:
     """Share of entities per category of each dimension; the base is the
     entities with a non-blank value in that dimension."""
     if not dims:
         raise ValueError("profile_distribution needs at least one dimension")
     long = unpivot_dimensions(df, [wave, id_col], dims, dim_name, cat_name).filter(not_blank(cat_name))
     return distinct_share(long, [wave, dim_name], [cat_name], id_col, count_name=count_name,
-                          total_name=total_name, pct_name=pct_name, rank_name=rank_name)
+                          total_name=total_name, pct_name=pct_name, rank_name=rank_name, unique_ids=unique_ids)
 
 
 def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims: Sequence[str],
@@ -85,7 +94,8 @@ def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims
                       dim_name: str = "analysis_dimension", cat_name: str = "analysis_category",
                       band_name: str | None = None, order_name: str = "band_order",
                       anomaly_name: str = "band_anomaly", count_name: str = "count",
-                      total_name: str = "total_valid", pct_name: str = "percent") -> DataFrame:
+                      total_name: str = "total_valid", pct_name: str = "percent",
+                      unique_ids: bool = False) -> DataFrame:
     """Band shares overall and within each category of each dimension; the
     base is the entities with a valid band (and category).  Adds the band
     order key and the anomaly flag; anomalous bands are kept."""
@@ -96,7 +106,7 @@ def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims
     long = unpivot_dimensions(valid, [wave, id_col, band_col], dims, dim_name, cat_name, constant=overall)
     long = long.filter(not_blank(cat_name))
     out = distinct_share(long, [wave, dim_name, cat_name], [band_col], id_col, count_name=count_name,
-                         total_name=total_name, pct_name=pct_name)
+                         total_name=total_name, pct_name=pct_name, unique_ids=unique_ids)
     return out.select(wave, dim_name, cat_name, F.col(band_col).alias(band_name),
                       band_order(band_col, spec).alias(order_name),
                       band_anomaly(band_col, spec).alias(anomaly_name),
@@ -127,10 +137,13 @@ def answer_share(df: DataFrame, wave: str, id_col: str, dimension: str, answer:
 
 def share_of_sum(df: DataFrame, partition: Sequence[str], count_col: str, pct_name: str = "percent") -> DataFrame:
     """Percentage of each row's count in the sum of counts of its partition
-    (equal to the distinct base only for single-answer data).  Run it on
-    aggregated rows: an empty ``partition`` puts them in one window."""
-    w = Window.partitionBy(*partition) if partition else Window.partitionBy()
-    return df.withColumn(pct_name, percent(count_col, F.sum(count_col).over(w)))
+    (equal to the distinct base only for single-answer data).  Without a
+    partition the total is a scalar subquery, a sum with partial sums per
+    task, so no task holds all rows."""
+    if partition:
+        return df.withColumn(pct_name, percent(count_col, F.sum(count_col).over(Window.partitionBy(*partition))))
+    total = df.agg(F.sum(count_col))
+    return df.select("*", percent(F.col(count_col), total.scalar()).alias(pct_name))
 
 
 def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[Column], k: int,

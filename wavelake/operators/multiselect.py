@@ -2,9 +2,14 @@
 
 Plan shape (per edition): one scan, ``unpivot`` of the option columns
 (an ``Expand``), a filter on the parsed flag, and a broadcast join to the
-option metadata.  The metadata has one row per option column, so its size is
-bounded by the width of the schema and is checked before it is broadcast.
-A respondent who selected nothing in a block yields no row (inner semantics).
+option metadata.  The metadata has one row per option column of the header,
+known when the plan is built.  A respondent who selected nothing in a block
+yields no row (inner semantics).
+
+De-duplication needs no text: ``distinct_flags`` numbers the options so that
+the number is the dedupe order, groups by (wave, id, item code) with a
+``min`` of that integer (a hash aggregate over integers) and joins the labels
+to what is left.
 """
 
 from __future__ import annotations
@@ -19,10 +24,7 @@ from pyspark.sql import types as T
 from ..functions.columns import clean_text_sql, ident, is_selected_sql, tolerant_int_sql
 from ..functions.text import alias_py, classify_py
 from . import discover
-
-# Metadata rows are one per option column; a schema wider than this is not a
-# questionnaire and would not be broadcast.
-MAX_OPTIONS = 100_000
+from .harmonize import union_waves
 
 
 @dataclass(frozen=True)
@@ -46,14 +48,25 @@ def _with_wave_sql(df: DataFrame, wave: int | str | Column) -> tuple[DataFrame,
 
 
 def options_frame(spark: SparkSession, options: Sequence[Option], columns: Sequence[str]) -> DataFrame:
-    if len(options) > MAX_OPTIONS:
-        raise ValueError(f"{len(options)} option columns exceed the broadcast bound {MAX_OPTIONS}")
-    schema = T.StructType([T.StructField("_slot", T.StringType(), False)] +
+    """One row per option: its number ``_slot`` and its literal values."""
+    schema = T.StructType([T.StructField("_slot", T.IntegerType(), False)] +
                           [T.StructField(c, T.StringType(), True) for c in columns])
-    rows = [(f"_f{i}", *[o.values.get(c) for c in columns]) for i, o in enumerate(options)]
+    rows = [(i, *[o.values.get(c) for c in columns]) for i, o in enumerate(options)]
     return spark.createDataFrame(rows, schema)
 
 
+def unpivot_slots(df: DataFrame, id_col: str, wave: int | str | Column, headers: Mapping[int, str], id_name: str,
+                  wave_name: str, blank_as_null: bool) -> DataFrame:
+    """(id, wave, _slot, _v): one row per numbered column and row with an id."""
+    df, wave_sql = _with_wave_sql(df, wave)
+    base = df.selectExpr(
+        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
+        *[f"CAST({ident(h)} AS STRING) AS _f{i}" for i, h in headers.items()])
+    return (base.unpivot([id_name, wave_name], [f"_f{i}" for i in headers], "_name", "_v")
+            .filter(f"{ident(id_name)} IS NOT NULL")
+            .selectExpr(ident(id_name), ident(wave_name), "CAST(substr(_name, 3) AS INT) AS _slot", "_v"))
+
+
 def flags_to_long(df: DataFrame, id_col: str, wave: int | str | Column, options: Sequence[Option],
                   columns: Sequence[str], id_name: str = "entity_id", wave_name: str = "wave",
                   selected_value: float = 1.0, blank_as_null: bool = True) -> DataFrame:
@@ -63,18 +76,41 @@ def flags_to_long(df: DataFrame, id_col: str, wave: int | str | Column, options:
     cell is selected when it parses to ``selected_value``."""
     if not options:
         raise ValueError("no option columns")
-    spark = df.sparkSession
-    slots = [f"_f{i}" for i in range(len(options))]
-    df, wave_sql = _with_wave_sql(df, wave)
-    base = df.selectExpr(
-        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
-        *[f"CAST({ident(o.header)} AS STRING) AS {s}" for o, s in zip(options, slots)])
-    long = (base.unpivot([id_name, wave_name], slots, "_slot", "_flag")
-            .filter(f"{ident(id_name)} IS NOT NULL AND {is_selected_sql('_flag', selected_value)}"))
-    meta = F.broadcast(options_frame(spark, options, columns))
+    headers = {i: o.header for i, o in enumerate(options)}
+    long = unpivot_slots(df, id_col, wave, headers, id_name, wave_name, blank_as_null).filter(
+        is_selected_sql("_v", selected_value))
+    meta = F.broadcast(options_frame(df.sparkSession, options, columns))
     return long.join(meta, "_slot").select(id_name, wave_name, *columns)
 
 
+def distinct_flags(parts: Sequence[tuple[DataFrame, str, int | str | Column, Sequence[Option]]],
+                   columns: Sequence[str], keys: Sequence[str], order: Sequence[str], id_name: str = "entity_id",
+                   wave_name: str = "wave", blank_as_null: bool = True) -> DataFrame:
+    """``flags_to_long`` of several editions (frame, id column, wave, options),
+    united and de-duplicated on (wave, id, *keys): of the options that name
+    one item the first by ``order`` and then the other columns stays."""
+    if not any(options for *_, options in parts):
+        raise ValueError("no option columns")
+    rest = [c for c in columns if c not in keys and c not in order]
+
+    def place(option: Option) -> list[tuple[bool, bytes]]:  # as Spark orders: NULL first, then by bytes
+        return [(v is not None, (v or "").encode()) for v in (option.values.get(c) for c in [*order, *rest, *keys])]
+    every = sorted((o for *_, options in parts for o in options), key=place)
+    number: dict[int, int] = {id(o): i for i, o in enumerate(every)}
+    codes: dict[tuple, int] = {}
+    code = [codes.setdefault(tuple(o.values.get(k) for k in keys), len(codes)) for o in every]
+    rows = []
+    for df, id_col, wave, options in parts:
+        if options:
+            headers = {number[id(o)]: o.header for o in options}
+            rows.append(unpivot_slots(df, id_col, wave, headers, id_name, wave_name, blank_as_null).filter(
+                is_selected_sql("_v")).drop("_v"))
+    item = F.get(F.lit(code), F.col("_slot")).alias("_code")
+    kept = union_waves(rows).groupBy(id_name, wave_name, item).agg(F.min("_slot").alias("_slot"))
+    meta = F.broadcast(options_frame(parts[0][0].sparkSession, every, columns))
+    return kept.join(meta, "_slot").select(id_name, wave_name, *columns)
+
+
 # --- option builders (plan time, from the header only) ---------------------
 
 def prefix_options(columns: Sequence[str], prefix: str, style: str, *, category_col: str, category: str,

@@ -39,7 +39,6 @@ class Edition:
     id_header: str
     profile_map: Mapping[str, str]               # canonical field -> raw header
     wave: int | str                              # literal wave, or raw header holding it
-    waves: Sequence[int] = ()                    # waves written in this layout
     # multi-select by prefix: category -> (prefix, question text, comparability)
     prefix_blocks: Mapping[str, tuple[str, str, str]] = field(default_factory=dict)
     coded_blocks: Sequence[CodedBlock] = ()
@@ -54,6 +53,9 @@ class Questionnaire:
     id_name: str = "entity_id"
     wave_name: str = "wave"
     dedupe_order: Sequence[str] = ()
+    # which of two duplicated entities is kept where the order decides nothing:
+    # False the one with missing answers first, True the one with answers
+    dedupe_nulls_last: bool = False
     # blank ids / answers count as missing (True); False keeps the
     # reference's mixed handling (ids only trimmed, spaces-only answers kept)
     blank_as_null: bool = True
@@ -69,4 +71,4 @@ class Questionnaire:
     band_field: str = "pay_band"
     band_dims: Sequence[str] = ()
     band_overall: tuple[str, str] = ("overall", "all")
-    band_spec: BandSpec = BandSpec()
+    band_spec: BandSpec | None = None            # needed for the pay indicators

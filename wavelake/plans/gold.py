@@ -1,4 +1,7 @@
-"""Silver -> the four indicator (gold) tables."""
+"""Silver -> the four indicator (gold) tables.
+
+Entities come de-duplicated, so an id counts once per wave without a distinct
+(``unique_ids``); selections and answers hold an id once per item."""
 
 from __future__ import annotations
 
@@ -8,18 +11,16 @@ from pyspark.sql import functions as F
 from ..operators import metrics
 from .config import Questionnaire
 
-PROFILE_COLUMNS = ["wave", "dimension", "category", "count", "total_valid", "percent", "rank"]
-
-
 def profile(q: Questionnaire, entities: DataFrame) -> DataFrame:
-    out = metrics.profile_distribution(entities, q.wave_name, q.id_name, q.profile_dims)
+    out = metrics.profile_distribution(entities, q.wave_name, q.id_name, q.profile_dims,
+                                       unique_ids=True)
     return out.select(q.wave_name, "dimension", "category", "count", "total_valid", "percent", "rank")
 
 
 def pay(q: Questionnaire, entities: DataFrame, dims=None, overall=True) -> DataFrame:
     return metrics.band_distribution(entities, q.wave_name, q.id_name, q.band_field,
                                      q.band_dims if dims is None else dims, q.band_spec,
-                                     overall=q.band_overall if overall else None)
+                                     overall=q.band_overall if overall else None, unique_ids=True)
 
 
 def technologies(q: Questionnaire, selections: DataFrame) -> DataFrame:

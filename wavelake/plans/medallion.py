@@ -10,13 +10,15 @@ every check or report re-reads compact Parquet instead of re-running the job.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.catalog import register_views
+from ..functions.columns import ident, tolerant_int_sql
+from ..sources.catalog import register_external, register_views
 from ..sources.landing import land
-from ..sources.parquet import read_table, write_partitioned
+from ..sources.parquet import read_table, replace_waves
 from . import gold, silver
 from .config import Questionnaire
 
@@ -28,8 +30,25 @@ def _rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns]) if names else df
 
 
-def _persist(df: DataFrame, path: str, wave: str, names: Mapping[str, str]) -> DataFrame:
-    write_partitioned(_rename(df, names), path, [names.get(wave, wave)])
+def held_waves(q: Questionnaire, bronze: Mapping[str, DataFrame]) -> list[int | None]:
+    """The waves that these editions hold: as configured, or for an edition
+    with a wave column the values in it (a scan of that column)."""
+    held: set[int | None] = set()
+    for e in q.editions:
+        if isinstance(e.wave, int):
+            held.add(e.wave)
+        else:
+            column = bronze[e.name].selectExpr(f"{tolerant_int_sql(ident(e.wave))} AS w")
+            held |= {r["w"] for r in column.distinct().collect()}
+    return sorted(held, key=lambda w: (w is None, w))
+
+
+def _of_waves(df: DataFrame, wave: str, held: list[int | None]) -> DataFrame:
+    return df.filter(reduce(lambda a, b: a | b, [F.col(wave).eqNullSafe(F.lit(w)) for w in held], F.lit(False)))
+
+
+def _persist(df: DataFrame, path: str, wave: str, names: Mapping[str, str], held: list[int | None]) -> DataFrame:
+    replace_waves(_rename(df, names), path, names.get(wave, wave), held)
     back = read_table(df.sparkSession, path)
     inverse = {v: k for k, v in names.items()}
     # restore the engine's column names and order for the next layer
@@ -39,9 +58,14 @@ def _persist(df: DataFrame, path: str, wave: str, names: Mapping[str, str]) -> D
 def run(spark: SparkSession, q: Questionnaire, bronze: Mapping[str, DataFrame], root: str,
         table_names: Mapping[str, str] | None = None,
         output_names: Mapping[str, Mapping[str, str]] | None = None,
-        land_bronze: bool = True) -> dict[str, DataFrame]:
+        land_bronze: bool = True, catalog: bool = False) -> dict[str, DataFrame]:
     """Build, write and register all seven tables; returns them as read back.
 
+    Only the waves held by ``bronze`` are rebuilt and replaced, in silver and
+    in gold; other waves of tables already below ``root`` stay.  The tables
+    are registered as temporary views, or with ``catalog`` as durable external
+    tables over the written folders.
+
     ``table_names`` name the registered views / folders; ``output_names``
     rename stored columns per table (e.g. to a legacy schema).  With
     ``land_bronze`` each wide edition is read once and landed as Parquet, so
@@ -51,16 +75,22 @@ def run(spark: SparkSession, q: Questionnaire, bronze: Mapping[str, DataFrame],
     root = root.rstrip("/")
     if land_bronze:
         bronze = {name: land(df, f"{root}/bronze_landed/{name}") for name, df in bronze.items()}
+    held = held_waves(q, bronze)
     out: dict[str, DataFrame] = {}
     builders = {"entities": silver.entities, "selections": silver.selections, "answers": silver.answers}
     for key in SILVER:
         out[key] = _persist(builders[key](q, bronze), f"{root}/silver/{table_names[key]}", q.wave_name,
-                            output_names.get(key, {}))
-    gold_frames = {"profile": gold.profile(q, out["entities"]), "pay": gold.pay(q, out["entities"]),
-                   "technologies": gold.technologies(q, out["selections"]),
-                   "gold_answers": gold.answers(q, out["answers"])}
+                            output_names.get(key, {}), held)
+    new = {key: _of_waves(out[key], q.wave_name, held) for key in SILVER}
+    gold_frames = {"profile": gold.profile(q, new["entities"]), "pay": gold.pay(q, new["entities"]),
+                   "technologies": gold.technologies(q, new["selections"]),
+                   "gold_answers": gold.answers(q, new["answers"])}
     for key in GOLD:
         out[key] = _persist(gold_frames[key], f"{root}/gold/{table_names[key]}", q.wave_name,
-                            output_names.get(key, {}))
+                            output_names.get(key, {}), held)
+    if catalog:
+        for key, name in table_names.items():
+            register_external(spark, name, f"{root}/{'silver' if key in SILVER else 'gold'}/{name}")
+        return out
     register_views({table_names[k]: _rename(df, output_names.get(k, {})) for k, df in out.items()})
     return out

@@ -48,16 +48,19 @@ def _cte_defs(pay_dims=("segment", "region", "status"), pay_overall=True) -> dic
     types, items, colors = V.PART_TYPES, V.PART_ITEMS, V.PART_COLORS
     d: dict[str, tuple[tuple[str, ...], str]] = {}
     d["resp"] = ((), """
-  SELECT o.o_orderkey, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS wave, o.o_orderstatus,
+  SELECT o.o_orderkey, CASE WHEN o.o_orderkey % 97 IN (1, 2) THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END
+         AS entity_id, CAST(year(o.o_orderdate) AS INTEGER) AS wave, o.o_orderstatus,
          o.o_totalprice, o.o_orderpriority, c.c_mktsegment, c.c_acctbal, n.n_name, r.r_name
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey""")
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+  WHERE o.o_orderdate IS NOT NULL""")
     d["ent_raw"] = (("resp",), f"""
-  SELECT CAST(o_custkey AS VARCHAR) AS entity_id, wave, CAST(o_orderkey AS BIGINT) AS response_id,
-         CASE WHEN c_acctbal < 0 THEN NULL
+  SELECT entity_id, wave, CAST(o_orderkey AS BIGINT) AS response_id,
+         CASE WHEN c_acctbal < 0 OR o_orderkey % 13 = 4 THEN NULL
               ELSE CAST(20 + floor((c_acctbal + 1000.0) / 250.0) AS INTEGER) END AS age,
-         c_mktsegment AS segment, n_name AS nation, r_name AS region, o_orderpriority AS priority,
-         o_orderstatus AS status, {_band_sql()} AS pay_band
+         CASE WHEN o_orderkey % 11 IN (3, 5, 7) THEN NULL WHEN o_orderkey % 11 = 9 THEN c_mktsegment || ' "new"'
+              ELSE c_mktsegment END AS segment, n_name AS nation, r_name AS region, {PRIORITY} AS priority,
+         o_orderstatus AS status, CASE WHEN o_orderkey % 17 <> 6 THEN {_band_sql()} END AS pay_band
   FROM resp""")
     d["ent"] = (("ent_raw",), f"""
   SELECT {ENT_COLS} FROM (
@@ -76,9 +79,9 @@ def _cte_defs(pay_dims=("segment", "region", "status"), pay_overall=True) -> dic
          l.l_linestatus AS f_status,
          CASE WHEN l.l_discount <= 0.0 THEN 1 WHEN l.l_discount < 0.035 THEN 2
               WHEN l.l_discount < 0.075 THEN 3 ELSE 4 END AS f_discount
-  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey""")
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey""")
     d["lo"] = (("resp", "lines"), """
-  SELECT r.o_custkey, r.wave, r.o_orderkey, ln.* EXCLUDE (l_orderkey)
+  SELECT r.entity_id, r.wave, r.o_orderkey, ln.* EXCLUDE (l_orderkey)
   FROM resp r JOIN lines ln ON ln.l_orderkey = r.o_orderkey""")
 
     cats = {"part_type": "f_type", "part_item": "f_item", "part_color": "f_color", "returns": "f_return"}
@@ -97,13 +100,22 @@ def _cte_defs(pay_dims=("segment", "region", "status"), pay_overall=True) -> dic
         comp = _per_edition({e: "semantic_attention" if (e, cat) in V.SEMANTIC_ATTENTION else "comparable"
                              for e in (V.E1, V.E2, V.E3)})
         selects.append(f"""
-  SELECT CAST(o_custkey AS VARCHAR) AS entity_id, wave, '{cat}' AS category,
+  SELECT entity_id, wave, '{cat}' AS category,
          {item} AS item, {original} AS item_original, {_class_sql(original)} AS item_type,
          {question} AS question, {comp} AS comparability, o_orderkey
-  FROM lo""")
+  FROM lo WHERE {HAS_ID}""")
+        if cat == "part_type":  # the option that stands twice in the form
+            selects.append(f"""
+  SELECT entity_id, wave, '{cat}', {item}, CASE WHEN {_edition()} = 'e1' THEN {title} ELSE {col} END, 'item',
+         {question}, {comp}, o_orderkey
+  FROM lo WHERE {HAS_ID} AND f_type = '{V.TWICE}' AND o_orderkey % 3 = 0""")
     d["sel_lines"] = (("lo",), "\n  UNION ALL".join(selects))
     d["sel_raw"] = (("sel_lines",), f"SELECT {SEL_COLS} FROM (SELECT DISTINCT * FROM sel_lines)")
-    d["sel"] = (("sel_raw",), "SELECT DISTINCT * FROM sel_raw")
+    d["sel"] = (("sel_raw",), f"""
+  SELECT {SEL_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY wave, entity_id, category, item
+                                 ORDER BY item_original, question, item_type, comparability) AS rn
+    FROM sel_raw) WHERE rn = 1""")
 
     status_text = _case("o_orderstatus", V.STATUS_TEXT)
     brand_code = "(CASE " + " ".join(f"WHEN f_brand = {n} THEN {_q(c)}" for n, c in V.BRAND_CODES.items()) + " END)"
@@ -114,24 +126,24 @@ def _cte_defs(pay_dims=("segment", "region", "status"), pay_overall=True) -> dic
     block_o = _per_edition({e: V._coded_prefixes(e)["brand_bought"][1] for e in (V.E1, V.E2, V.E3)})
     block_d = _per_edition({e: V._coded_prefixes(e)["discount_level"][0] for e in (V.E1, V.E2, V.E3)})
     d["ans_lines"] = (("resp", "lo"), f"""
-  SELECT CAST(o_custkey AS VARCHAR) AS entity_id, wave, 'order_priority' AS dimension,
+  SELECT entity_id, wave, 'order_priority' AS dimension,
          {_rules_sql('o_orderpriority', V.PRIORITY_RULES)} AS answer, trim(o_orderpriority) AS answer_original,
          'single_choice' AS answer_type, 'comparable_all_editions' AS comparability, 'P3_e / 3.e' AS block,
          o_orderkey
-  FROM resp WHERE o_orderpriority IS NOT NULL AND trim(o_orderpriority) <> ''
+  FROM resp WHERE {HAS_ID} AND {PRIORITY} IS NOT NULL
   UNION ALL
-  SELECT CAST(o_custkey AS VARCHAR), wave, 'order_status', {_rules_sql(status_text, V.STATUS_RULES)},
+  SELECT entity_id, wave, 'order_status', {_rules_sql(status_text, V.STATUS_RULES)},
          trim({status_text}), 'single_choice', 'last_edition_only', '3.g', o_orderkey
-  FROM resp WHERE {_edition()} = 'e3' AND {status_text} IS NOT NULL AND trim({status_text}) <> ''
+  FROM resp WHERE {HAS_ID} AND {_edition()} = 'e3' AND {status_text} IS NOT NULL AND trim({status_text}) <> ''
   UNION ALL
-  SELECT CAST(o_custkey AS VARCHAR), wave, 'brand_bought', {brand_code}, {brand_label}, 'multi_select',
+  SELECT entity_id, wave, 'brand_bought', {brand_code}, {brand_label}, 'multi_select',
          'comparable_all_editions',
          CASE WHEN f_status = 'F' THEN {block_f} WHEN f_status <> 'F' THEN {block_o} END, o_orderkey
-  FROM lo
+  FROM lo WHERE {HAS_ID}
   UNION ALL
-  SELECT CAST(o_custkey AS VARCHAR), wave, 'discount_level', {disc_code}, {disc_label}, 'multi_select',
+  SELECT entity_id, wave, 'discount_level', {disc_code}, {disc_label}, 'multi_select',
          'comparable_all_editions', {block_d}, o_orderkey
-  FROM lo""")
+  FROM lo WHERE {HAS_ID}""")
     d["ans_raw"] = (("ans_lines",), f"SELECT {ANS_COLS} FROM (SELECT DISTINCT * FROM ans_lines WHERE block IS NOT NULL)")
     d["ans"] = (("ans_raw",), f"""
   SELECT {ANS_COLS} FROM (
@@ -225,6 +237,10 @@ def _rules_sql(text: str, rules) -> str:
     return f"(CASE {whens} ELSE trim({text}) END)"
 
 
+# answers that were spoiled in the form, and rows with an id
+PRIORITY = "CASE WHEN o_orderkey % 19 NOT IN (7, 8) THEN o_orderpriority END"
+HAS_ID = "entity_id IS NOT NULL"
+
 ENT_COLS = "entity_id, wave, response_id, age, segment, nation, region, priority, status, pay_band"
 SEL_COLS = "entity_id, wave, category, item, item_original, item_type, question, comparability"
 ANS_COLS = "entity_id, wave, dimension, answer, answer_original, answer_type, comparability, block"
@@ -257,6 +273,8 @@ def oracle_sql() -> dict[str, str]:
     labels = {"labels": (("lo",), f"""
   SELECT wave, CASE WHEN {_edition()} = 'e1' THEN f_type ELSE {_case('f_type', type_labels)} END AS label
   FROM (SELECT DISTINCT o_orderkey, wave, f_type FROM lo)
+  UNION ALL SELECT wave, CASE WHEN {_edition()} = 'e1' THEN {_q(V.TWICE[:1] + V.TWICE[1:].lower())} ELSE {_q(V.TWICE)} END
+  FROM (SELECT DISTINCT o_orderkey, wave FROM lo WHERE f_type = '{V.TWICE}' AND o_orderkey % 3 = 0)
   UNION ALL SELECT wave, f_item FROM (SELECT DISTINCT o_orderkey, wave, f_item FROM lo)
   UNION ALL SELECT wave, f_color FROM (SELECT DISTINCT o_orderkey, wave, f_color FROM lo)
   UNION ALL SELECT wave, {_case('f_return', {**V.RETURN_LABELS, '?': 'Other return status'})}
@@ -353,6 +371,8 @@ UNION ALL SELECT 'answers', count(*) FROM gans"""),
 SELECT 'entities' AS table_name, wave, count(*) AS row_count FROM ent GROUP BY ALL
 UNION ALL SELECT 'selections', wave, count(*) FROM sel GROUP BY ALL
 UNION ALL SELECT 'answers', wave, count(*) FROM ans GROUP BY ALL"""),
+        "quality_answer_distribution": sql(["ans"], "SELECT wave, dimension, answer, count(*) AS row_count FROM ans "
+                                                    "GROUP BY ALL"),
         "dedupe_is_idempotent": sql(["sel"], f"SELECT {SEL_COLS} FROM sel WHERE false"),
         "quality_sample": sql(["sel"], f"SELECT {SEL_COLS} FROM sel ORDER BY wave, entity_id, category, item LIMIT 20"),
         "parquet_partition_roundtrip": sql(["ent"], "SELECT wave, segment, count(*) AS entities, "

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_selected
-from ..operators import discover, metrics, quality
+from ..operators import discover, quality
 from ..operators.dedupe import dedupe
 from ..operators.harmonize import union_waves
 from ..sources import csv as csv_io
 from ..sources import export, parquet
 from ..session import scratch_path
-from . import gold, reports, silver, virtual
+from . import gold, medallion, reports, silver, virtual
 
 Q = virtual.questionnaire()
 
@@ -71,9 +71,33 @@ TABLE_BUILDERS = {
 }
 
 
+_STORED: dict[str, dict[str, tuple[str, list[str]]]] = {}
+
+
+def prepare(spark, sf) -> dict[str, tuple[str, list[str]]]:
+    """Run the persisted job once per session and input and register its seven
+    tables in the catalog; the reports and checks read these.  Returns each
+    table's name and columns."""
+    base = virtual.prepare(spark, sf)
+    if base not in _STORED:
+        root = scratch_path(spark, "lake")
+        tag = root.rsplit("-", 1)[1]
+        names = {k: f"wl_{tag}_{k}" for k in TABLE_BUILDERS}
+        tables = medallion.run(spark, Q, virtual.bronze(spark, sf, ("profile", "flags", "answers")), root,
+                               table_names=names, land_bronze=False, catalog=True)
+        _STORED[base] = {k: (names[k], df.columns) for k, df in tables.items()}
+    return _STORED[base]
+
+
+def stored_table(spark, sf, key: str):
+    """A table of the persisted job, columns in the builder's order."""
+    name, columns = prepare(spark, sf)[key]
+    return spark.table(name).select(*columns)
+
+
 def _register(spark, sf, needs):
-    """Register only the views a report reads (plans are built lazily)."""
-    return reports.register({k: TABLE_BUILDERS[k](spark, sf) for k in needs})
+    """Names under which a report finds the stored tables."""
+    return {**reports.DEFAULT_NAMES, **{k: name for k, (name, _) in prepare(spark, sf).items()}}
 
 
 # --- IO round trips ------------------------------------------------------------
@@ -225,8 +249,8 @@ def band_distribution_by_dimension(spark, sf):
 
 
 def topk_per_group(spark, sf):
-    return metrics.top_k(gold_technologies(spark, sf), ["wave", "category"],
-                         [F.desc("adopters"), F.asc("item")], 5, rank_name="top_rank")
+    # the rank is in the table already, in this order
+    return gold_technologies(spark, sf).filter(F.col("rank") <= 5).withColumn("top_rank", F.col("rank"))
 
 
 # --- SQL -------------------------------------------------------------------------
@@ -240,16 +264,19 @@ def _sql_query(needs, fn, *args, **kwargs):
 
 
 def quality_row_counts(spark, sf):
-    return quality.row_counts({"entities": entities(spark, sf), "selections": selections(spark, sf),
-                               "answers": answers(spark, sf)})
+    return quality.row_counts({k: stored_table(spark, sf, k) for k in ("entities", "selections", "answers")})
 
 
 def quality_sample(spark, sf):
-    return quality.sample(selections(spark, sf), ["wave", "entity_id", "category", "item"], 20)
+    return quality.sample(stored_table(spark, sf, "selections"), ["wave", "entity_id", "category", "item"], 20)
+
+
+def quality_answer_distribution(spark, sf):
+    return quality.distribution(stored_table(spark, sf, "answers"), ["wave", "dimension", "answer"])
 
 
 def dedupe_is_idempotent(spark, sf):
-    once = selections(spark, sf)
+    once = stored_table(spark, sf, "selections")
     twice = dedupe(once, ["wave", "entity_id", "category", "item"], order=["item_original"])
     return twice.exceptAll(once).unionByName(once.exceptAll(twice))
 
@@ -300,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_indicator_subset": _sql_query(["gold_answers"], reports.indicator_subset, ["order_priority", "order_status"]),
     "quality_row_counts": quality_row_counts,
     "quality_sample": quality_sample,
+    "quality_answer_distribution": quality_answer_distribution,
     "dedupe_is_idempotent": dedupe_is_idempotent,
     "parquet_partition_roundtrip": parquet_partition_roundtrip,
     "report_export_roundtrip": report_export_roundtrip,

@@ -4,8 +4,9 @@
 * selections: one row per (wave, entity, category, item)  -- prefix multi-select
 * answers:    one row per (wave, entity, dimension, answer)-- categorical + coded
 
-Each edition is scanned once per silver table; editions are unioned by name
-and de-duplicated once on the table key (one shuffle).
+Editions are unioned by name and de-duplicated once on the table key (one
+shuffle).  Option rows are de-duplicated as integer codes and get their labels
+afterwards; single-choice answers, whose text decides, as text.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from ..operators.answers import Categorical, answers_long
 from ..operators.dedupe import dedupe
 from ..operators.harmonize import harmonize, union_waves
-from ..operators.multiselect import coded_options, flags_to_long, prefix_options
+from ..operators.multiselect import coded_options, distinct_flags, flags_to_long, prefix_options
 from .config import Questionnaire
 
 SELECTION_COLUMNS = ["category", "item", "item_original", "item_type", "question", "comparability"]
@@ -32,7 +33,7 @@ def entities(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: boo
     out = union_waves(parts)
     if not deduplicate:
         return out
-    return dedupe(out, [q.wave_name, q.id_name], order=list(q.dedupe_order))
+    return dedupe(out, [q.wave_name, q.id_name], order=list(q.dedupe_order), nulls_last=q.dedupe_nulls_last)
 
 
 def selection_options(q: Questionnaire, edition, columns):
@@ -46,16 +47,12 @@ def selection_options(q: Questionnaire, edition, columns):
 
 
 def selections(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: bool = True) -> DataFrame:
-    parts = []
-    for e in q.editions:
-        df = bronze[e.name]
-        opts = selection_options(q, e, df.columns)
-        parts.append(flags_to_long(df, e.id_header, e.wave, opts, SELECTION_COLUMNS,
-                                   id_name=q.id_name, wave_name=q.wave_name, blank_as_null=q.blank_as_null))
-    out = union_waves(parts)
-    if not deduplicate:
-        return out
-    return dedupe(out, [q.wave_name, q.id_name, "category", "item"], order=["item_original", "question"])
+    names = {"id_name": q.id_name, "wave_name": q.wave_name, "blank_as_null": q.blank_as_null}
+    parts = [(bronze[e.name], e.id_header, e.wave, selection_options(q, e, bronze[e.name].columns))
+             for e in q.editions]
+    if deduplicate:
+        return distinct_flags(parts, SELECTION_COLUMNS, ["category", "item"], ["item_original", "question"], **names)
+    return union_waves([flags_to_long(*p, SELECTION_COLUMNS, **names) for p in parts])
 
 
 def answer_inputs(q: Questionnaire, edition, columns):
@@ -71,15 +68,27 @@ def answer_inputs(q: Questionnaire, edition, columns):
     return cats, flags
 
 
+ANSWER_KEYS, ANSWER_ORDER = ["dimension", "answer"], ["block", "answer_original"]
+
+
 def answers(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: bool = True) -> DataFrame:
-    parts = []
-    for e in q.editions:
-        df = bronze[e.name]
-        cats, flags = answer_inputs(q, e, df.columns)
-        parts.append(answers_long(df, e.id_header, e.wave, cats, flags, ANSWER_COLUMNS,
-                                  id_name=q.id_name, wave_name=q.wave_name, blank_as_null=q.blank_as_null))
-    out = union_waves(parts)
+    """The equivalent blocks of one dimension merge in the dedupe; the first
+    block is kept."""
+    names = {"id_name": q.id_name, "wave_name": q.wave_name, "blank_as_null": q.blank_as_null}
+    inputs = [(e, bronze[e.name], *answer_inputs(q, e, bronze[e.name].columns)) for e in q.editions]
     if not deduplicate:
-        return out
-    # the two equivalent blocks of one dimension merge here; keep the first block
-    return dedupe(out, [q.wave_name, q.id_name, "dimension", "answer"], order=["block", "answer_original"])
+        return union_waves([answers_long(df, e.id_header, e.wave, cats, flags, ANSWER_COLUMNS, **names)
+                            for e, df, cats, flags in inputs])
+    keys, found = [q.wave_name, q.id_name, *ANSWER_KEYS], []
+    texts = [answers_long(df, e.id_header, e.wave, cats, [], ANSWER_COLUMNS, **names)
+             for e, df, cats, _ in inputs if cats]
+    if texts:
+        found.append(dedupe(union_waves(texts), keys, order=ANSWER_ORDER))
+    coded = [(df, e.id_header, e.wave, flags) for e, df, _, flags in inputs]
+    if any(flags for *_, flags in coded):
+        found.append(distinct_flags(coded, ANSWER_COLUMNS, ANSWER_KEYS, ANSWER_ORDER, **names))
+    both = {c.dimension for e in q.editions for c in e.categorical} & {
+        b.dimension for e in q.editions for b in e.coded_blocks}
+    out = union_waves(found)
+    # a dimension asked both ways can have an answer in either form
+    return dedupe(out, keys, order=ANSWER_ORDER) if both else out

@@ -4,15 +4,11 @@ the reference processes, and the names of its output tables.
 Everything below the FIXED VALUES marker must equal the reference for equal
 results (raw headers, block prefixes, option codes, answer rules, aliases,
 classes, dimensions, band rules, output names).  ``questionnaire()`` turns
-them into the configuration the generic operators take; ``rename`` gives a
-result the reference's column names.
+them into the configuration the generic operators take.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from ..functions.bands import BandSpec
 from ..operators.discover import SPACE, TUPLE, UNDERSCORE
 from ..operators.harmonize import INT, TEXT, Field
@@ -218,7 +214,9 @@ PROFILE_DIMENSIONS = ["senioridade", "genero", "raca_etnia", "pcd", "regiao", "c
                       "modelo_trabalho_atual", "nivel_ensino", "situacao_trabalho"]
 PAY_DIMENSIONS = ["senioridade", "genero", "regiao", "cargo_atual"]
 PAY_OVERALL = ("geral", "todos")
-BAND_SPEC = BandSpec(anomaly_prefixes=("de R$ 101/",), anomaly_contains=("R$ 3000/",),
+# currency sign, optional spaces, digits with dots between thousands
+BAND_SPEC = BandSpec(amount_pattern=r"R\$\s*([0-9\.]+)", thousands_sep=".", 
+                     anomaly_prefixes=("de R$ 101/",), anomaly_contains=("R$ 3000/",),
                      order_overrides={"de R$ 101/": 1001})
 
 WAVE, ID = "ano_pesquisa", "id_respondente"
@@ -248,6 +246,20 @@ TABLE_NAMES = {"entities": "silver_respondentes", "selections": "silver_tecnolog
                "profile": "gold_perfil_mercado", "pay": "gold_remuneracao", "technologies": "gold_tecnologias",
                "gold_answers": "gold_ia"}
 
+# column names of the exported report files
+REPORT_HEADERS = {
+    "01_senioridade": ["ano_pesquisa", "senioridade", "quantidade", "total_validos", "percentual", "ranking"],
+    "02_genero": ["ano_pesquisa", "genero", "quantidade", "total_validos", "percentual"],
+    "03_regiao": ["ano_pesquisa", "regiao", "quantidade", "percentual"],
+    "04_modelo_trabalho": ["ano_pesquisa", "modelo_trabalho", "quantidade", "percentual"],
+    "05_remuneracao_senioridade": ["ano_pesquisa", "senioridade", "faixa_salarial", "quantidade", "percentual",
+                                   "faixa_salarial_ordem"],
+    "06_top_tecnologias": ["ano_pesquisa", "categoria", "ranking", "tecnologia", "qtd_profissionais",
+                           "percentual_adocao", "comparabilidade"],
+    "07_ia": ["ano_pesquisa", "dimensao", "resposta", "qtd_respondentes", "percentual", "ranking",
+              "percentuais_somam_100"],
+}
+
 # ============================================================================
 
 PROFILE_MAPS = {2023: PROFILE_MAP_2023, 2024: PROFILE_MAP_2024, 2025: PROFILE_MAP_2025}
@@ -268,19 +280,15 @@ def _edition(year: int) -> Edition:
                                         AI_RESULT_BLOCK))
     profile_map = {k: v for k, v in PROFILE_MAPS[year].items() if k != ID}
     return Edition(name=str(year), style=style, id_header=form["id"], profile_map=profile_map, wave=year,
-                   waves=(year,), prefix_blocks=blocks, coded_blocks=coded, categorical=cats,
+                   prefix_blocks=blocks, coded_blocks=coded, categorical=cats,
                    coded_style=TUPLE if year == 2023 else SPACE)
 
 
 def questionnaire() -> Questionnaire:
     fields = [Field(name, INT if name == "idade" else TEXT) for name in PROFILE_FIELDS]
     return Questionnaire(fields=fields, editions=[_edition(y) for y in (2023, 2024, 2025)], id_name=ID,
-                         wave_name=WAVE, aliases=TECH_ALIASES, class_rules=ITEM_CLASS_RULES,
+                         wave_name=WAVE, dedupe_nulls_last=True, blank_as_null=False, aliases=TECH_ALIASES, class_rules=ITEM_CLASS_RULES,
                          item_class=ITEM_DEFAULT_CLASS, single_choice=SINGLE_CHOICE, multi_select=MULTI_SELECT,
                          profile_dims=PROFILE_DIMENSIONS, band_field="faixa_salarial_original",
                          band_dims=PAY_DIMENSIONS, band_overall=PAY_OVERALL, band_spec=BAND_SPEC)
 
-
-def rename(df: DataFrame, table: str) -> DataFrame:
-    names = OUTPUT_NAMES[table]
-    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])

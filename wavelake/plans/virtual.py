@@ -18,13 +18,14 @@ Waves 1995-1996 use tuple-style headers, 1997-1998 dotted codes, 1999 on the
 dotted codes shifted the way later editions renumber questions.  Flags are
 written '1'/'0', '1.0'/'0.0' and '1'/'' respectively.  Everything is built
 with DataFrame operations over the whole tables.
+
+Rows are spoiled by the order key, so that every cleaning rule has work: ids
+and answers that are NULL or blank, ages that are no number, a segment with
+quotes, and one option printed twice in two spellings.
 """
 
 from __future__ import annotations
 
-import hashlib
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from ..functions.bands import BandSpec
 from ..operators.discover import TUPLE, UNDERSCORE
 from ..operators.harmonize import INT, LONG, TEXT, Field
 from ..functions.columns import ident, sql_str
-from ..session import checkpoint_dir, path_exists, rename_path
+from ..session import scratch_path
 from ..sources.parquet import write_partitioned
 from .config import CategoricalQuestion, CodedBlock, Edition, Questionnaire
 
@@ -48,15 +49,14 @@ DISCOUNT_LABELS = {1: "No discount", 2: "Discount 1-3%", 3: "Discount 4-7%", 4:
 BAND_EDGES = [50_000, 100_000, 150_000, 200_000, 300_000, 400_000]
 NO_BAND = "Prefiro não informar"
 OTHER = "other"
+# a part type that the form offers twice, in both spellings of its label
+TWICE = "PROMO"
 
 PRIORITY_RULES = [("not specified", "not_specified"), ("specified", "specified"),
                   ("urgent", "urgent"), ("high", "high")]
 STATUS_RULES = [('"split"', "partial_split"), ("fulfilled", "fulfilled"), ("partial", "partial")]
 CLASS_RULES = [("no return", "no_use"), ("other", "other_answer")]
 
-# bump when the derivation of the stored base changes
-BASE_VERSION = "base-v3"
-
 E1, E2, E3 = "e1", "e2", "e3"
 # first wave of editions 2 and 3; every earlier wave is edition 1, every later one edition 3
 EDITION_START = {E2: 1997, E3: 1999}
@@ -77,8 +77,8 @@ def band_labels() -> list[str]:
 # Misprinted options, one per edition, as they would appear in the form.
 MISPRINTS = {E1: ("de R$ 50.001/", "de R$ 501/"), E3: ("a R$ 400.000/", "a R$ 400000/")}
 
-BAND_SPEC = BandSpec(anomaly_prefixes=("de R$ 501/",), anomaly_contains=("a R$ 400000/",),
-                     order_overrides={"de R$ 501/": 50_001})
+BAND_SPEC = BandSpec(amount_pattern=r"R\$\s*([0-9\.]+)", thousands_sep=".", anomaly_prefixes=("de R$ 501/",),
+                     anomaly_contains=("a R$ 400000/",), order_overrides={"de R$ 501/": 50_001})
 
 FIELDS = [Field("entity_id", TEXT), Field("response_id", LONG), Field("age", INT), Field("segment"),
           Field("nation"), Field("region"), Field("priority"), Field("status"), Field("pay_band")]
@@ -89,7 +89,7 @@ def _labels(edition: str) -> dict[str, list[str]]:
         return s[:1].upper() + s[1:].lower()
     types = PART_TYPES + ["OTHER"]
     return {
-        "part_type": types if edition == E1 else [title(t) for t in types],
+        "part_type": [*types, title(TWICE)] if edition == E1 else [*map(title, types), TWICE],
         "part_item": PART_ITEMS + [OTHER],
         "part_color": PART_COLORS + [OTHER],
         "returns": list(RETURN_LABELS.values()) + ["Other return status"],
@@ -204,7 +204,7 @@ def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
     words = F.split(F.col("p_name"), " ")
     brand_no = F.regexp_extract("p_brand", r"#(\d+)$", 1).try_cast("int")
-    return li.join(part, li.l_partkey == part.p_partkey).select(
+    return li.join(part, li.l_partkey == part.p_partkey, "left").select(
         "l_orderkey",
         F.when(F.col("p_type").isin(PART_TYPES), F.col("p_type")).otherwise(F.lit("OTHER")).alias("f_type"),
         F.when(words[1].isin(PART_ITEMS), words[1]).otherwise(F.lit(OTHER)).alias("f_item"),
@@ -220,7 +220,8 @@ def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _option_bits() -> dict[str, tuple[str, int]]:
     """Every 0/1 option of the virtual form -> (mask column, bit).  Two long
-    masks hold all options; a line sets the bits of its options."""
+    masks hold all options; a line sets the bits of its options.  The option
+    lists are fixed in this module, at most 63 per mask."""
     keys = ([f"type_{i}" for i in range(len(PART_TYPES) + 1)] + [f"item_{i}" for i in range(len(PART_ITEMS) + 1)] +
             [f"color_{i}" for i in range(len(PART_COLORS) + 1)] + [f"return_{i}" for i in range(len(RETURN_LABELS) + 1)] +
             [f"discount_{n}" for n in DISCOUNT_LEVELS])
@@ -270,9 +271,9 @@ def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) ->
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation/region are dimension tables of a few rows; Catalyst/AQE choose the
     # join strategy from their measured size
-    base = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .join(nation, customer.c_nationkey == nation.n_nationkey)
-            .join(region, nation.n_regionkey == region.r_regionkey)
+    base = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+            .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+            .join(region, nation.n_regionkey == region.r_regionkey, "left")
             .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
                     "c_acctbal", "c_mktsegment", "n_name", "r_name", F.year("o_orderdate").alias("wave")))
     if not with_flags:
@@ -284,38 +285,43 @@ def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) ->
     return base.join(flags, base.o_orderkey == flags.l_orderkey, "left").drop("l_orderkey")
 
 
-def _input_key(spark: SparkSession, sf_dir: str, with_flags: bool) -> str:
-    """Identity of the inputs (paths, sizes, modification times) and of this
-    derivation, so a stored base is reused only for the same data."""
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the inputs (paths, sizes, modification times) in this
+    session, so a stored base is reused only for the same data."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = [BASE_VERSION, str(with_flags)]
+    parts = []
     for name in ("orders", "customer", "nation", "region", "lineitem", "part"):
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
         fs = path.getFileSystem(conf)
         for st in fs.listStatus(path):
             parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
-    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:20]
+    return (spark.sparkContext.applicationId, *sorted(parts))
 
 
-def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
-    """The response base written once as Parquet below the shared checkpoint
-    folder (the bronze layer of the virtual form) and read back by every
-    edition and query.  It cuts the lineage: the three editions and all
-    silver queries scan this compact table instead of re-deriving it from
-    lineitem each time.  One base (with the option masks) serves every
-    query; profile-only reads prune the mask columns."""
-    root = checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/wavelake-bronze/base-{_input_key(spark, sf_dir, True)}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        # written to a private folder, then published by one rename: a
-        # concurrent or failed build never leaves a half-written base behind
-        staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
+_BASES: dict[tuple, str] = {}
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> str:
+    """Derive the response base of ``sf_dir`` (with the option masks), once
+    per session and input, into a folder of its own below the session's
+    scratch folder; returns the folder.  Nothing is shared between sessions,
+    so builds cannot collide, and the scratch goes with the session."""
+    key = _input_key(spark, sf_dir)
+    if key not in _BASES:
+        path = scratch_path(spark, "base")
         # partitioned by wave: each edition's scan prunes to its own waves
-        write_partitioned(base_responses(spark, sf_dir, True), staging, ["wave"])
-        if not rename_path(spark, staging, path) and not path_exists(spark, f"{path}/_SUCCESS"):
-            raise RuntimeError(f"could not publish {staging} as {path}")
-    base = spark.read.parquet(path)
+        write_partitioned(base_responses(spark, sf_dir, True), path, ["wave"])
+        _BASES[key] = path
+    return _BASES[key]
+
+
+def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
+    """The response base as stored by ``prepare`` (the bronze layer of the
+    virtual form).  It cuts the lineage: the three editions and all silver
+    queries scan this compact table instead of re-deriving it from lineitem
+    each time; profile-only reads prune the mask columns."""
+    base = spark.read.parquet(prepare(spark, sf_dir))
     return base if with_flags else base.drop("mask_a", "mask_b")
 
 
@@ -325,7 +331,9 @@ def _flag_sql(key: str) -> str:
 
 
 def _flag_text(edition: str, key: str) -> str:
-    on = _flag_sql(key)
+    on = _flag_sql(f"type_{PART_TYPES.index(TWICE)}" if key == "type_twice" else key)
+    if key == "type_twice":  # ticked as well by some of those who ticked the first spelling
+        on += " AND o_orderkey % 3 = 0"
     yes, no = {E1: ("'1'", "'0'"), E2: ("'1.0'", "'0.0'")}.get(edition, ("'1'", "''"))
     return f"CASE WHEN {on} THEN {yes} ELSE {no} END"
 
@@ -334,7 +342,8 @@ def _age_text(edition: str) -> str:
     age = "CAST(20 + floor((c_acctbal + 1000.0D) / 250.0D) AS INT)"
     shown = f"format_string('%d.0', {age})" if edition == E2 else f"CAST({age} AS STRING)"
     missing = "'n/a'" if edition == E3 else "''"
-    return f"CASE WHEN c_acctbal < 0 THEN {missing} ELSE {shown} END"
+    return (f"CASE WHEN c_acctbal < 0 THEN {missing} WHEN o_orderkey % 13 = 4 THEN 'abc' "
+            f"WHEN o_orderkey % 13 = 5 THEN concat(' ', CAST({age} AS STRING), '.7 ') ELSE {shown} END")
 
 
 def _pay_text(edition: str) -> str:
@@ -345,7 +354,8 @@ def _pay_text(edition: str) -> str:
     if edition in MISPRINTS:
         good, bad = MISPRINTS[edition]
         text = f"replace({text}, {sql_str(good)}, {sql_str(bad)})"
-    return f"CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {sql_str(NO_BAND)} ELSE {text} END"
+    return (f"CASE WHEN o_orderkey % 17 = 6 THEN ' ' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {sql_str(NO_BAND)} "
+            f"ELSE {text} END")
 
 
 def _status_text() -> str:
@@ -365,12 +375,16 @@ def bronze_edition(base: DataFrame, edition: str, parts: tuple[str, ...] = ("pro
     """The wide, all-string layout of one edition (its waves only), built as
     one projection of the response base."""
     pm = _profile_map(edition)
-    cols = [f"CAST(o_custkey AS STRING) AS {ident(_id_header(edition))}",
+    cols = ["CASE WHEN o_orderkey % 97 = 1 THEN NULL WHEN o_orderkey % 97 = 2 THEN '  ' "
+            f"ELSE CAST(o_custkey AS STRING) END AS {ident(_id_header(edition))}",
             f"CAST(wave AS STRING) AS {ident(_wave_header(edition))}"]
     if "profile" in parts or "answers" in parts:
-        cols.append(f"o_orderpriority AS {ident(pm['priority'])}")
+        cols.append("CASE WHEN o_orderkey % 19 = 7 THEN '  ' WHEN o_orderkey % 19 <> 8 THEN o_orderpriority END "
+                    f"AS {ident(pm['priority'])}")
     if "profile" in parts:
         segment = "concat(c_mktsegment, ' ')" if edition == E2 else "c_mktsegment"
+        segment = (f"CASE o_orderkey % 11 WHEN 3 THEN '   ' WHEN 5 THEN '' WHEN 7 THEN NULL "
+                   f"WHEN 9 THEN concat(' ', c_mktsegment, ' \"new\"') ELSE {segment} END")
         cols += [f"CAST(o_orderkey AS STRING) AS {ident(pm['response_id'])}",
                  f"{_age_text(edition)} AS {ident(pm['age'])}", f"{segment} AS {ident(pm['segment'])}",
                  f"n_name AS {ident(pm['nation'])}", f"r_name AS {ident(pm['region'])}",
@@ -382,7 +396,8 @@ def bronze_edition(base: DataFrame, edition: str, parts: tuple[str, ...] = ("pro
         keys = {"part_type": "type", "part_item": "item", "part_color": "color", "returns": "return"}
         for cat, key in keys.items():
             for i, label in enumerate(labels[cat]):
-                cols.append(f"{_flag_text(edition, f'{key}_{i}')} AS "
+                option = "type_twice" if key == "type" and i > len(PART_TYPES) else f"{key}_{i}"
+                cols.append(f"{_flag_text(edition, option)} AS "
                             f"{ident(_flag_header(edition, prefixes[cat], i + 1, label))}")
     if "answers" in parts:
         coded = _coded_prefixes(edition)
@@ -398,7 +413,8 @@ def bronze_edition(base: DataFrame, edition: str, parts: tuple[str, ...] = ("pro
 
 def bronze(spark: SparkSession, sf_dir: str, parts: tuple[str, ...] = ("profile",),
            stored: bool = True) -> dict[str, DataFrame]:
-    """The three editions; together they hold every order exactly once.
+    """The three editions; together they hold every order that has a date
+    exactly once.
     ``stored=False`` derives the base inside the plan instead of reading the
     stored one."""
     need_flags = "flags" in parts or "answers" in parts

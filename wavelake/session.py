@@ -86,33 +86,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/wavelake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared checkpoint folder.  All of a
+    session's scratch lies in one folder of its own, which is deleted when
+    the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/wavelake-scratch-{uuid.uuid4().hex[:12]}"
+        fs, p = _fs(spark, root)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _SCRATCH[app] = root
+    return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    """Rename a folder on the session's file system (atomic on HDFS and local
-    disks); False when ``dst`` already exists."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s.getFileSystem(conf)
-    if fs.exists(d):
-        return False
-    return bool(fs.rename(s, d))
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
-__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "local_path", "rename_path"]
+__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "delete_path",
+           "local_path"]

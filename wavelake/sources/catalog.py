@@ -12,11 +12,29 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
+def _plain(location: str) -> str:
+    return location.removeprefix("file:").replace("///", "/").rstrip("/")
+
+
 def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
     """A catalog table over Parquet files already written; partitions are
-    discovered from the folder layout (``MSCK REPAIR TABLE``)."""
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{location}'")
+    discovered from the folder layout (``MSCK REPAIR TABLE``).  A table of
+    that name over the same folder is refreshed.  One over another folder, or
+    a managed one, is left alone and refused."""
+    found = table_location(spark, name)
+    if found is not None and _plain(found) != _plain(path):
+        raise ValueError(f"table {name} exists over {found or 'its own data'}, not over {path}")
+    if found is None:
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{location}'")
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)

@@ -15,19 +15,22 @@ CSV_OPTIONS = {
     "escape": '"',            # "" inside a quoted field is one quote
     "multiLine": "false",
 }
+# outer spaces belong to the value
+WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
+                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_wave_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
                   **options: str) -> DataFrame:
     """Read one wave.  With ``columns`` the all-string schema is given up
-    front, so no job is spent reading the header."""
+    front, so no job is spent reading the header; every file's header must
+    then carry these names in this order, or the read fails."""
     reader = spark.read.options(**{**CSV_OPTIONS, **options})
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
+        reader = reader.option("enforceSchema", "false").schema(T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
 def write_wave_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool = False) -> None:
     """Write string columns as header CSV with the same quoting rules."""
-    (df.write.mode(mode).options(header="true", quote='"', escape='"', quoteAll=str(quote_all).lower(),
-                                 encoding="UTF-8").csv(path))
+    df.write.mode(mode).options(**WRITE_OPTIONS, quoteAll=str(quote_all).lower()).csv(path)

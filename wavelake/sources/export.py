@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .csv import read_wave_csv
+from .csv import WRITE_OPTIONS, read_wave_csv
 
 
 def export_report(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -16,7 +16,7 @@ def export_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").options(header="true", quoteAll="true", quote='"', escape='"').csv(path)
+    out.write.mode("overwrite").options(**WRITE_OPTIONS, quoteAll="true").csv(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

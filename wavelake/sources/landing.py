@@ -17,8 +17,6 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import path_exists
-
 HEADERS_FILE = "_headers.json"
 
 
@@ -47,10 +45,6 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[by_slot[c] for c in df.columns])
 
 
-def is_landed(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path.rstrip('/')}/{HEADERS_FILE}")
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

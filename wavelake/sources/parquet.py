@@ -8,24 +8,38 @@ one-task-per-wave layout of a plain ``repartition(n, wave)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import delete_path, path_exists
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("wave",),
                       mode: str = "overwrite", dynamic: bool = False) -> None:
     """``dynamic=False`` replaces the whole table (like a full rebuild);
     ``dynamic=True`` replaces only the partitions present in ``df``."""
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic" if dynamic else "static")
-    try:
-        (df.hint("rebalance", *partition_cols)
-           .write.mode(mode).partitionBy(*partition_cols).parquet(path))
-    finally:
-        spark.conf.set(key, before)
+    (df.hint("rebalance", *partition_cols).write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+       .partitionBy(*partition_cols).parquet(path))
+
+
+def replace_waves(df: DataFrame, path: str, wave: str, held: Iterable[int | None]) -> None:
+    """Replace the partitions of the waves in ``held`` by the rows of ``df``
+    and leave every other wave as it is.  A held wave without rows ends up
+    without a partition."""
+    spark, seen = df.sparkSession, Observation()
+    # the waves written are observed by the write itself, not by a second job
+    df = df.observe(seen, F.collect_set(wave).alias("waves"), F.count_if(F.col(wave).isNull()).alias("nulls"))
+    write_partitioned(df, path, [wave], dynamic=True)
+    written = {*(seen.get.get("waves") or ()), *([None] if seen.get.get("nulls") else [])}
+    for w in set(held) - written:
+        stale = f"{path.rstrip('/')}/{wave}={NULL_PARTITION if w is None else w}"
+        if path_exists(spark, stale):
+            delete_path(spark, stale)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -40,7 +40,8 @@ def stream_silver(spark: SparkSession, q: Questionnaire, edition: Edition, heade
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the incremental silver query for one edition's folder."""
     schema = T.StructType([T.StructField(h, T.StringType(), True) for h in headers])
-    stream = spark.readStream.options(**CSV_OPTIONS).schema(schema).csv(source_dir)
+    # a file whose header differs from the schema fails instead of being read by position
+    stream = spark.readStream.options(**CSV_OPTIONS, enforceSchema="false").schema(schema).csv(source_dir)
     one = dataclasses.replace(q, editions=[edition])
     rows = BUILDERS[table](one, {edition.name: stream}, deduplicate=False)
     writer = (rows.writeStream.format("parquet").outputMode("append").partitionBy(q.wave_name)
