@@ -117,10 +117,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def file_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files in a folder; empty if there is no such folder."""
+    fs, p = _fs(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
-__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "delete_path",
+__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "file_names", "delete_path",
            "local_path"]

@@ -12,12 +12,19 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def _qualified(spark: SparkSession, name: str) -> str:
+    """The catalog's table, never a temporary view of the same name."""
+    return name if "." in name else f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}.{name}"
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
-    """Folder of a catalog table; None if there is no such table."""
-    if not spark.catalog.tableExists(name):
+    """Folder of a catalog table, empty for one that keeps its own data;
+    None if there is no such table."""
+    table = _qualified(spark, name)
+    if not spark.catalog.tableExists(table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else ""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return facts.get("Location", "") if facts.get("Type") == "EXTERNAL" else ""
 
 
 def _plain(location: str) -> str:
@@ -28,13 +35,16 @@ def register_external(spark: SparkSession, name: str, path: str, partitioned: bo
     """A catalog table over Parquet files already written; partitions are
     discovered from the folder layout (``MSCK REPAIR TABLE``).  A table of
     that name over the same folder is refreshed.  One over another folder, or
-    a managed one, is left alone and refused."""
-    found = table_location(spark, name)
+    a managed one, is left alone and refused.  A temporary view of that name,
+    which would hide the table, goes; it has no data."""
+    table, found = _qualified(spark, name), table_location(spark, name)
     if found is not None and _plain(found) != _plain(path):
         raise ValueError(f"table {name} exists over {found or 'its own data'}, not over {path}")
     if found is None:
         location = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{location}'")
+        spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{location}'")
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    spark.catalog.refreshTable(name)
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+    if "." not in name:
+        spark.catalog.dropTempView(name)

@@ -1,4 +1,8 @@
-"""Wide CSV waves: every field read as a string, header names kept verbatim."""
+"""Wide CSV waves: every field read as a string, header names kept verbatim.
+
+An empty field, quoted or not, reads as NULL: the forms make no difference
+between the two.
+"""
 
 from __future__ import annotations
 

@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..session import delete_path, path_exists
+from ..session import delete_path, file_names
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -31,15 +30,13 @@ def replace_waves(df: DataFrame, path: str, wave: str, held: Iterable[int | None
     """Replace the partitions of the waves in ``held`` by the rows of ``df``
     and leave every other wave as it is.  A held wave without rows ends up
     without a partition."""
-    spark, seen = df.sparkSession, Observation()
-    # the waves written are observed by the write itself, not by a second job
-    df = df.observe(seen, F.collect_set(wave).alias("waves"), F.count_if(F.col(wave).isNull()).alias("nulls"))
+    spark = df.sparkSession
+    folders = [f"{path.rstrip('/')}/{wave}={NULL_PARTITION if w is None else w}" for w in set(held)]
+    before = {f: file_names(spark, f) for f in folders}
     write_partitioned(df, path, [wave], dynamic=True)
-    written = {*(seen.get.get("waves") or ()), *([None] if seen.get.get("nulls") else [])}
-    for w in set(held) - written:
-        stale = f"{path.rstrip('/')}/{wave}={NULL_PARTITION if w is None else w}"
-        if path_exists(spark, stale):
-            delete_path(spark, stale)
+    for f in folders:
+        if before[f] and file_names(spark, f) == before[f]:  # not replaced: no rows any more
+            delete_path(spark, f)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
