@@ -4,7 +4,7 @@ written tables and the seven dashboard report files out."""
 import os
 
 from wavelake.__main__ import export_reports, main
-from wavelake.plans.survey_preset import REPORT_HEADERS
+from wavelake.plans.survey_preset import REPORT_HEADERS, TABLE_NAMES
 from wavelake.session import local_path, scratch_path
 from wavelake.sources.csv import write_wave_csv
 
@@ -29,3 +29,5 @@ def test_cli_run_then_reports(spark):
         files = [f for f in os.listdir(local_path(path)) if f.endswith(".csv")]
         header = open(os.path.join(local_path(path), files[0]), encoding="utf-8").readline().strip()
         assert header == '"' + '","'.join(REPORT_HEADERS[name]) + '"'
+    for table in TABLE_NAMES.values():  # external: the files stay
+        spark.sql(f"DROP TABLE {table}")

@@ -71,15 +71,11 @@ def bronze_rows(year, n_resp=5):
         for n, label in enumerate(TECH_OPTIONS[cat], start=1):
             flag = "1.0" if year == 2024 else "1"
             add(_flag_header(year, prefix, n, label), [flag if (i + n) % 2 == 0 else "0" for i in range(n_resp)])
-    form = P.AI_FORMS[year]
-    add(form["prioridade"], PRIORITY_TEXTS[:n_resp])
-    if form["resultado"]:
-        add(form["resultado"], RESULT_TEXTS[:n_resp])
-    blocks = [(p, P.USE_TYPES) for p in form["tipo_uso_blocos"]] + \
-             [(form["produtividade"], P.PRODUCTIVITY), (form["barreiras"], P.BARRIERS)]
-    for b, (prefix, codes) in enumerate(blocks):
-        for n in codes:
-            add(_coded_header(year, prefix, n, f"opção {n} do bloco"),
+    for question, texts in zip(P.QUESTIONS[year], (PRIORITY_TEXTS, RESULT_TEXTS), strict=False):
+        add(question.header, texts[:n_resp])
+    for b, block in enumerate(P.CODED_BLOCKS[year]):
+        for n in block.codes:
+            add(_coded_header(year, block.prefix, n, f"opção {n} do bloco"),
                 ["1" if (i + n + b) % 2 == 0 else "0" for i in range(n_resp)])
     return cols, [tuple(r) for r in rows]
 

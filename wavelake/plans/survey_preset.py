@@ -146,33 +146,6 @@ ITEM_CLASS_RULES = [
 ]
 ITEM_DEFAULT_CLASS = "tecnologia"
 
-AI_FORMS = {
-    2023: {
-        "id": "('P0', 'id')",
-        "prioridade": "('P3_e ', 'AI Generativa é uma prioridade em sua empresa?')",
-        "resultado": None,
-        "tipo_uso_blocos": ["P3_f_", "P4_l_"],
-        "produtividade": "P4_m_",
-        "barreiras": "P3_g_",
-    },
-    2024: {
-        "id": "0.a_token",
-        "prioridade": "3.e_ai_generativa_e_llm_é_uma_prioridade?",
-        "resultado": None,
-        "tipo_uso_blocos": ["3.f.", "4.l."],
-        "produtividade": "4.m.",
-        "barreiras": "3.g.",
-    },
-    2025: {
-        "id": "0.a_token",
-        "prioridade": "3.e_ai_generativa_e_llm_é_uma_prioridade?",
-        "resultado": "3.g_empresa_está_conseguindo_ter_bons_resultados_com_llms",
-        "tipo_uso_blocos": ["3.f.", "4.i."],
-        "produtividade": "4.j.",
-        "barreiras": "3.h.",
-    },
-}
-
 USE_TYPES = {1: "uso_descentralizado", 2: "direcionamento_centralizado", 3: "copilots_desenvolvedores",
              4: "produtos_externos", 5: "produtos_internos", 6: "principal_frente_negocio",
              7: "nao_prioridade", 8: "nao_sabe"}
@@ -203,13 +176,35 @@ RESULT_RULES = [
     ("nao sei", "nao_sabe"),
 ]
 
-AI_DIMENSIONS = {"priority": "prioridade_empresa", "use": "tipo_uso_empresa",
-                 "productivity": "produtividade_pessoal", "barriers": "barreira_adocao",
-                 "result": "resultado_llm_empresa"}
-AI_COMPARABLE, AI_ONLY_2025 = "comparavel_2023_2025", "somente_2025"
-AI_PRIORITY_BLOCK, AI_RESULT_BLOCK = "P3_e / 3.e", "3.g"
+AI_COMPARABLE = "comparavel_2023_2025"
 SINGLE_CHOICE, MULTI_SELECT = "categorica", "multisselecao"
 
+# numbered multi-select blocks and single-choice questions of each wave
+CODED_BLOCKS = {
+    2023: [CodedBlock("tipo_uso_empresa", "P3_f_", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("tipo_uso_empresa", "P4_l_", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("produtividade_pessoal", "P4_m_", PRODUCTIVITY, AI_COMPARABLE),
+           CodedBlock("barreira_adocao", "P3_g_", BARRIERS, AI_COMPARABLE)],
+    2024: [CodedBlock("tipo_uso_empresa", "3.f.", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("tipo_uso_empresa", "4.l.", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("produtividade_pessoal", "4.m.", PRODUCTIVITY, AI_COMPARABLE),
+           CodedBlock("barreira_adocao", "3.g.", BARRIERS, AI_COMPARABLE)],
+    2025: [CodedBlock("tipo_uso_empresa", "3.f.", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("tipo_uso_empresa", "4.i.", USE_TYPES, AI_COMPARABLE),
+           CodedBlock("produtividade_pessoal", "4.j.", PRODUCTIVITY, AI_COMPARABLE),
+           CodedBlock("barreira_adocao", "3.h.", BARRIERS, AI_COMPARABLE)],
+}
+QUESTIONS = {
+    2023: [CategoricalQuestion("prioridade_empresa", "('P3_e ', 'AI Generativa é uma prioridade em sua empresa?')",
+                               PRIORITY_RULES, AI_COMPARABLE, "P3_e / 3.e")],
+    2024: [CategoricalQuestion("prioridade_empresa", "3.e_ai_generativa_e_llm_é_uma_prioridade?",
+                               PRIORITY_RULES, AI_COMPARABLE, "P3_e / 3.e")],
+    2025: [CategoricalQuestion("prioridade_empresa", "3.e_ai_generativa_e_llm_é_uma_prioridade?",
+                               PRIORITY_RULES, AI_COMPARABLE, "P3_e / 3.e"),
+           CategoricalQuestion("resultado_llm_empresa", "3.g_empresa_está_conseguindo_ter_bons_resultados_com_llms",
+                               RESULT_RULES, "somente_2025", "3.g")],
+}
+
 PROFILE_DIMENSIONS = ["senioridade", "genero", "raca_etnia", "pcd", "regiao", "cargo_atual",
                       "modelo_trabalho_atual", "nivel_ensino", "situacao_trabalho"]
 PAY_DIMENSIONS = ["senioridade", "genero", "regiao", "cargo_atual"]
@@ -266,22 +261,12 @@ PROFILE_MAPS = {2023: PROFILE_MAP_2023, 2024: PROFILE_MAP_2024, 2025: PROFILE_MA
 
 
 def _edition(year: int) -> Edition:
-    style = TUPLE if year == 2023 else UNDERSCORE
-    form = AI_FORMS[year]
     blocks = {cat: (prefix, TECH_QUESTIONS[year][cat], TECH_COMPARABILITY[year][cat])
               for cat, prefix in TECH_PREFIXES[year].items()}
-    coded = [CodedBlock(AI_DIMENSIONS["use"], p, USE_TYPES, AI_COMPARABLE) for p in form["tipo_uso_blocos"]]
-    coded.append(CodedBlock(AI_DIMENSIONS["productivity"], form["produtividade"], PRODUCTIVITY, AI_COMPARABLE))
-    coded.append(CodedBlock(AI_DIMENSIONS["barriers"], form["barreiras"], BARRIERS, AI_COMPARABLE))
-    cats = [CategoricalQuestion(AI_DIMENSIONS["priority"], form["prioridade"], PRIORITY_RULES, AI_COMPARABLE,
-                                AI_PRIORITY_BLOCK)]
-    if form["resultado"]:
-        cats.append(CategoricalQuestion(AI_DIMENSIONS["result"], form["resultado"], RESULT_RULES, AI_ONLY_2025,
-                                        AI_RESULT_BLOCK))
-    profile_map = {k: v for k, v in PROFILE_MAPS[year].items() if k != ID}
-    return Edition(name=str(year), style=style, id_header=form["id"], profile_map=profile_map, wave=year,
-                   prefix_blocks=blocks, coded_blocks=coded, categorical=cats,
-                   coded_style=TUPLE if year == 2023 else SPACE)
+    headers = dict(PROFILE_MAPS[year])
+    return Edition(name=str(year), style=TUPLE if year == 2023 else UNDERSCORE, id_header=headers.pop(ID),
+                   profile_map=headers, wave=year, prefix_blocks=blocks, coded_blocks=CODED_BLOCKS[year],
+                   categorical=QUESTIONS[year], coded_style=TUPLE if year == 2023 else SPACE)
 
 
 def questionnaire() -> Questionnaire:

@@ -35,6 +35,7 @@ from ..operators.harmonize import INT, LONG, TEXT, Field
 from ..functions.columns import ident, sql_str
 from ..session import scratch_path
 from ..sources.parquet import write_partitioned
+from . import survey_preset as P
 from .config import CategoricalQuestion, CodedBlock, Edition, Questionnaire
 
 # Fixed values of the virtual questionnaire (its option lists and labels).
@@ -96,12 +97,13 @@ def _labels(edition: str) -> dict[str, list[str]]:
     }
 
 
+# the wave of the survey preset whose headers an edition carries
+LIKE = {E1: 2023, E2: 2024, E3: 2025}
+
+
 def _prefixes(edition: str) -> dict[str, str]:
-    if edition == E1:
-        return {"part_type": "('P4_d_", "part_item": "('P4_g_", "part_color": "('P4_h_", "returns": "('P4_j_"}
-    if edition == E2:
-        return {"part_type": "4.d.", "part_item": "4.g.", "part_color": "4.h.", "returns": "4.j."}
-    return {"part_type": "4.c.", "part_item": "4.d.", "part_color": "4.e.", "returns": "4.g."}
+    p = P.TECH_PREFIXES[LIKE[edition]]
+    return {"part_type": p["linguagem"], "part_item": p["banco_dados"], "part_color": p["cloud"], "returns": p["bi"]}
 
 
 QUESTIONS = {
@@ -116,11 +118,10 @@ SEMANTIC_ATTENTION = {(E1, "part_color"), (E3, "returns")}
 
 
 def _coded_prefixes(edition: str) -> dict[str, list[str]]:
-    if edition == E1:
-        return {"brand_bought": ["P3_f_", "P4_l_"], "discount_level": ["P4_m_"]}
-    if edition == E2:
-        return {"brand_bought": ["3.f.", "4.l."], "discount_level": ["4.m."]}
-    return {"brand_bought": ["3.f.", "4.i."], "discount_level": ["4.j."]}
+    of = {}
+    for block in P.CODED_BLOCKS[LIKE[edition]]:
+        of.setdefault(block.dimension, []).append(block.prefix)
+    return {"brand_bought": of["tipo_uso_empresa"], "discount_level": of["produtividade_pessoal"]}
 
 
 BRAND_CODES = {n: f"brand_{n:02d}" for n in range(1, N_BRANDS + 1)} | {N_BRANDS + 1: "brand_other"}
@@ -128,20 +129,16 @@ BRAND_LABELS = {n: f"Brand#{n}" for n in range(1, N_BRANDS + 1)} | {N_BRANDS + 1
 
 
 def _profile_map(edition: str) -> dict[str, str]:
-    if edition == E1:
-        return {"response_id": "('P0_r', 'resposta')", "age": "('P1_a ', 'Idade')",
-                "segment": "('P1_b ', 'Segmento')", "nation": "('P1_i_1 ', 'Pais onde mora')",
-                "region": "('P1_i_2 ', 'Regiao onde mora')", "priority": "('P3_e ', 'Prioridade do pedido?')",
-                "status": "('P2_a ', 'Situação do pedido')", "pay_band": "('P2_h ', 'Faixa salarial')"}
-    shift = "q" if edition == E3 else "r"
-    return {"response_id": "0.b_resposta", "age": "1.a_idade", "segment": "1.b_segmento",
-            "nation": "1.i.1_pais_onde_mora", "region": "1.i.2_regiao_onde_mora",
-            "priority": "3.e_prioridade_do_pedido?", "status": f"2.{shift}_situação_do_pedido",
-            "pay_band": "2.h_faixa_salarial"}
+    p = P.PROFILE_MAPS[LIKE[edition]]
+    own = {"response_id": "('P0_r', 'resposta')", "nation": "('P1_i_1 ', 'Pais onde mora')"} if edition == E1 else \
+        {"response_id": "0.b_resposta", "nation": "1.i.1_pais_onde_mora"}
+    return {"response_id": own["response_id"], "age": p["idade"], "segment": p["genero"], "nation": own["nation"],
+            "region": p["regiao"], "priority": P.QUESTIONS[LIKE[edition]][0].header, "status": p["situacao_trabalho"],
+            "pay_band": p["faixa_salarial_original"]}
 
 
 def _id_header(edition: str) -> str:
-    return "('P0', 'id')" if edition == E1 else "0.a_token"
+    return P.PROFILE_MAPS[LIKE[edition]][P.ID]
 
 
 def _wave_header(edition: str) -> str:
@@ -161,7 +158,7 @@ def _coded_header(edition: str, prefix: str, n: int, label: str) -> str:
 
 
 def _status_header(edition: str) -> str | None:
-    return "3.g_status_text_do_pedido" if edition == E3 else None
+    return P.QUESTIONS[LIKE[edition]][1].header if edition == E3 else None
 
 
 def questionnaire() -> Questionnaire:
