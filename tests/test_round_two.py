@@ -162,6 +162,29 @@ def test_share_over_all_rows_needs_no_single_window(spark):
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_ranks_of_a_million_answers_are_spread_over_tasks(spark):
+    n, seen = 1_000_000, []
+    df = spark.range(n).select(F.lit(1).alias("w"), F.lit("d").alias("d"), (F.col("id") % 3).alias("n"),
+                               F.concat(F.lit("answer "), F.col("id").cast("string")).alias("a"))
+
+    def stored(frame):
+        path = scratch_path(spark, "ranges")
+        frame.write.parquet(path)
+        seen.append(spark.read.parquet(path))
+        return seen[-1]
+    order = [F.desc("n"), F.asc("a")]
+    out = metrics.row_numbers(df, ["w", "d"], order, "rank", stored)
+    largest = seen[0].groupBy("w", "d", "_range").count().agg(F.max("count")).first()[0]
+    assert largest < n / 3
+    want = metrics.row_numbers(df, ["w", "d"], order, "rank")
+    differ = out.select("a", "rank").join(want.select(F.col("a").alias("b"), F.col("rank").alias("r")),
+                                          (F.col("a") == F.col("b")) & (F.col("rank") == F.col("r")), "left_anti")
+    assert out.count() == n and differ.isEmpty()
+    small = spark.createDataFrame([(1, None, 2, "x"), (1, None, 2, "y"), (None, "e", 1, "z")], "w int, d string, n int, a string")
+    assert sorted(map(repr, metrics.row_numbers(small, ["w", "d"], order, "rank", stored).collect())) == sorted(
+        map(repr, metrics.row_numbers(small, ["w", "d"], order, "rank").collect()))
+
+
 # --- filters have work ---------------------------------------------------------
 
 @pytest.mark.parametrize("key, condition, without", [

@@ -18,7 +18,7 @@ the group counts: the shuffle carries one row per group and task, no id.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,14 +32,45 @@ def _c(x: str | Column) -> Column:
     return safe_col(x) if isinstance(x, str) else x
 
 
+Stored = Callable[[DataFrame], DataFrame]
+
+
+def row_numbers(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str,
+                stored: Stored | None = None) -> DataFrame:
+    """``row_number`` within ``partition``.
+
+    A window sorts each group in one task.  That is enough for coded answers,
+    whose number the form bounds.  With ``stored`` (a function that writes a
+    frame and reads it back) no task holds a whole group: rows are range
+    partitioned by group and order and written with the number of their
+    range, numbered within it, and raised by the sizes of the group's lower
+    ranges.  The written copy keeps both passes on the same ranges."""
+    if stored is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    columns = df.columns
+    ranged = stored(df.repartitionByRange(*[F.col(c) for c in partition], *order)
+                    .withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(*partition, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    lower = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition)], F.col("_range").alias("_r"),
+                           F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset"))
+    own = ranged.withColumn(name, F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*order)))
+    same = F.col("_range") == F.col("_r")
+    for i, c in enumerate(partition):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return own.join(offsets, same).select(*columns, (F.col(name) + F.col("_offset")).cast("int").alias(name))
+
+
 def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id_col: str, *,
                    count_name: str = "count", total_name: str = "total", pct_name: str = "percent",
                    numerator: Column | None = None, rank_name: str | None = None,
-                   rank_order: Sequence[Column] | None = None, unique_ids: bool = False) -> DataFrame:
+                   rank_order: Sequence[Column] | None = None, unique_ids: bool = False,
+                   stored: Stored | None = None) -> DataFrame:
     """Per (outer, inner): distinct ids (numerator rows only), distinct ids of
     all rows of (outer) as the base, the percentage and optionally a
     ``row_number`` rank within (outer).  ``unique_ids`` states that no id
-    occurs twice in (outer); it changes the plan, not the result."""
+    occurs twice in (outer) and ``stored`` spreads the ranking (see
+    ``row_numbers``); both change the plan, not the result."""
     outer, inner = list(outer), list(inner)
     flag = (numerator if numerator is not None else F.lit(True)).alias("_num")
     base = df.select(*[_c(c) for c in outer + inner], _c(id_col).alias("_id"), flag)
@@ -57,7 +88,7 @@ def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id
                         percent("_q", "_t").alias(pct_name))
     if rank_name:
         order = list(rank_order) if rank_order else [F.desc(count_name)] + [F.asc(c) for c in inner[:1]]
-        out = out.withColumn(rank_name, F.row_number().over(Window.partitionBy(*outer).orderBy(*order)))
+        out = row_numbers(out, outer, order, rank_name, stored)
     return out
 
 
@@ -79,14 +110,16 @@ def unpivot_dimensions(df: DataFrame, ids: Sequence[str], dims: Sequence[str], d
 def profile_distribution(df: DataFrame, wave: str, id_col: str, dims: Sequence[str], *,
                          dim_name: str = "dimension", cat_name: str = "category", count_name: str = "count",
                          total_name: str = "total_valid", pct_name: str = "percent",
-                         rank_name: str = "rank", unique_ids: bool = False) -> DataFrame:
+                         rank_name: str = "rank", unique_ids: bool = False,
+                         stored: Stored | None = None) -> DataFrame:
     """Share of entities per category of each dimension; the base is the
     entities with a non-blank value in that dimension."""
     if not dims:
         raise ValueError("profile_distribution needs at least one dimension")
     long = unpivot_dimensions(df, [wave, id_col], dims, dim_name, cat_name).filter(not_blank(cat_name))
     return distinct_share(long, [wave, dim_name], [cat_name], id_col, count_name=count_name,
-                          total_name=total_name, pct_name=pct_name, rank_name=rank_name, unique_ids=unique_ids)
+                          total_name=total_name, pct_name=pct_name, rank_name=rank_name, unique_ids=unique_ids,
+                          stored=stored)
 
 
 def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims: Sequence[str],
@@ -126,12 +159,12 @@ def adoption_share(df: DataFrame, wave: str, id_col: str, category: str, item: s
 def answer_share(df: DataFrame, wave: str, id_col: str, dimension: str, answer: str, extra: Sequence[str], *,
                  single_choice: Column, count_name: str = "respondents", total_name: str = "dimension_base",
                  pct_name: str = "percent", rank_name: str = "rank",
-                 sums_name: str = "percents_sum_to_100") -> DataFrame:
+                 sums_name: str = "percents_sum_to_100", stored: Stored | None = None) -> DataFrame:
     """Answer shares per dimension; for multi-select dimensions percentages do
     not sum to 100, which ``sums_name`` states per row."""
     out = distinct_share(df, [wave, dimension], [answer, *extra], id_col, count_name=count_name,
                          total_name=total_name, pct_name=pct_name, rank_name=rank_name,
-                         rank_order=[F.desc(count_name), F.asc(answer)])
+                         rank_order=[F.desc(count_name), F.asc(answer)], stored=stored)
     return out.withColumn(sums_name, F.coalesce(single_choice, F.lit(False)))
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ..operators import metrics
 from .config import Questionnaire
 
-def profile(q: Questionnaire, entities: DataFrame) -> DataFrame:
+def profile(q: Questionnaire, entities: DataFrame, stored: metrics.Stored | None = None) -> DataFrame:
     out = metrics.profile_distribution(entities, q.wave_name, q.id_name, q.profile_dims,
-                                       unique_ids=True)
+                                       unique_ids=True, stored=stored)
     return out.select(q.wave_name, "dimension", "category", "count", "total_valid", "percent", "rank")
 
 
@@ -30,9 +30,9 @@ def technologies(q: Questionnaire, selections: DataFrame) -> DataFrame:
                       "rank", "comparability")
 
 
-def answers(q: Questionnaire, answers_df: DataFrame) -> DataFrame:
+def answers(q: Questionnaire, answers_df: DataFrame, stored: metrics.Stored | None = None) -> DataFrame:
     out = metrics.answer_share(answers_df, q.wave_name, q.id_name, "dimension", "answer",
                                ["answer_type", "comparability"],
-                               single_choice=F.col("answer_type") == q.single_choice)
+                               single_choice=F.col("answer_type") == q.single_choice, stored=stored)
     return out.select(q.wave_name, "dimension", "answer", "respondents", "dimension_base", "percent", "rank",
                       "answer_type", "percents_sum_to_100", "comparability")

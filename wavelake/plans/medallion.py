@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ident, tolerant_int_sql
+from ..session import scratch_path
 from ..sources.catalog import register_external, register_views
 from ..sources.landing import land
 from ..sources.parquet import read_table, replace_waves
@@ -82,9 +83,14 @@ def run(spark: SparkSession, q: Questionnaire, bronze: Mapping[str, DataFrame],
         out[key] = _persist(builders[key](q, bronze), f"{root}/silver/{table_names[key]}", q.wave_name,
                             output_names.get(key, {}), held)
     new = {key: _of_waves(out[key], q.wave_name, held) for key in SILVER}
-    gold_frames = {"profile": gold.profile(q, new["entities"]), "pay": gold.pay(q, new["entities"]),
+
+    def stored(df: DataFrame) -> DataFrame:  # free text can have any number of answers to rank
+        path = scratch_path(spark, "ranges")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    gold_frames = {"profile": gold.profile(q, new["entities"], stored), "pay": gold.pay(q, new["entities"]),
                    "technologies": gold.technologies(q, new["selections"]),
-                   "gold_answers": gold.answers(q, new["answers"])}
+                   "gold_answers": gold.answers(q, new["answers"], stored)}
     for key in GOLD:
         out[key] = _persist(gold_frames[key], f"{root}/gold/{table_names[key]}", q.wave_name,
                             output_names.get(key, {}), held)
