@@ -22,7 +22,7 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(0)
     prob = rng.random((len(pieces) + 1, 2))
     words = ["abab", "c", "bxa", "a"]
-    lattice = langid.Lattice(langid.automaton_of(pieces), len(pieces), words)
+    lattice = langid.Lattice(langid.Trie(pieces), len(pieces), words)
     index = {p: i for i, p in enumerate(pieces)} | {"x": len(pieces)}
     for w, got in zip(words, lattice.forward(prob)[lattice.end], strict=True):
         want = sum(np.prod([prob[index[p]] for p in s], axis=0) for s in segmentations("▁" + w)

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: A-Z in lower case, every byte outside [0-9a-z\x80-\xff] a space
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                    for c in range(256))
-#: the same words for Spark and DuckDB expressions
-WORD_REGEX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -39,27 +38,18 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one that ``spark.checkpoint.dir`` names;
-    a folder of our own only for a local session that has none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; a cluster job needs a shared folder")
-        import tempfile
-        base = tempfile.mkdtemp(prefix="llm-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Lineage cut: written below the shared checkpoint folder and read back,
-    so that a lost executor costs a reread, not a recomputation."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    so that a lost executor costs a reread, not a recomputation.  The folder
+    goes when the driver ends."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, f"llm-{name}")
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def pack(texts: list[bytes]) -> pa.Array:
-    return pa.array(texts, pa.binary())
+def values(column: pa.Array, step: int = 256) -> Iterator:
+    """The values of an Arrow column; only ``step`` of them are Python objects
+    at a time."""
+    for k in range(0, len(column), step):
+        yield from column.slice(k, step).to_pylist()

@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, stored
+from .common import map_batches, stored, values
 
 #: rows of each language that training uses, about
 SAMPLE_DOCS = 3000
@@ -38,7 +37,7 @@ MAX_LANGUAGES = 1000
 #: longer words are scored in parts of this many characters
 LONGEST = 30
 #: words whose scores a task keeps, and new words that it scores at once
-MEMO, TOGETHER = 300_000, 20_000
+MEMO, TOGETHER = 150_000, 10_000
 UNKNOWN = "und"
 #: probability of a character that no piece stands for, in every language
 UNKNOWN_CHARACTER = 1e-6
@@ -62,32 +61,65 @@ class Model:
     prior: np.ndarray  # log share of each language
 
 
+class Trie:
+    """The pieces as a trie in arrays: sorted keys (node, character) of its
+    edges, the node each leads to, and the piece that ends at a node or -1."""
+
+    def __init__(self, pieces: list[str]):
+        child: dict[int, int] = {}
+        ends = {}
+        for i, piece in enumerate(pieces):
+            node = 0
+            for c in piece:
+                node = child.setdefault(node << 21 | ord(c), len(child) + 1)
+            ends[node] = i
+        self.keys = np.array(sorted(child), np.int64)
+        self.child = np.array([child[k] for k in self.keys.tolist()], np.int64)
+        self.piece = np.full(len(child) + 1, -1)
+        self.piece[list(ends)] = list(ends.values())
+
+    def matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all pieces in a text; all starts walk the
+        trie together, one character a step."""
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        start, node, depth = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
+        found = [(np.zeros(0, np.int64),) * 3]
+        while len(start) and len(self.keys):
+            key = node << 21 | chars[start + depth]
+            edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = self.keys[edge] == key
+            start, node, depth = start[on], self.child[edge[on]], depth + 1
+            piece = self.piece[node]
+            hit = piece >= 0
+            found.append((start[hit], start[hit] + depth, piece[hit]))
+            inside = start + depth < len(chars)
+            start, node = start[inside], node[inside]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 class Lattice:
     """All pieces inside a list of words, as edges between positions."""
 
-    def __init__(self, automaton, unknown: int, words: list[str]):
+    def __init__(self, trie: Trie, unknown: int, words: list[str]):
         size = [len(w) + 1 for w in words]  # the mark and the word's characters
         self.begin = np.concatenate([[0], np.cumsum([s + 1 for s in size])])[:-1]
         self.end = self.begin + np.array(size)
-        text = START + ("\n" + START).join(words)  # position i of the text is node i
-        found = [(e, piece, n) for e, (piece, n) in automaton.iter(text)]
-        e, piece, n = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+        # position i of the text is node i; no piece holds the line end between words
+        source, target, piece = trie.matches(START + ("\n" + START).join(words))
         # a character that no piece stands for alone is an unknown one
-        nodes = self.end[-1] + 1
-        inner = np.ones(nodes, bool)
-        inner[self.end] = False
-        inner[e[n == 1]] = False
-        single = np.flatnonzero(inner)
-        self.source = np.concatenate([e - n + 1, single])
-        self.target = np.concatenate([e + 1, single + 1])
-        self.piece = np.concatenate([piece, np.full(len(single), unknown)])
-        word = np.searchsorted(self.begin, self.target, "right") - 1
-        depth = self.target - self.begin[word]
-        order = np.lexsort((self.target, depth))
-        self.source, self.target, self.piece, depth = (
-            x[order] for x in (self.source, self.target, self.piece, depth))
-        self.levels = np.searchsorted(depth, np.arange(1, int(depth.max(initial=0)) + 2))
-        self.nodes, self.word = nodes, word[order]
+        self.nodes = int(self.end[-1]) + 1
+        alone = np.ones(self.nodes, bool)
+        alone[self.end] = False
+        alone[source[target == source + 1]] = False
+        alone = np.flatnonzero(alone)
+        source, target = np.concatenate([source, alone]), np.concatenate([target, alone + 1])
+        piece = np.concatenate([piece, np.full(len(alone), unknown)])
+        at = np.repeat(np.arange(len(words)), np.array(size) + 1)
+        depth = target - self.begin[at[target]]
+        order = np.argsort(depth * self.nodes + target)
+        self.source, self.target, self.piece = source[order], target[order], piece[order]
+        self.levels = np.concatenate([[0], np.cumsum(np.bincount(depth)[1:])])
+        self.word = at[self.target]
 
     def forward(self, prob: np.ndarray) -> np.ndarray:
         """Per node and language the probability of all ways to reach it."""
@@ -107,14 +139,6 @@ class Lattice:
         return beta
 
 
-def automaton_of(pieces: list[str]):
-    automaton = ahocorasick.Automaton()
-    for i, p in enumerate(pieces):
-        automaton.add_word(p, (i, len(p)))
-    automaton.make_automaton()
-    return automaton
-
-
 def words_of(text: str | None) -> list[str]:
     if not text:
         return []
@@ -128,7 +152,7 @@ class Scorer:
     """Log probabilities of words per language, with a memo of bounded size."""
 
     def __init__(self, model: Model):
-        self.model, self.automaton = model, automaton_of(model.pieces)
+        self.model, self.trie = model, Trie(model.pieces)
         self.row: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
 
@@ -138,16 +162,16 @@ class Scorer:
         new = [w for w in words if w not in self.row]
         parts = [self.table]
         for k in range(0, len(new), TOGETHER):
-            lattice = Lattice(self.automaton, len(self.model.pieces), new[k:k + TOGETHER])
+            lattice = Lattice(self.trie, len(self.model.pieces), new[k:k + TOGETHER])
             parts.append(np.log(np.maximum(lattice.forward(self.model.prob)[lattice.end], 1e-300)))
         start = len(self.row)
         self.row.update((w, start + i) for i, w in enumerate(new))
         self.table = np.concatenate(parts)
 
-    def posteriors(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
+    def posteriors(self, texts: pa.Array) -> Iterator[np.ndarray | None]:
         """Posterior per language; None for texts without a letter."""
-        for k in range(0, len(texts), 500):
-            group = [words_of(t) for t in texts[k:k + 500]]
+        for k in range(0, len(texts), 200):
+            group = [words_of(t) for t in texts.slice(k, 200).to_pylist()]
             every = set().union(*group)
             if not every <= self.row.keys():
                 self.learn(list(every) if len(self.row) + len(every) > MEMO else list(every.difference(self.row)))
@@ -185,7 +209,7 @@ def train(labelled: DataFrame, vocabulary: list[str], text_col: str = "text", la
 
     def count_words(batch: pa.RecordBatch) -> pa.RecordBatch:
         tally: dict[tuple[int, str], int] = {}
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text, lang in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
             for w in words_of(text):
                 tally[place[lang], w] = tally.get((place[lang], w), 0) + 1
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in tally], pa.int32()), pa.array(
@@ -208,13 +232,13 @@ def _expect(model):
     """Expected piece counts of the words of each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, prob = model.value
-        automaton, total = automaton_of(pieces), np.zeros(prob.shape)
+        trie, total = Trie(pieces), np.zeros(prob.shape)
         for batch in batches:
             k, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             words = batch.column(1).to_pylist()
             for lang in np.unique(k).tolist():
                 own = np.flatnonzero(k == lang)
-                lattice = Lattice(automaton, len(pieces), [words[i] for i in own])
+                lattice = Lattice(trie, len(pieces), [words[i] for i in own])
                 p = prob[:, lang]
                 alpha, beta = lattice.forward(p[:, None])[:, 0], lattice.backward(p)
                 weight = n[own] / np.maximum(alpha[lattice.end], 1e-300)
@@ -244,7 +268,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         scorer = Scorer(model)
         for batch in batches:
             lang, score = [], []
-            texts = batch.column(text_col).to_pylist()
+            texts = batch.column(text_col)
             for p in scorer.posteriors(texts) if model.languages else [None] * len(texts):
                 best = None if p is None else int(np.argmax(p))
                 lang.append(UNKNOWN if p is None else model.languages[best])

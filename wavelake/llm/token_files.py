@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from ..session import scratch_path
 
 #: ids per block
 BLOCK = 1 << 20
@@ -113,7 +113,7 @@ def document_token_counts(docs: DataFrame, model_file: str, eod: int = 2) -> Dat
     folder and count each document's ids by scanning them: file_no, doc_no,
     start, n_tokens."""
     spark = docs.sparkSession
-    path = scratch(spark, "tokens")
+    path = scratch_path(spark, "llm-tokens")
     write_token_files(docs, path, model_file, eod=eod)
     found = token_counts(read_token_files(spark, path), eod)
     return found.select(F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no"), "doc_no", "start",
