@@ -13,7 +13,9 @@ texts have equal chunks, and a shared passage has mostly equal ones.
    the text is read.  Documents are equal if and only if their recipes are.
    From here on only recipes move, never texts.
 3. Recipes are grouped (partial aggregates: a group of copies is combined
-   before the shuffle), and the kept id joined back; AQE splits a hot recipe.
+   before the shuffle).  Groups of two or more are written, and their kept id
+   is joined back to the rows; the written side has no partitioning that the
+   join must keep, so that Spark can split a hot recipe.
 """
 
 from __future__ import annotations
@@ -79,10 +81,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     their group has an id.  Rows that repeat the kept id are one document and
     all read kept.  Other columns are not read."""
     own = stored(recipes(docs, id_col, text_col, fingerprint), "recipes")
-    groups = own.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return own.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        "text_sha256", "text_key")
+    groups = own.groupBy("recipe").agg(F.max("doc_id").alias("largest"), F.count(F.lit(1)).alias("n"))
+    copies = stored(groups.filter("n > 1"), "copies")
+    keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("largest"))
+    return own.join(copies, "recipe", "left").select(
+        "doc_id", keep.alias("keep_id"), F.coalesce("n", F.lit(1)).cast("bigint").alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "text_key")
 
 
 ORACLE_SQL = """
