@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, stored
 
 SALT = 32
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
@@ -277,7 +277,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     A null or empty page, or one without main text, has an empty text.  Pages
     with a null url or one without a host vote together.  Repeated rows stay
     repeated; other columns are not read."""
-    paths = host_paths(pages, url_col, html_col)
+    # written first: with its size known, a small table of paths goes to the
+    # pages, and the pages are shuffled only if it is large
+    paths = stored(host_paths(pages, url_col, html_col), "paths")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), host_of(F.col(url_col)).alias("host"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)).cast("int"))
