@@ -40,6 +40,12 @@ def test_article_with_broken_markup():
     assert h.extract(page, "body>article") == ["Head", "Bold", "Text", "one", "two", "x", "y", "1 < 2 ©"]
 
 
+def test_what_stands_beside_does_not_name_the_element():
+    page = h.parse("<div class='layout-sidebar has-comments'><div class=text><p>main</div><div class='sidebar x'><p>no")
+    assert h.extract(page, "body>div.has-comments.layout-sidebar>div.text") == ["main"]
+    assert h.extract(page, None) == ["main"]
+
+
 def test_plain_and_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "no url", "just text"), (4, "http://e.example/", "<p>" + "long " * 50_000),
             (None, "http://e.example/", "<p>one"), (5, "http://e.example/", "<p>same"), (5, "http://e.example/", "<p>same"),

@@ -60,6 +60,7 @@ SKIP_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer
                        "signup ad ads advert adverts advertisement advertising sponsor sponsored promo promotion "
                        "share sharing social comment comments commentlist discussion disqus replies respond form "
                        "login search pagination pager toolbar".split())
+BESIDE = re.compile(r"(?:has|with|without|no|layout|is|js)[^a-z]")
 HEADER_WORDS = frozenset("header masthead banner topbar".split())
 MAIN = frozenset(("article", "main"))
 
@@ -90,7 +91,8 @@ def _step(tag: str, attrs: str) -> tuple[str, bool, bool]:
             if name.lower() == "role":
                 skip, header = skip or value in SKIP_ROLES - {"banner"}, header or value == "banner"
                 continue
-            words = set(re.split(r"[^a-z]+", value))
+            # "has-sidebar" and the like tell what stands beside, not what this is
+            words = {w for c in value.split() if not BESIDE.match(c) for w in re.split(r"[^a-z]+", c)}
             skip = skip or bool(words & SKIP_WORDS)
             header = header or bool(words & HEADER_WORDS)
             if name.lower() == "class":
