@@ -52,7 +52,7 @@ HOT = 8
 #: most key ranges; beyond, each range is divided by a hash of the token
 MOST_RANGES = 1 << 15
 #: bytes of text whose records are collected at once
-GROUP = 8 << 20
+GROUP = 4 << 20
 #: strings compared at once inside a run of equal tokens
 STRINGS = 500_000
 #: order of rows without an id: after all others
@@ -123,15 +123,28 @@ class Router:
 
 def pack(columns: np.ndarray, data: bytes) -> bytes:
     """Compressed block: number of records, their columns (id, row, start,
-    count, anchor, size; one column after the other), their bytes."""
-    raw = np.array([columns.shape[1]], "<i8").tobytes() + columns.astype("<i8").tobytes() + data
+    count, anchor, size), their bytes.  Ids and rows are written as
+    differences and a record without bytes by a negative count, all columns
+    byte by byte, which leaves long runs of zeros.  A record of ``count``
+    starts has the bytes of its first string and one for each further start."""
+    out = np.array(columns[:5], "<i8", order="C")
+    out[:2] = np.diff(out[:2], axis=1, prepend=0)
+    out[3, columns[5] == 0] *= -1
+    planes = np.ascontiguousarray(out.view(np.uint8).reshape(5, -1, 8).transpose(0, 2, 1))
+    raw = np.array([columns.shape[1]], "<i8").tobytes() + planes.tobytes() + data
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
+def unpack(blob: bytes, length: int) -> tuple[np.ndarray, bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
-    return np.frombuffer(raw, "<i8", 6 * n, 8).reshape(6, n), raw[8 + 48 * n:]
+    planes = np.frombuffer(raw, np.uint8, 40 * n, 8).reshape(5, 8, n).transpose(0, 2, 1)
+    columns = np.zeros((6, n), np.int64)
+    columns[:5] = np.ascontiguousarray(planes).view("<i8").reshape(5, n)
+    columns[:2] = np.cumsum(columns[:2], axis=1)
+    columns[5] = np.where(columns[3] < 0, 0, columns[3] + length - 1)
+    columns[3] = np.abs(columns[3])
+    return columns, raw[8 + 40 * n:]
 
 
 def collect_records(docs: list[tuple[int, int, bytes]], router: Router, length: int) -> Iterator[tuple[int, bytes]]:
@@ -249,7 +262,7 @@ def repeated_in_run(run: list[tuple[tuple, int, bytes]], length: int) -> Iterato
 
 def bucket_repeats(blobs: list[bytes], length: int) -> np.ndarray:
     """Repeated starts of a bucket: columns row, start, count."""
-    parts = [unpack(b) for b in blobs]
+    parts = [unpack(b, length) for b in blobs]
     columns = np.concatenate([c for c, _ in parts], axis=1)
     data = b"".join([d for _, d in parts])
     del parts
