@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import values
+
 #: memo entries per task; a full memo is emptied, which changes no result
-MEMO = 400_000
+MEMO = 250_000
 #: characters of text whose pieces are held at once
-GROUP = 2_000_000
+GROUP = 1_000_000
 #: fragments of more bytes are merged one by one
 LONG = 64
 NO_MERGE = 1 << 40
@@ -185,7 +187,7 @@ class Codec:
             out[p] = (",".join(map(str, own)), len(own), b"".join([by_id[i] for i in own]))
         return out
 
-    def parts(self, texts: list[str | None]) -> Iterator[list[tuple[str, int, bytes]]]:
+    def parts(self, texts: Iterable[str | None]) -> Iterator[list[tuple[str, int, bytes]]]:
         """Per text the codes of its pieces in order, in groups of about
         ``GROUP`` characters, so that what is held at once stays small."""
         group: list[str] = []
@@ -239,7 +241,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """One row per document: id and token ids.  A null text counts as empty;
     special tokens in a text are encoded as such; other columns are not read."""
     def fn(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [[int(i) for p in parts for i in p[0].split(",")] for parts in codec.parts(batch.column(1).to_pylist())]
+        ids = [[int(i) for p in parts for i in p[0].split(",")] for parts in codec.parts(values(batch.column(1)))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
     return _with_codec(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
                        path, fn, "doc_id bigint, ids array<int>")
@@ -263,7 +265,7 @@ def encoding_report(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
     commas and of the text decoded from them, both in one pass."""
     def fn(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
         n, ids, back = [], [], []
-        for parts in codec.parts(batch.column(1).to_pylist()):
+        for parts in codec.parts(values(batch.column(1))):
             n.append(sum([p[1] for p in parts]))
             ids.append(hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest())
             raw = b"".join([p[2] for p in parts]).decode("utf-8", "replace").encode("utf-8")

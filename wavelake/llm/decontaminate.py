@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per training shard (operator 5).
 
-A shard is an Arrow batch of documents.  Its text is a sequence of word
+A shard is a run of up to ``SHARD`` documents of a partition.  Its text is a sequence of word
 symbols: the words that occur in the benchmark are numbered, every other word
 is the separator 0, and so is the end of a document.  A phrase can only lie
 inside a stretch of numbered words that is at least as long as the shortest
@@ -32,6 +32,8 @@ from .common import WORD_TABLE
 
 WINDOW = 10
 SAMPLE = 8
+#: documents per shard
+SHARD = 2500
 #: bytes of benchmark text that one broadcast holds at most
 BLOCK_BYTES = 32 << 20
 
@@ -260,7 +262,7 @@ def _search(base: DataFrame, table) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = table.value
-        for batch in batches:
+        for batch in _shards(batches):
             n_words, spans, items = find_spans(batch.column("text").to_pylist(), phrases)
             cols = [batch.column("doc_id"), pa.array(n_words, pa.int64()),
                     pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], spans_type),
@@ -282,9 +284,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     return docs
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, SHARD):
+            yield batch.slice(k, SHARD)
+
+
 def _clean_rows(table, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _shards(batches):
             _, spans, _ = find_spans(batch.column(text_col).to_pylist(), table.value)
             yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
     return run
