@@ -57,3 +57,42 @@ def test_plain_and_odd_pages(spark):
     assert text[1] == text[2] == text[6] == text[9] == "" and text[5] == "same" and text[None] == "one"
     assert text[3] == "just text" and len(text[4]) == 5 * 50_000 - 1
     assert h.extract_pages(pages(spark, [])).collect() == []
+
+
+LONG = "<h1>Head</h1><p>" + "word " * 60 + "</p><p>end"
+WANT = ["Head", ("word " * 60).strip(), "end"]
+
+
+def test_a_wrapper_is_not_skipped_for_a_word_or_form():
+    beside = "<nav>menu</nav><div class=sidebar><p>side text</div><div id=comments><p>" + "reader " * 30 + "</div>"
+    for wrapper in ("form id=aspnetForm", "div class='widget Blog'", "div class=two-col-sidebar",
+                    "div class='elementor-widget elementor-widget-theme-post-content'", "div id=search-results-page",
+                    "div class=post-discussion"):
+        for inner in ("div class=text", "article", "main"):
+            tags = wrapper.split()[0], inner.split()[0]
+            page = h.parse(f"<{wrapper}><{inner}>{LONG}</{tags[1]}></{tags[0]}>{beside}")
+            assert h.extract(page, None) == WANT, (wrapper, inner)
+            if wrapper.startswith("form"):  # what surrounds the text may be inside as well
+                assert h.extract(h.parse(f"<{wrapper}>{beside}<{inner}>{LONG}</{tags[1]}></form>"), None) == WANT
+    # a theme that calls each part so
+    parts = "".join(f"<div class=elementor-widget><p>{'part ' * 20}{i}</div>" for i in range(5))
+    assert len(h.extract(h.parse(f"<div class=page>{parts}</div>"), None)) == 5
+    # an article in a skipped element with less text than the rest of the page
+    short = "<div class=widget><article><p>" + "own " * 20 + "</article></div><div id=comments>" + "reader " * 90 + "</div>"
+    assert h.extract(h.parse(short), None) == [("own " * 20).strip()]
+
+
+def test_what_is_skipped_stays_out_beside_an_article():
+    for beside in ("<div class=sidebar>", "<div class='cookie-consent'>", "<form>", "<div id=comments>", "<aside>",
+                   "<ol class=commentlist><li class=comment><article class=comment-body>"):
+        for inner in ("div class=post", "article"):
+            page = h.parse(f"{beside}<p>{'other ' * 200}</p></article></div></form></ol></aside><{inner}><h1>T</h1><p>x y</p>")
+            assert h.extract(page, None) == ["T", "x y"], (beside, inner)
+
+
+def test_the_winning_path_resets_what_stands_above(spark):
+    html = "<div class=two-col-sidebar><div class=entry>{}</div></div><div class=extra><p>{}</div>"
+    rows = [(i, "http://w.example/", html.format(f"<p>{'long ' * 80}", "few")) for i in range(3)]
+    rows.append((9, "http://w.example/", html.format("<p>short text", "other " * 50)))
+    got = {r.page_id: r.text for r in h.extract_pages(pages(spark, rows)).collect()}
+    assert got[9] == "short text" and got[0] == ("long " * 80).strip()

@@ -15,14 +15,20 @@
 
 Inside the chosen element menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out, by tag, role or a
-word of the class or id.
+word of the class or id.  Words and ``form`` are weak signs: they don't count
+where what they name holds most of the page's text (a form around the page, a
+theme that calls everything a widget), nor around ``main``, the page's
+``article`` or an element on the host's winning path.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections.abc import Collection
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,13 +59,19 @@ ENDS_SAME = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)
              "body": (("head",), ())}
 SKIP_TAGS = frozenset("head nav footer aside form menu dialog noscript template svg math button select input "
                       "object embed applet audio video canvas map".split()) | RAW
+HARD_TAGS, FORM, NONE = SKIP_TAGS - {"form"}, frozenset(["form"]), frozenset()
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                        "toolbar form".split())
+HARD_ROLES = SKIP_ROLES - {"banner"}
 SKIP_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside widget widgets related "
                        "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
                        "signup ad ads advert adverts advertisement advertising sponsor sponsored promo promotion "
                        "share sharing social comment comments commentlist discussion disqus replies respond form "
                        "login search pagination pager toolbar".split())
+#: of these even an element with most of the text may be no wrapper: comments outgrow their post
+COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replies respond".split())
+#: what stands in these is never shown as it is
+UNSEEN = frozenset("head noscript template svg math".split())
 BESIDE = re.compile(r"(?:has|with|without|no|layout|is|js)[^a-z]")
 HEADER_WORDS = frozenset("header masthead banner topbar".split())
 MAIN = frozenset(("article", "main"))
@@ -72,6 +84,9 @@ class Node:
     path: str
     skip: bool
     header: bool  # of a header only headings count, and only inside the main element
+    hard: bool = False  # left out by its own tag or role
+    words: frozenset = frozenset()  # weak signs of its own: skip words of class and id, "form" for the tag
+    named: bool = False  # a weak sign is in its id, which the path does not show
 
 
 @dataclass
@@ -80,24 +95,152 @@ class Page:
     #: (container node, innermost node, text, characters inside links)
     blocks: list[tuple[int, int, str, int]] = field(default_factory=list)
     links: list[tuple[str, str]] = field(default_factory=list)
+    #: weak signs (node, word) that don't count, nodes that nothing above leaves out
+    void: set[tuple[int, str]] = field(default_factory=set)
+    reset: set[int] = field(default_factory=set)
 
 
-def _step(tag: str, attrs: str) -> tuple[str, bool, bool]:
-    """Generalised path step, whether it is left out, whether it is a header."""
-    skip, header, step = tag in SKIP_TAGS, tag == "header", tag
+def _step(tag: str, attrs: str) -> tuple[str, bool, frozenset, bool, bool]:
+    """Generalised path step, whether tag or role leave it out, skip words,
+    whether the id has one, whether it is a header."""
+    hard, header, step, named = tag in HARD_TAGS, tag == "header", tag, False
+    found = FORM if tag == "form" else NONE
     if attrs and "=" in attrs:
         for name, value in ATTRIBUTE.findall(attrs):
             value = value.strip("\"'").lower()
             if name.lower() == "role":
-                skip, header = skip or value in SKIP_ROLES - {"banner"}, header or value == "banner"
+                hard, header = hard or value in HARD_ROLES, header or value == "banner"
                 continue
             # "has-sidebar" and the like tell what stands beside, not what this is
             words = {w for c in value.split() if not BESIDE.match(c) for w in re.split(r"[^a-z]+", c)}
-            skip = skip or bool(words & SKIP_WORDS)
+            found = found | (words & SKIP_WORDS)
             header = header or bool(words & HEADER_WORDS)
             if name.lower() == "class":
                 step = ".".join([tag, *sorted({re.sub(r"\d+", "0", c) for c in value.split()})])
-    return step, skip and tag not in MAIN, header and tag not in MAIN
+            else:
+                named = named or bool(words & SKIP_WORDS)
+    return step, hard and tag not in MAIN, found, named, header and tag not in MAIN
+
+
+def _weights(page: Page, out: list[bool]) -> list[int]:
+    """Characters outside links per node with all below it, without nodes that
+    are ``out``."""
+    weight = [0] * len(page.nodes)
+    for _, inner, text, linked in page.blocks:
+        if not out[inner]:
+            weight[inner] += max(0, len(text) - linked)
+    for k in range(len(page.nodes) - 1, 0, -1):
+        weight[page.nodes[k].parent] += weight[k]
+    return weight
+
+
+def _set_skips(page: Page, reset: Collection[int], void: set[tuple[int, str]]) -> None:
+    """Skip of every node from its own signs and its parent's; ``reset`` nodes
+    are not skipped whatever is above, ``void`` pairs (node, word) are no sign."""
+    nodes = page.nodes
+    for k, node in enumerate(nodes):
+        node.skip = k not in reset and (node.hard or k > 0 and nodes[node.parent].skip or bool(
+            node.words) and node.tag not in MAIN and any((k, w) not in void for w in node.words))
+
+
+def _left(page: Page) -> int:
+    return sum(max(0, len(text) - linked) for _, inner, text, linked in page.blocks
+               if not page.nodes[inner].skip and not page.nodes[inner].header)
+
+
+def _judge_skips(page: Page) -> None:
+    """Decide which weak signs count on this page.
+
+    A sign is void where its element holds most of the page's text (or all
+    elements with it together do), if an article's signs are inside or none
+    is outside."""
+    nodes, void = page.nodes, page.void
+    _set_skips(page, (), void)
+    if not any(node.skip and node.tag in MAIN for node in nodes):
+        hard = [False] * len(nodes)
+        for k, node in enumerate(nodes):
+            hard[k] = node.hard or node.parent >= 0 and hard[node.parent]
+        total = left = 0
+        for _, inner, text, linked in page.blocks:
+            if not hard[inner]:
+                total += max(0, len(text) - linked)
+                left += 0 if nodes[inner].skip else max(0, len(text) - linked)
+        if 2 * left >= total and _left(page):  # then no sign holds most of the text
+            return
+    end = list(range(1, len(nodes) + 1))  # the nodes of a subtree stand together
+    for k in range(len(nodes) - 1, 0, -1):
+        end[nodes[k].parent] = max(end[nodes[k].parent], end[k])
+
+    def below(out) -> list[bool]:
+        """Whether a node or one above it is left out by a tag, a role or ``out``."""
+        found = [False] * len(nodes)
+        for k, node in enumerate(nodes[1:], 1):
+            found[k] = node.hard or found[node.parent] or out(k, node)
+        return found
+
+    def comment(k: int, node: Node) -> bool:
+        return any((k, w) not in void for w in node.words & COMMENT_WORDS)
+    weight = _weights(page, below(lambda k, node: False))
+    signed = [k for k, node in enumerate(nodes) if node.words and node.tag not in MAIN]
+    # an article's signs: main, h1, and articles that are no reader's comment
+    titles = [k for k, node in enumerate(nodes) if weight[k] and node.tag in ("main", "h1")]
+    articles = [k for k, node in enumerate(nodes) if weight[k] and node.tag == "article" and not comment(k, node)
+                and not any(nodes[a].tag == "li" for a in _ancestors(page, k))]
+    signs = sorted(titles + articles) if len(articles) == 1 else titles
+
+    places: set[int] = set()
+
+    def within(k: int, some: list[int]) -> bool:
+        return bisect_left(some, end[k]) > bisect_left(some, k)
+
+    def judge(words: frozenset, weight: list[int], alike: bool) -> None:
+        """``alike``: elements without an article's signs may be wrappers too,
+        if none of these places is beside them."""
+        def wraps(some: list[int]) -> bool:
+            return 2 * sum(weight[k] for k in some) > weight[0] and (any(within(k, signs) for k in some) or (
+                alike and not any(all(not k <= m < end[k] and not m <= k < end[m] for k in some) for m in places)))
+        for word in sorted({w for k in signed for w in nodes[k].words & words}):
+            own = [k for k in signed if word in nodes[k].words]
+            alone = {k for k in own if wraps([k])}
+            outer, last = [], 0
+            for k in own:
+                if k not in alone and k >= last:
+                    outer.append(k)
+                    last = end[k]
+            void.update((k, word) for k in (own if len(outer) > 1 and wraps(outer) else alone))
+        _set_skips(page, (), void)
+    judge(COMMENT_WORDS, weight, False)
+    comments = below(comment)
+    signs = [k for k in sorted(titles + articles) if nodes[k].tag == "main" or not comments[k] and not comment(k, nodes[k])]
+    # where one stands with text that is not skipped
+    body = [0] * (len(nodes) + 1)
+    for _, inner, text, linked in page.blocks:
+        if not nodes[inner].skip and not nodes[inner].header and nodes[inner].tag not in HEADING:
+            body[inner + 1] += max(0, len(text) - linked)
+    body = list(accumulate(body))
+    for k in signs:
+        while nodes[k].tag in LEAF or nodes[k].header:
+            k = nodes[k].parent
+        if k > 0 and not nodes[k].skip and body[end[k]] > body[k]:
+            places.add(k)
+    judge(SKIP_WORDS - COMMENT_WORDS, weight, True)
+    if not _left(page):
+        judge(SKIP_WORDS - COMMENT_WORDS, _weights(page, comments), True)
+    if not _left(page):
+        judge(COMMENT_WORDS, weight, True)
+    # main, and the page's article if no other is free, stand for themselves
+    for k, node in enumerate(nodes):
+        if node.tag == "main" and node.skip and not any(nodes[a].tag in UNSEEN for a in _ancestors(page, k)):
+            page.reset.add(k)
+    if not page.reset and not any(n.tag in MAIN and not n.skip and weight[k] for k, n in enumerate(nodes)):
+        left, last, found = _left(page), 0, []
+        for k in signs:
+            if nodes[k].tag == "article" and k >= last:  # not inside another
+                found.append(k)
+                last = end[k]
+        titled = [k for k in found if within(k, titles)]
+        page.reset.update(k for k in found if found == [k] or titled == [k] or weight[k] > left)
+    _set_skips(page, page.reset, void)
 
 
 def parse(html: str | None) -> Page:
@@ -170,13 +313,15 @@ def parse(html: str | None) -> Page:
             continue
         if tag in VOID or tag in ("html", "body"):
             continue
-        step, skip, header = _step(tag, attrs)
+        step, hard, words, named, header = _step(tag, attrs)
         parent = stack[-1]
         up = nodes[parent]
-        nodes.append(Node(tag, parent, f"{up.path}>{step}", skip or up.skip, header or up.header))
+        nodes.append(Node(tag, parent, f"{up.path}>{step}", False, (header or up.header) and tag not in MAIN,
+                          hard, words, named))
         if not attrs.rstrip().endswith("/"):
             stack.append(len(nodes) - 1)
     flush()
+    _judge_skips(page)
     return page
 
 
@@ -214,8 +359,18 @@ def _ancestors(page: Page, k: int) -> list[int]:
 
 def main_element(page: Page, path: str | None) -> int:
     """Node to extract: the elements on ``path`` or what encloses them all,
-    widened to an enclosing article or main element."""
-    found = [k for k, node in enumerate(page.nodes) if node.path == path and not node.skip]
+    widened to an enclosing article or main element.  If all elements on
+    ``path`` are skipped, by weak signs that the path shows or that stand above
+    them, these signs don't count."""
+    on = [k for k, node in enumerate(page.nodes) if node.path == path]
+    found = [k for k in on if not page.nodes[k].skip]
+    if on and not found:
+        found = [k for k in on if not page.nodes[k].named and not any(
+            page.nodes[a].hard or page.nodes[a].words & COMMENT_WORDS for a in _ancestors(page, k))]
+        if found:
+            clear = {a for k in found for a in _ancestors(page, k)}
+            page.void |= {(a, w) for a in clear for w in page.nodes[a].words}
+            _set_skips(page, page.reset, page.void)
     if not found:
         score = container_scores(page)
         if not score:
