@@ -96,3 +96,34 @@ def test_the_winning_path_resets_what_stands_above(spark):
     rows.append((9, "http://w.example/", html.format("<p>short text", "other " * 50)))
     got = {r.page_id: r.text for r in h.extract_pages(pages(spark, rows)).collect()}
     assert got[9] == "short text" and got[0] == ("long " * 80).strip()
+
+
+POST = ("<nav>menu</nav><div id=page><div class=post><h1><a href=/>Title {0}</a></h1><div class=entry><p>{1}</p><p>{1}"
+        "</div>{2}<div class=tags><a href=/a>one tag</a> <a href=/b>other tag</a></div><div class=share>share</div></div>"
+        "<div class=sidebar><p>side</div></div><div class=extra><p>other text</div>")
+
+
+def test_heading_and_text_beside_the_longest_part(spark):
+    body, more = ("long " * 40).strip(), "<div class=more><p>short end</div>"
+    want = [body, body]
+    page = h.parse(POST.format(1, body, more))
+    assert h.extract(page, None) == ["Title 1", *want, "short end"]
+    # by the host's vote, also on pages without the last part or with a longer one
+    ends = {1: more, 2: more, 3: "", 4: "<div class=more><p>" + "much " * 200 + "</div>"}
+    rows = [(i, "http://p.example/", POST.format(i, body, e)) for i, e in ends.items()]
+    got = {r.page_id: r.text.split("\n\n") for r in h.extract_pages(pages(spark, rows)).collect()}
+    assert got[1] == ["Title 1", *want, "short end"] and got[3] == ["Title 3", *want]
+    assert got[4] == ["Title 4", *want, ("much " * 200).strip()]
+    (best,) = h.host_paths(pages(spark, rows[:3])).collect()
+    assert best.path == "body>div>div.post>div.entry" and best.wide == "body>div>div.post"
+    # the heading inside, beside, in a header, further out
+    for html in ("<div class=post><div class=entry><h1>T</h1><p>{0}</div>{1}</div>",
+                 "<h1>T</h1><div class=entry><p>{0}</div>{1}",
+                 "<div class=post><header><h1>T</h1><p>by me</header><div class=entry><p>{0}</div>{1}</div>",
+                 "<div class=post><h2>T</h2><div><div class=entry><p>{0}</div></div>{1}</div>",
+                 "<div class=post><div><h1>T</h1><div class=entry><p>{0}</div></div>{1}</div>"):
+        page = h.parse("<header><h1>Site</h1></header>" + html.format(body, more) + "<footer>foot</footer>")
+        assert h.extract(page, None) == ["T", body, "short end"], html
+    # nothing is added from the frame of the page
+    frame = h.parse(f"<div id=page><h1 class=banner>Site</h1><nav>m</nav><div class=post><h2>T</h2><p>{body}</div>{more}</div>")
+    assert h.extract(frame, None) == ["T", body]

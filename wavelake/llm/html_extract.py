@@ -7,7 +7,9 @@
    digits replaced.
 2. Votes are summed per host and path by Spark (partial sums first, so a host
    with a third of all pages is one row per task and path), and the path with
-   most votes wins its host.
+   most votes wins its host.  A vote also names the ancestor that adds the
+   article's heading and text beside the container (outside ``article`` and
+   ``main``, which hold theirs); the one with most votes widens the host's path.
 3. Pages are joined with their host's winning path and extracted again from
    the elements on that path.  The join is salted: the rows of a hot host are
    dealt over ``SALT`` keys.  A page without such an element uses its own best
@@ -26,7 +28,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -75,6 +77,8 @@ UNSEEN = frozenset("head noscript template svg math".split())
 BESIDE = re.compile(r"(?:has|with|without|no|layout|is|js)[^a-z]")
 HEADER_WORDS = frozenset("header masthead banner topbar".split())
 MAIN = frozenset(("article", "main"))
+#: an element around one of these is a frame of the page, not an article
+FRAME_TAGS, FRAME_WORDS = frozenset(("nav", "footer")), frozenset("nav navbar sidebar".split())
 
 
 @dataclass
@@ -339,16 +343,113 @@ def container_scores(page: Page) -> dict[int, float]:
     return score
 
 
-def votes(page: Page) -> dict[str, float]:
-    """Vote per generalised path: its containers' score over the page's best."""
+def wide_votes(page: Page) -> dict[tuple[str, str | None], float]:
+    """Vote per generalised path, and the path it is widened to: its
+    containers' score over the page's best.  Containers with nothing to add or
+    less than half of the best score name no widened path."""
     score = container_scores(page)
     best, out = max(score.values(), default=0.0), {}
+    around = Around(page) if best > 0 else None
     for k, s in score.items():
         if best > 0:
-            out[page.nodes[k].path] = out.get(page.nodes[k].path, 0.0) + s / best
+            top = around.widened(k) if 2 * s >= best else k
+            key = page.nodes[k].path, page.nodes[top].path if top != k else None
+            out[key] = out.get(key, 0.0) + s / best
     return out
 
 
+def votes(page: Page) -> dict[str, float]:
+    """Vote per generalised path."""
+    out: dict[str, float] = {}
+    for (path, _), v in wide_votes(page).items():
+        out[path] = out.get(path, 0.0) + v
+    return out
+
+
+class Around:
+    """What is shown of a page, to widen a container to its article."""
+
+    def __init__(self, page: Page):
+        self.page, self.ready = page, False
+
+    def _read(self) -> None:
+        nodes = self.page.nodes
+        n, self.ready = len(nodes), True
+        self.end = list(range(1, n + 1))  # the nodes of a subtree stand together
+        self.frame = [False] * n
+        #: text outside and inside links, without headings, per node with all below it
+        self.plain, self.linked = [0] * n, [0] * n
+        #: text in a node itself, of blocks that aren't mostly links
+        self.own = [0] * n
+        #: first block of a subtree; place and node of the headings
+        self.first, self.headings = [len(self.page.blocks)] * n, {}
+        for at, (_, inner, text, linked) in enumerate(self.page.blocks):
+            node = nodes[inner]
+            if node.skip or node.header and node.tag not in HEADING:
+                continue
+            self.first[inner] = min(self.first[inner], at)
+            if node.tag in HEADING:
+                self.headings[at] = inner
+                continue
+            self.plain[inner] += max(0, len(text) - linked)
+            self.linked[inner] += linked
+            self.own[inner] += len(text) - linked if 2 * linked <= len(text) else 0
+        for k in range(n - 1, 0, -1):
+            up, node = nodes[k].parent, nodes[k]
+            self.end[up] = max(self.end[up], self.end[k])
+            self.plain[up] += self.plain[k]
+            self.linked[up] += self.linked[k]
+            self.first[up] = min(self.first[up], self.first[k])
+            if node.skip and (node.tag in FRAME_TAGS or node.words & FRAME_WORDS):
+                self.frame[up] = True
+
+    def children(self, k: int) -> Iterator[int]:
+        c = k + 1
+        while c < self.end[k]:
+            yield c
+            c = self.end[c]
+
+    def links(self, k: int) -> bool:
+        return self.linked[k] > self.plain[k]
+
+    def _heading(self, up: int, k: int, tags: Collection[str]) -> bool:
+        """Whether a heading stands before k in ``up``; of a header only if it
+        is beside k and ``up`` no frame of the page."""
+        nodes = self.page.nodes
+        return any(up < m < self.end[up] and not k <= m < self.end[k] and at < self.first[k] and nodes[m].tag in tags
+                   and (not nodes[m].header or 0 < up == nodes[k].parent and not self.frame[up]) for at, m in self.headings.items())
+
+    def widened(self, k: int) -> int:
+        """The smallest ancestor of k that adds the article's heading, and from
+        there the largest that adds text and is no frame of the page.  Ancestors
+        in which k has less than half of the text are not looked at, nor is
+        the whole page, except for a heading beside k."""
+        nodes = self.page.nodes
+        if any(nodes[a].tag in MAIN for a in _ancestors(self.page, k)):
+            return k
+        if not self.ready:
+            self._read()
+        most, top = 2 * self.plain[k], k
+        inside = {nodes[m].tag for m in self.headings.values() if k <= m < self.end[k]}
+        titled = "h1" in inside or self.first[k] in self.headings
+        up = nodes[k].parent
+        if "h1" not in inside:
+            while up >= 0 and self.plain[up] <= most and (up > 0 or nodes[k].parent == 0):
+                if self._heading(up, k, ("h1",) if titled else HEADING):
+                    top, titled = up, True
+                    break
+                if titled:  # it has a heading; only a title beside it is added
+                    break
+                up = nodes[up].parent
+        child, up = top, nodes[top].parent
+        while up > 0 and not self.frame[up] and self.plain[up] <= most:
+            if self.own[up] or any(c != child and self.plain[c] and not self.links(c) and not (
+                    titled and self.first[c] in self.headings) for c in self.children(up)):
+                top = up
+            child, up = up, nodes[up].parent
+        return top
+
+
 def _ancestors(page: Page, k: int) -> list[int]:
     out = [k]
     while page.nodes[k].parent >= 0:
@@ -385,16 +486,31 @@ def main_element(page: Page, path: str | None) -> int:
     return (articles or wide or [common[0]])[-1]
 
 
-def extract(page: Page, path: str | None) -> list[str]:
-    """Blocks of the main text in page order."""
-    top, out = main_element(page, path), []
-    inside = {top}
-    for k in range(top + 1, len(page.nodes)):
-        if page.nodes[k].parent in inside:
+def extract(page: Page, path: str | None, wide: str | None = None) -> list[str]:
+    """Blocks of the main text in page order: all of the main element, and of
+    what it is widened to (by ``wide`` where it stands on ``path``) what is not
+    mostly links."""
+    nodes = page.nodes
+    core = top = main_element(page, path)
+    around = Around(page)
+    if core > 0:
+        if wide is not None and f"{path}>".startswith(f"{nodes[core].path}>"):
+            top = next((a for a in _ancestors(page, core) if nodes[a].path == wide), core)
+        else:
+            top = around.widened(core)
+    inside, out, chain = {top}, [], set()
+    if top != core:
+        if not around.ready:
+            around._read()
+        up = _ancestors(page, core)
+        chain = set(up[1:up.index(top) + 1])
+    for k in range(top + 1, len(nodes)):
+        if nodes[k].parent in inside and not (nodes[k].parent in chain and k not in chain and k != core
+                                              and around.links(k)):
             inside.add(k)
-    for _, inner, text, _ in page.blocks:
-        node = page.nodes[inner]
-        if inner in inside and not node.skip:
+    for _, inner, text, linked in page.blocks:
+        node = nodes[inner]
+        if inner in inside and not node.skip and not (inner in chain and 2 * linked > len(text)):
             if node.header and not (node.tag in HEADING and top > 0):
                 continue
             out.append(text)
@@ -408,23 +524,29 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path and votes of the winning path per host; of equal votes the
-    first path in order wins."""
+    """host, path, votes and widened path (or null) of the winning path per
+    host; of equal votes the first path in order wins."""
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        total: dict[tuple[str, str], float] = {}
+        total: dict[tuple[str, str, str | None], float] = {}
         for host, html in zip(batch.column(0), batch.column(1), strict=True):
-            for path, v in votes(parse(html.as_py())).items():
-                key = host.as_py(), path
+            for (path, wide), v in wide_votes(parse(html.as_py())).items():
+                key = host.as_py(), path, wide
                 total[key] = total.get(key, 0.0) + round(v, 6)
         return pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()),
-             pa.array([round(v * 1e6) for v in total.values()], pa.int64())], ["host", "path", "votes"])
+             pa.array([k[2] for k in total], pa.string()),
+             pa.array([round(v * 1e6) for v in total.values()], pa.int64())], ["host", "path", "wide", "votes"])
     cast = map_batches(pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")), fn,
-                       "host string, path string, votes bigint")
-    total = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+                       "host string, path string, wide string, votes bigint")
+    total = cast.groupBy("host", "path", "wide").agg(F.sum("votes").alias("votes"))
+    # pages with nothing to add don't vote on the widened path
+    total = total.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.min(F.when(
+        F.col("wide").isNotNull(), F.struct((-F.col("votes")).alias("v"), F.col("wide")))).alias("w"))
     # one row per host by a combined aggregate: most votes, then the first path
-    best = total.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("path"))).alias("b"))
-    return best.select("host", F.col("b.path").alias("path"), (-F.col("b.v")).alias("votes"))
+    best = total.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("path"), F.col("w.wide").alias(
+        "wide"))).alias("b"))
+    return best.select("host", F.col("b.path").alias("path"), (-F.col("b.v")).alias("votes"),
+                       F.col("b.wide").alias("wide"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -440,12 +562,12 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), host_of(F.col(url_col)).alias("host"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)).cast("int"))
-    paths = paths.select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    joined = rows.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "path")
+    paths = paths.select("host", "path", "wide", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    joined = rows.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "path", "wide")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = ["\n\n".join(extract(parse(h.as_py()), p.as_py()))
-                for h, p in zip(batch.column(2), batch.column(3), strict=True)]
+        text = ["\n\n".join(extract(parse(h.as_py()), p.as_py(), w.as_py()))
+                for h, p, w in zip(batch.column(2), batch.column(3), batch.column(4), strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())],
             ["page_id", "url", "text", "n_chars"])
