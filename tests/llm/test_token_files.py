@@ -68,3 +68,33 @@ def test_broken_files_and_empty_tables(spark, tmp_path):
     assert token_files.document_token_counts(documents(spark, []), MODEL).collect() == []
     with pytest.raises(ValueError):
         token_files.write_token_files(documents(spark, []), str(tmp_path / "x"), MODEL, eod=50256)
+
+
+def test_a_file_is_dealt_over_tasks_and_stitched(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "RANGE", 64)
+    rng = np.random.default_rng(6)
+    files = {"a b%20": rng.integers(0, 9, 1000).tolist(), "c": [5] * 300, "d": [2]}
+    rows = token_files.read_token_files(spark, write(tmp_path, **files))
+    assert "content" not in rows.columns
+    blocks = token_files.scan_blocks(rows, 2, block=8)
+    tasks = blocks.filter("file like '%a b%'").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1 and result(token_files.token_counts(rows, 2, block=8)) == plain(files, 2)
+    # a file with a hole, larger than a whole row may be
+    with open(tmp_path / "c", "wb") as f:
+        f.truncate((2 << 30) + 64)
+        f.seek(1 << 31)
+        f.write(np.array([2, 7], "<u2").tobytes())
+    monkeypatch.setattr(token_files, "RANGE", 32 << 20)
+    large = token_files.read_token_files(spark, str(tmp_path / "c"))
+    assert result(token_files.token_counts(large)) == [("c", 0, 0, 1 << 30, True), ("c", 1, (1 << 30) + 1, 31, False)]
+
+
+def test_written_files_are_rolled(spark, tmp_path, monkeypatch):
+    texts = prose(42, 300)
+    docs = documents(spark, list(enumerate(texts))).coalesce(1)
+    want = sorted(tuple(r) for r in token_files.document_token_counts(docs, MODEL).collect())
+    monkeypatch.setattr(token_files, "ROW_BYTES", 100)
+    monkeypatch.setattr(token_files, "FILE_ROWS", 10)
+    token_files.write_token_files(docs, str(tmp_path / "flat"), MODEL)
+    assert len(glob.glob(f"{tmp_path}/flat/part-*")) > 3
+    assert sorted(tuple(r) for r in token_files.document_token_counts(docs, MODEL).collect()) == want
