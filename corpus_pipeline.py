@@ -11,7 +11,7 @@ rows that repeat both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelake.llm import bpe, decontaminate, exact_dedup, langid, simhash
@@ -22,10 +22,11 @@ from wavelake.llm.queries import TOKENIZERS
 _ID, _TEXT = "__stage_id", "__stage_text"
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, dropped: DataFrame, text: Column | None = None) -> DataFrame:
     """``docs`` without the rows whose (doc_id, hash of the text) is among
-    ``dropped`` (columns _ID and _TEXT); null ids compare as equal."""
-    marked = docs.withColumn(_TEXT, F.xxhash64("text"))
+    ``dropped`` (columns _ID and _TEXT); null ids compare as equal.  ``text``
+    is what the stage hashes, if not the column as it is."""
+    marked = docs.withColumn(_TEXT, F.xxhash64("text" if text is None else text))
     # stored first, so that Spark knows its size and moves the texts only if it is large
     d = dropped.select(F.col(_ID).alias("__drop_id"), F.col(_TEXT).alias("__drop_text")).distinct()
     d = stored(d, "dropped")
@@ -51,7 +52,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     stays."""
     found = exact_dedup.exact_duplicates(docs)
     dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias(_ID), F.col("text_key").alias(_TEXT))
-    return _without(docs, dropped)
+    return _without(docs, dropped, F.coalesce("text", F.lit("")))  # a null text counts as empty there
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

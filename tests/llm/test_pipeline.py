@@ -57,3 +57,9 @@ def test_stages_keep_columns_on_odd_rows(spark, sf):
         assert stage(spark, docs.limit(0), sf).collect() == []
     kept = {(r.doc_id, r.text) for r in corpus_pipeline.exact_dedup_stage(spark, docs, sf).collect()}
     assert (0, base[0]) not in kept and (8, upper) in kept and (2, base[2]) in kept and (None, base[2]) not in kept
+
+
+def test_exact_dedup_drops_null_texts_that_op4_marks(spark):
+    docs = documents(spark, [(1, None), (2, None), (3, ""), (4, "a"), (5, "A"), (6, None)])
+    left = corpus_pipeline.exact_dedup_stage(spark, docs, "")
+    assert sorted(r.doc_id for r in left.collect()) == [5, 6]
