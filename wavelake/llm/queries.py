@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, decontaminate, exact_dedup, html_extract, langid, licenses, simhash,
+from . import (bpe, decontaminate, exact_dedup, html_extract, langid, licenses, prefix_bpe, simhash,
                suffix_dedup, token_files, warc)
 from .common import table
 
 #: folder of the public tokenizer files
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = public_tokenizers.path("").rstrip("/")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.encoding_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                      public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_language_id, op3_suffix_dedup, op4_exact_dedup, op5_decontamination, op6_token_counts,
-    op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction)}
+    op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction, op13_prefix_bpe)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
