@@ -1,0 +1,102 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+
+from wavelake.llm import importance
+
+from .helpers import ODD, documents, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def grams(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    return [" ".join(words[i:i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)], len(words)
+
+
+def buckets(text):
+    return Counter(crc32(g.encode()) % 10_000 for g in grams(text)[0])
+
+
+def brute(rows, target):
+    """Rows (doc_id, n_features, weight, score, rank), by plain loops."""
+    s, t = Counter(), Counter()
+    for _, text in rows:
+        s.update(buckets(text))
+    for text in target:
+        t.update(buckets(text))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + 10_000) / ((s[b] + 1) * (all_t + 10_000))))
+            for b in range(10_000)]
+    out = []
+    for doc, text in rows:
+        weight = sum(n * gain[b] for b, n in buckets(text).items())
+        h = int(hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc, len(grams(text)[0]), weight, score, None, grams(text)[1]])
+    fit = sorted((r for r in out if r[5] >= 20),
+                 key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[1], r[2]))
+    for k, r in enumerate(fit[:5 * len(fit) // 100]):
+        r[4] = k + 1
+    return sorted(map(repr, (tuple(r[:5]) for r in out)))
+
+
+def result(df):
+    return sorted(repr((r.doc_id, r.n_features, r.weight, r.score, r["rank"])) for r in df.collect())
+
+
+def test_resample_equals_plain_loops(spark):
+    texts = prose(41, 150)
+    rows = [*enumerate(texts), *enumerate(ODD, 1000), (None, texts[3]), (None, texts[4]), (7, texts[9]), (7, texts[9]),
+            *[(2000 + i, texts[0]) for i in range(80)]]  # a third is one text
+    target = [texts[5], "one two three " * 10, None, "", texts[0].upper()]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(target)], "item_id int, text string, score string")
+    assert result(importance.resample(documents(spark, rows), bench)) == brute(rows, target)
+
+
+def test_empty_tables(spark):
+    none, rows = spark.createDataFrame([], "item_id int, text string"), list(enumerate(prose(3, 40)))
+    assert result(importance.resample(documents(spark, rows), none)) == brute(rows, [])
+    assert importance.resample(documents(spark, []), none).collect() == []
+
+
+def test_features_do_not_depend_on_groups(monkeypatch):
+    rnd = random.Random(6)
+    texts = ["a" * 70 + " " + "b" * 500 + " c", "é" * 40 + " x " + "日" * 100, *ODD, *prose(8, 5),
+             *["".join(rnd.choice("aB é.日0") for _ in range(rnd.randint(0, 60))) for _ in range(200)]]
+    for size in (1, 50, 3000, 1 << 20):
+        monkeypatch.setattr(importance, "GROUP", size)
+        at = 0
+        for group in importance.grouped(iter(texts)):
+            got, n = [Counter() for _ in group], np.zeros(len(group), int)
+            for bucket, owner, words in importance.group_features(group):
+                n += words
+                for b, o in zip(bucket.tolist(), owner.tolist(), strict=True):
+                    got[o][b] += 1
+            for k in range(len(group)):
+                assert (got[k], n[k]) == (buckets(texts[at]), grams(texts[at])[1])
+                at += 1
+        assert at == len(texts)
+
+
+def test_bit_planes_give_exact_sums():
+    rnd = np.random.default_rng(1)
+    for most in (1, 7, 300, 1 << 33):
+        gain = rnd.integers(-9000, 9000, importance.BUCKETS)
+        counts = rnd.integers(0, most + 1, (5, importance.BUCKETS))
+        plus, minus = (importance.planes(np.maximum(side, 0)[None]) for side in (gain, -gain))
+        assert (importance.weigh(counts, plus, minus) == counts @ gain).all()
+
+
+def test_query_equals_plain_loops(spark, sf):
+    from wavelake.llm.common import table
+    from wavelake.llm.queries import op12_importance_resampling
+    rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
+    target = [r.text for r in table(spark, sf, "benchmark").collect()]
+    assert result(op12_importance_resampling(spark, sf)) == brute(rows, target)
