@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, decontaminate, exact_dedup, html_extract, importance, langid, licenses, prefix_bpe, simhash,
-               suffix_dedup, token_files, warc)
+               source_audit, suffix_dedup, token_files, warc)
 from .common import table
 
 #: folder of the public tokenizer files
@@ -54,6 +54,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_language_id, op3_suffix_dedup, op4_exact_dedup, op5_decontamination, op6_token_counts,
-    op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction, op12_importance_resampling,
-    op13_prefix_bpe)}
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
+    op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction, op11_source_audit,
+    op12_importance_resampling, op13_prefix_bpe)}
+ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql(),
+           "op11_source_audit": source_audit.ORACLE_SQL}
