@@ -23,3 +23,16 @@ def sf():
     if not os.path.exists(SF001):
         pytest.skip("driver test data not present")
     return SF001
+
+
+@pytest.fixture
+def stored_frames(monkeypatch):
+    """The frames that are written as scratch copies during a test."""
+    from wavelake import scratch
+    frames, store = [], scratch.store
+
+    def seen(df, name):
+        frames.append(df)
+        return store(df, name)
+    monkeypatch.setattr(scratch, "store", seen)
+    return frames

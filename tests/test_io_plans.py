@@ -68,13 +68,14 @@ def test_export_report_quotes_every_value(spark):
     assert sorted(tuple(r) for r in read_report(spark, path).collect())[0] == ("2023", "Sênior", "1419", "36.79")
 
 
-def test_profile_distribution_scans_source_once_with_pruned_columns(spark):
+def test_profile_distribution_scans_source_once_with_pruned_columns(spark, stored_frames):
     path = scratch_path(spark, "profile-src")
     src = spark.createDataFrame([("1", 1, "a", "x", "unused"), ("2", 1, "b", "", "unused")],
                                 "id string, wave int, d1 string, d2 string, other string")
     src.write.parquet(path)
     out = profile_distribution(spark.read.parquet(path), "wave", "id", ["d1", "d2"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3 and len(stored_frames) == 1
+    plan = stored_frames[0]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "other" not in plan.split("ReadSchema:")[1].split("\n")[0]
     assert "Expand" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan

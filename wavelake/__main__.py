@@ -4,9 +4,9 @@
     python -m wavelake reports --root /lake --out /lake/reports
 
 ``run`` reads each wave's CSV folder (all strings), lands it as Parquet,
-builds and writes the three silver and four gold tables (survey preset names)
-and registers them as external tables of the session's catalog.  Given some
-of the waves, it replaces these and keeps the others.  ``reports`` exports the
+builds and writes the three silver and four gold tables (survey preset names),
+publishes them together and registers them as external tables of the session's
+catalog.  Given some of the waves, it replaces these and keeps the others.  ``reports`` exports the
 dashboard reports of the written tables (quoted CSV, one folder per report).
 """
 
@@ -16,6 +16,7 @@ import argparse
 import dataclasses
 import sys
 
+from . import scratch
 from .plans import medallion, reports
 from .plans import survey_preset as P
 from .session import get_spark
@@ -73,6 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     run = sub.add_parser("run", help="bronze CSV waves -> silver + gold tables")
     run.add_argument("--wave", action="append", required=True, help="YEAR=PATH of one wave's CSV folder")
     run.add_argument("--root", required=True, help="lake root for bronze_landed/, silver/, gold/")
+    run.add_argument("--quoted-line-ends", action="store_true", help="values in quotes may hold line ends")
     run.add_argument("--large-scale", action="store_true", help="apply the large-cluster session settings")
     rep = sub.add_parser("reports", help="export the dashboard reports from written tables")
     rep.add_argument("--root", required=True)
@@ -80,14 +82,16 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     spark = get_spark(large_scale=getattr(args, "large_scale", False))
     if args.cmd == "run":
-        bronze = {year: read_wave_csv(spark, path) for year, path in _waves(args.wave).items()}
-        q = P.questionnaire()
+        q, waves = P.questionnaire(), _waves(args.wave)
         known = {e.name for e in q.editions}
-        if set(bronze) - known:
-            raise SystemExit(f"no layout for waves {sorted(set(bronze) - known)}")
-        q = dataclasses.replace(q, editions=[e for e in q.editions if e.name in bronze])
-        medallion.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES,
-                      catalog=True)
+        if set(waves) - known:
+            raise SystemExit(f"no layout for waves {sorted(set(waves) - known)}")
+        q = dataclasses.replace(q, editions=[e for e in q.editions if e.name in waves])
+        with scratch.scope(spark):
+            bronze = {year: read_wave_csv(spark, path, quoted_line_ends=args.quoted_line_ends)
+                      for year, path in waves.items()}
+            medallion.run(spark, q, bronze, args.root, table_names=P.TABLE_NAMES, output_names=P.OUTPUT_NAMES,
+                          catalog=True)
     else:
         for path in export_reports(spark, args.root, args.out):
             print(path)

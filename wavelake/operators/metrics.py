@@ -6,8 +6,8 @@ Core shape (``distinct_share``): one aggregate with two grouping sets,
     (outer...)                              -> denominator
 
 both as ``count(DISTINCT id)``, then the denominator is spread to its detail
-rows by a window over ``outer`` (the aggregated rows are few: one per
-category).  One scan of the input, no join.  The distinct aggregate is
+rows by a window over ``outer`` where these are few, one per option of a form,
+else together with the ranks (``row_numbers``).  One scan of the input.  The distinct aggregate is
 planned as partial dedupe -> shuffle on (keys, id) -> count, so a hot key is
 combined map-side and never lands whole on one task.
 
@@ -23,6 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..functions.bands import BandSpec, band_anomaly, band_order
 from ..functions.columns import not_blank, safe_col
 from ..functions.numeric import percent
@@ -36,60 +37,77 @@ Stored = Callable[[DataFrame], DataFrame]
 
 
 def row_numbers(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str,
-                stored: Stored | None = None) -> DataFrame:
+                stored: Stored | None = None, bounded: bool = False, numbered: Column | None = None,
+                total: tuple[str, Column, Callable[[Column], Column]] | None = None) -> DataFrame:
     """``row_number`` within ``partition``.
 
-    A window sorts each group in one task.  That is enough for coded answers,
-    whose number the form bounds.  With ``stored`` (a function that writes a
-    frame and reads it back) no task holds a whole group: rows are range
-    partitioned by group and order and written with the number of their
-    range, numbered within it, and raised by the sizes of the group's lower
-    ranges.  The written copy keeps both passes on the same ranges."""
-    if stored is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    No task holds a whole group, since free text can have any number of
+    values: rows are range partitioned by group and order and written with the
+    number of their range, numbered within it, and raised by the sizes of the
+    group's lower ranges.  The written copy (``scratch.store``, or ``stored``)
+    keeps both passes on the same ranges.  ``bounded`` states that a group is
+    small, such as the options of a form: a window then sorts it in one task,
+    without a copy.
+
+    ``numbered`` leaves only these rows; ``total`` = (name, aggregate, how
+    aggregates combine) adds an aggregate over all rows of the group, put
+    together from one value per range."""
+    if bounded:
+        out = df
+        if total:
+            out = out.withColumn(total[0], total[1].over(Window.partitionBy(*partition)))
+        out = out if numbered is None else out.filter(numbered)
+        return out.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    stored = stored or (lambda frame: scratch.store(frame, "ranges"))
     columns = df.columns
     ranged = stored(df.repartitionByRange(*[F.col(c) for c in partition], *order)
                     .withColumn("_range", F.spark_partition_id()))
-    sizes = ranged.groupBy(*partition, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    lower = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.lit(True) if numbered is None else numbered
+    sizes = ranged.groupBy(*partition, "_range").agg(F.count_if(wanted).alias("_n"),
+                                                     (total[1] if total else F.lit(0)).alias("_part"))
+    group = Window.partitionBy(*partition)  # one row per range
+    lower = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition)], F.col("_range").alias("_r"),
-                           F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset"))
-    own = ranged.withColumn(name, F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*order)))
+                           F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset"),
+                           (total[2]("_part").over(group) if total else F.lit(0)).alias("_total"))
+    own = ranged.filter(wanted).withColumn(
+        name, F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*order)))
     same = F.col("_range") == F.col("_r")
     for i, c in enumerate(partition):
         same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    return own.join(offsets, same).select(*columns, (F.col(name) + F.col("_offset")).cast("int").alias(name))
+    return own.join(offsets, same).select(*columns, *([F.col("_total").alias(total[0])] if total else []),
+                                          (F.col(name) + F.col("_offset")).cast("int").alias(name))
 
 
 def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id_col: str, *,
                    count_name: str = "count", total_name: str = "total", pct_name: str = "percent",
                    numerator: Column | None = None, rank_name: str | None = None,
                    rank_order: Sequence[Column] | None = None, unique_ids: bool = False,
-                   stored: Stored | None = None) -> DataFrame:
+                   stored: Stored | None = None, bounded: bool = False) -> DataFrame:
     """Per (outer, inner): distinct ids (numerator rows only), distinct ids of
     all rows of (outer) as the base, the percentage and optionally a
     ``row_number`` rank within (outer).  ``unique_ids`` states that no id
-    occurs twice in (outer) and ``stored`` spreads the ranking (see
-    ``row_numbers``); both change the plan, not the result."""
+    occurs twice in (outer); ``stored`` and ``bounded`` say how ranks are made
+    (see ``row_numbers``).  They change the plan, not the result."""
     outer, inner = list(outer), list(inner)
     flag = (numerator if numerator is not None else F.lit(True)).alias("_num")
     base = df.select(*[_c(c) for c in outer + inner], _c(id_col).alias("_id"), flag)
     keys = outer + inner + ["_num"]
-    w = Window.partitionBy(*outer)
     if unique_ids:
-        agg = base.groupBy(*keys).agg(F.count("_id").alias("_q"))
-        detail = agg.withColumn("_t", F.sum("_q").over(w)).filter("_num")
+        agg = base.groupBy(*keys).agg(F.count("_id").alias(count_name))
+        wanted, total = F.col("_num"), (total_name, F.sum(count_name), F.sum)
     else:
         agg = (base.groupingSets([keys, outer], *keys)
-               .agg(F.count_distinct("_id").alias("_q"), F.grouping_id().alias("_g")))
-        spread = agg.withColumn("_t", F.max(F.when(F.col("_g") != 0, F.col("_q"))).over(w))
-        detail = spread.filter((F.col("_g") == 0) & F.col("_num"))
-    out = detail.select(*outer, *inner, F.col("_q").alias(count_name), F.col("_t").alias(total_name),
-                        percent("_q", "_t").alias(pct_name))
+               .agg(F.count_distinct("_id").alias(count_name), F.grouping_id().alias("_g")))
+        wanted = (F.col("_g") == 0) & F.col("_num")
+        total = (total_name, F.max(F.when(F.col("_g") != 0, F.col(count_name))), F.max)
     if rank_name:
         order = list(rank_order) if rank_order else [F.desc(count_name)] + [F.asc(c) for c in inner[:1]]
-        out = row_numbers(out, outer, order, rank_name, stored)
-    return out
+        out = row_numbers(agg, outer, order, rank_name, stored, bounded, wanted, total)
+    else:
+        out = agg.withColumn(total_name, total[1].over(Window.partitionBy(*outer))).filter(wanted)
+    return out.select(*outer, *inner, count_name, total_name, percent(count_name, total_name).alias(pct_name),
+                      *([rank_name] if rank_name else []))
 
 
 def unpivot_dimensions(df: DataFrame, ids: Sequence[str], dims: Sequence[str], dim_name: str, value_name: str,
@@ -153,7 +171,8 @@ def adoption_share(df: DataFrame, wave: str, id_col: str, category: str, item: s
     option, including 'none'-type ones that are not counted as adoption)."""
     return distinct_share(df, [wave, category], [item, *extra], id_col, count_name=count_name,
                           total_name=total_name, pct_name=pct_name, numerator=numerator,
-                          rank_name=rank_name, rank_order=[F.desc(count_name), F.asc(item)])
+                          rank_name=rank_name, rank_order=[F.desc(count_name), F.asc(item)],
+                          bounded=True)  # the items are columns of the form
 
 
 def answer_share(df: DataFrame, wave: str, id_col: str, dimension: str, answer: str, extra: Sequence[str], *,

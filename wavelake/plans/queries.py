@@ -6,7 +6,9 @@ two features whose point is a limit (``topk_per_group``, ``quality_sample``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,8 @@ from ..operators import discover, quality
 from ..operators.dedupe import dedupe
 from ..operators.harmonize import union_waves
 from ..sources import csv as csv_io
-from ..sources import export, parquet
-from ..session import scratch_path
+from ..sources import export, parquet, versions
+from ..session import delete_path, scratch_path
 from . import gold, medallion, reports, silver, virtual
 
 Q = virtual.questionnaire()
@@ -71,13 +73,22 @@ TABLE_BUILDERS = {
 }
 
 
-_STORED: dict[str, dict[str, tuple[str, list[str]]]] = {}
+@dataclass
+class _Lake:
+    """The persisted job's tables of one input: one copy for all readers."""
+    root: str
+    names: dict[str, str]
+    columns: dict[str, list[str]]
+    uses: int = 0
 
 
-def prepare(spark, sf) -> dict[str, tuple[str, list[str]]]:
+_STORED: dict[str, _Lake] = {}
+
+
+def prepare(spark, sf) -> _Lake:
     """Run the persisted job once per session and input and register its seven
-    tables in the catalog; the reports and checks read these.  Returns each
-    table's name and columns."""
+    tables in the catalog; the reports and checks read these.  They stay until
+    the session ends, or until the last ``shared`` block does."""
     base = virtual.prepare(spark, sf)
     if base not in _STORED:
         root = scratch_path(spark, "lake")
@@ -85,19 +96,44 @@ def prepare(spark, sf) -> dict[str, tuple[str, list[str]]]:
         names = {k: f"wl_{tag}_{k}" for k in TABLE_BUILDERS}
         tables = medallion.run(spark, Q, virtual.bronze(spark, sf, ("profile", "flags", "answers")), root,
                                table_names=names, land_bronze=False, catalog=True)
-        _STORED[base] = {k: (names[k], df.columns) for k, df in tables.items()}
+        _STORED[base] = _Lake(root, names, {k: df.columns for k, df in tables.items()})
     return _STORED[base]
 
 
+@contextmanager
+def shared(spark, sf) -> Iterator[dict[str, DataFrame]]:
+    """The persisted tables for the length of a block: all queries inside read
+    one copy, which the last block to end releases, catalog and files.  Rows
+    must be collected or written by then."""
+    lake = prepare(spark, sf)
+    lake.uses += 1
+    try:
+        yield {k: stored_table(spark, sf, k) for k in lake.names}
+    finally:
+        lake.uses -= 1
+        if not lake.uses:
+            release(spark, sf)
+
+
+def release(spark, sf) -> None:
+    """Drop the persisted tables; the next query that needs them runs the job
+    again."""
+    lake = _STORED.pop(virtual.prepare(spark, sf), None)
+    if lake is not None:
+        for name in lake.names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(spark, lake.root)
+
+
 def stored_table(spark, sf, key: str):
     """A table of the persisted job, columns in the builder's order."""
-    name, columns = prepare(spark, sf)[key]
-    return spark.table(name).select(*columns)
+    lake = prepare(spark, sf)
+    return spark.table(lake.names[key]).select(*lake.columns[key])
 
 
 def _register(spark, sf, needs):
     """Names under which a report finds the stored tables."""
-    return {**reports.DEFAULT_NAMES, **{k: name for k, (name, _) in prepare(spark, sf).items()}}
+    return {**reports.DEFAULT_NAMES, **prepare(spark, sf).names}
 
 
 # --- IO round trips ------------------------------------------------------------
@@ -264,7 +300,10 @@ def _sql_query(needs, fn, *args, **kwargs):
 
 
 def quality_row_counts(spark, sf):
-    return quality.row_counts({k: stored_table(spark, sf, k) for k in ("entities", "selections", "answers")})
+    """Counted by the tasks that wrote the tables: no table is scanned again."""
+    lake = prepare(spark, sf)
+    published = versions.current(spark, lake.root)
+    return quality.recorded_counts(spark, {k: published.tables[f"silver/{lake.names[k]}"] for k in medallion.SILVER})
 
 
 def quality_sample(spark, sf):

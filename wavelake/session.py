@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -128,5 +129,99 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "scratch_path", "path_exists", "file_names", "delete_path",
-           "local_path"]
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such."""
+    return sorted(file_names(spark, path))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8")
+
+
+def first_line(spark: SparkSession, path: str, step: int = 4096) -> bytes | None:
+    """The first line of a file, compressed or not, without its end; None if
+    the file is empty."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if "%" in path else jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        stream = codec.createInputStream(stream) if codec is not None else stream
+        data = b""
+        while b"\n" not in data:
+            more = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
+                jvm.org.apache.commons.io.input.BoundedInputStream(stream, step)))
+            data += more
+            if len(more) < step:
+                break
+    finally:
+        stream.close()
+    return data.split(b"\n", 1)[0].rstrip(b"\r") if data else None
+
+
+def concatenate(spark: SparkSession, files: list[str], target: str, most: int) -> None:
+    """Put files one after another into a new file that replaces the folder of
+    ``target``.  On a file system that appends whole files by their blocks
+    (HDFS) nothing is copied; elsewhere the bytes pass a small buffer."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, _ = _fs(spark, files[0])
+    size = sum(fs.getFileStatus(_fs(spark, f)[1]).getLen() for f in files)
+    if size > most:
+        raise ValueError(f"{size} bytes are too many for one file; export without single_file")
+    goal, p = _fs(spark, target)
+    goal.delete(p.getParent(), True)
+    goal.mkdirs(p.getParent())
+    if fs.getScheme() == goal.getScheme() == "hdfs" and len(files) > 1:
+        rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(files) - 1)
+        for i, f in enumerate(files[1:]):
+            rest[i] = _fs(spark, f)[1]
+        fs.concat(_fs(spark, files[0])[1], rest)
+        fs.rename(_fs(spark, files[0])[1], p)
+        return
+    out = goal.create(p, True)
+    try:
+        for f in files:
+            stream = fs.open(_fs(spark, f)[1])
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file in one step; False if the target exists already."""
+    jvm = spark.sparkContext._jvm
+    _, p = _fs(spark, source)
+    _, q = _fs(spark, target)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else
+                                                                _fs(spark, source)[0].getUri(),
+                                                                spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(p, q, options)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+__all__ = ["LARGE_SCALE_CONF", "get_spark", "checkpoint_dir", "concatenate", "first_line", "scratch_path", "path_exists", "file_names", "delete_path",
+           "list_folder", "local_path", "read_text", "rename_new", "write_text"]

@@ -17,6 +17,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import read_text, write_text
+
 HEADERS_FILE = "_headers.json"
 
 
@@ -33,39 +35,13 @@ def land(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> Data
     parts = [_slot(headers.index(c)) for c in partition_cols]
     writer = (stored.hint("rebalance", *parts) if parts else stored).write.mode("overwrite")
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
-    _write_text(spark, f"{path.rstrip('/')}/{HEADERS_FILE}", json.dumps(headers, ensure_ascii=False))
+    write_text(spark, f"{path.rstrip('/')}/{HEADERS_FILE}", json.dumps(headers, ensure_ascii=False))
     return read_landed(spark, path)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    headers = json.loads(_read_text(spark, f"{path.rstrip('/')}/{HEADERS_FILE}"))
+    headers = json.loads(read_text(spark, f"{path.rstrip('/')}/{HEADERS_FILE}"))
     df = spark.read.parquet(path)
     by_slot = {_slot(i): h for i, h in enumerate(headers)}
     # partition columns come back last; map every stored column to its header
     return df.toDF(*[by_slot[c] for c in df.columns])
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    p, fs = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-    finally:
-        stream.close()
-    return bytes(data).decode("utf-8")

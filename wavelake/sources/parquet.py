@@ -13,8 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import delete_path, file_names
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+from . import versions
+from .versions import NULL_PARTITION
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("wave",),
@@ -29,7 +29,8 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
 def replace_waves(df: DataFrame, path: str, wave: str, held: Iterable[int | None]) -> None:
     """Replace the partitions of the waves in ``held`` by the rows of ``df``
     and leave every other wave as it is.  A held wave without rows ends up
-    without a partition."""
+    without a partition.  For one table in place, without a commit; tables
+    that change together are written by ``versions``."""
     spark = df.sparkSession
     folders = [f"{path.rstrip('/')}/{wave}={NULL_PARTITION if w is None else w}" for w in set(held)]
     before = {f: file_names(spark, f) for f in folders}
@@ -40,5 +41,8 @@ def replace_waves(df: DataFrame, path: str, wave: str, held: Iterable[int | None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a partitioned table; partition columns come back typed and last."""
-    return spark.read.parquet(path)
+    """Read a partitioned table; partition columns come back typed and last.
+    A folder of published versions (see ``versions``) is read as last
+    published."""
+    found = versions.locate(spark, path)
+    return versions.read_current(spark, *found) if found else spark.read.parquet(path)
