@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..scratch import store
 
 #: A-Z in lower case, every byte outside [0-9a-z\x80-\xff] a space
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -40,12 +40,9 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Lineage cut: written below the shared checkpoint folder and read back,
-    so that a lost executor costs a reread, not a recomputation.  The folder
-    goes when the driver ends."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, f"llm-{name}")
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    so that a lost executor costs a reread, not a recomputation.  The copy
+    belongs to the innermost ``scratch.scope``, else to the session."""
+    return store(df, f"llm-{name}")
 
 
 def values(column: pa.Array, step: int = 256) -> Iterator:
