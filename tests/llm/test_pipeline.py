@@ -63,3 +63,22 @@ def test_exact_dedup_drops_null_texts_that_op4_marks(spark):
     docs = documents(spark, [(1, None), (2, None), (3, ""), (4, "a"), (5, "A"), (6, None)])
     left = corpus_pipeline.exact_dedup_stage(spark, docs, "")
     assert sorted(r.doc_id for r in left.collect()) == [5, 6]
+
+
+def test_run_releases_what_no_later_stage_reads(spark, sf, monkeypatch):
+    """While stages run scratch shrinks again; the last input alone is left."""
+    from wavelake import scratch
+    from wavelake.session import path_exists
+    copies, alive, write = [], [], scratch.write
+
+    def seen(df, name, *args, **options):
+        copies.append(write(df, name, *args, **options))
+        alive.append(sum(c.alive for c in copies))
+        return copies[-1]
+    monkeypatch.setattr(scratch, "write", seen)
+    rows = corpus_pipeline.run(spark, sf)
+    assert max(alive) < len(copies) and any(b < a for a, b in zip(alive, alive[1:]))
+    left = [c for c in copies if c.alive]
+    assert len(left) == 1 and path_exists(spark, left[0].path)
+    assert not any(path_exists(spark, c.path) for c in copies if not c.alive)
+    assert rows.count() == left[0].df.count()
