@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``docs``.  ``run`` writes each result as Parquet
 below the shared checkpoint folder and rereads it as the next one's input, so
-that a lost executor never costs more than one stage.
+that a lost executor never costs more than one stage, and releases what no
+later stage reads.
 
 Rows are told apart by id and text together: a stage's decision holds for all
 rows that repeat both.
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavelake import scratch
 from wavelake.llm import bpe, decontaminate, exact_dedup, langid, simhash
 from wavelake.llm.common import stored, table
 from wavelake.llm.queries import TOKENIZERS
@@ -86,8 +88,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on the documents of ``sf_dir``.  What a stage wrote for
+    itself goes when its result is written, and that result when the next one
+    is; only the last input is left, for the reader of the rows."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch.scope(spark) as own:
+            after = own.keep(scratch.write(stage(spark, docs, sf_dir), f"llm-{name.replace(' ', '-')}"))
+        if before is not None:
+            before.release()
+        before, docs = after, after.df
     return STAGES[-1][1](spark, docs, sf_dir)
