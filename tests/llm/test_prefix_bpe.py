@@ -117,7 +117,7 @@ def test_small_memo_and_windows_change_nothing(vocabulary, lib, monkeypatch):
     monkeypatch.setattr(prefix_bpe, "LONG_PIECE", 20)
     for window in (7, 60, 5000):
         codec, own, got = prefix_bpe.Codec(vocabulary, P.PATTERN, memo_bytes=30_000, window=window), b"", []
-        for code, _, last in codec.encoded(texts()):
+        for code, last in codec.encoded(texts()):
             own += code
             if last:
                 got.append(list(struct.unpack(f"<{len(own) // 4}I", own)))

@@ -22,7 +22,6 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: characters of a text that are split at once
-WINDOW = 1 << 20
+WINDOW = 1 << 23
 #: bytes that the memo of a task may take, about; a full memo is emptied, which changes no result
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 160 << 20
 #: longer pieces are not kept
 LONG_PIECE = 512
 #: bytes of one memo entry besides its strings, and token pairs whose validity is kept
-ENTRY, PAIRS = 400, 1 << 18
+ENTRY, PAIRS = 250, 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -60,10 +59,10 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.longest = max(map(len, ranks))
-        #: every ending of a token; its rank if it is a token itself, else -1
-        self.endings = {t[k:]: -1 for t in ranks for k in range(1, len(t))} | ranks
-        self._valid: dict[tuple[int, int], bool] = {}
+        self.size_of = [len(self.bytes_of.get(i, b"")) for i in range(max(self.bytes_of) + 1)]
+        self.longest = max(self.size_of)
+        #: by before << 32 | token
+        self._valid: dict[int, bool] = {}
         self._edges: dict[int, tuple[list, list, bool]] = {}
 
     def edges(self, token: int) -> tuple[list[tuple[int, bytes]], list[tuple[int, bytes]], bool]:
@@ -92,11 +91,11 @@ class Vocabulary:
     def valid(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (-1: stand first): neither
         the merges inside them nor one across their border spoil them."""
-        found = self._valid.get((before, token))
+        found = self._valid.get(before << 32 | token)
         if found is None:
             if len(self._valid) >= PAIRS:
                 self._valid.clear()
-            found = self._valid[before, token] = self.edges(token)[2] and (before < 0 or self._apart(before, token))
+            found = self._valid[before << 32 | token] = self.edges(token)[2] and (before < 0 or self._apart(before, token))
         return found
 
     def _apart(self, left: int, right: int) -> bool:
@@ -125,29 +124,38 @@ class Prefixes:
     """The last token of the encoding of every prefix of one piece."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", array("q")
+        self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.redone = 0  # prefixes computed so far
         self.append(data)
 
-    def _extend(self, data: bytes, last: array, old: array | None = None, shift: int = 0, tail: int = 0) -> None:
+    def _extend(self, data: bytes, last: list[int], old: list[int] | None = None, shift: int = 0, tail: int = 0) -> None:
         """Appends to ``last`` the last tokens of the prefixes of ``data`` that
         it lacks.  With ``old``, the bytes from ``tail`` on are those that
         table has ``shift`` before; it is taken over where both agree."""
-        endings, pairs = self.vocabulary.endings.get, self.vocabulary._valid.get
+        ranks, pairs = self.vocabulary.ranks.get, self.vocabulary._valid.get
         add, begin, agree = last.append, len(last), 0
+        valid, size_of = self.vocabulary.valid, self.vocabulary.size_of
         for end in range(begin + 1, len(data) + 1):
-            found, start = [], end - 1
-            while start >= 0 and (token := endings(data[start:end])) is not None:
-                if token >= 0:
-                    found.append((start, token))
-                start -= 1
-            for start, token in reversed(found):  # the longest is the right one most often
+            # the last token of the prefix before, longer by this byte, is the right one most often
+            start = end - 1 - (size_of[last[-1]] if end > 1 else 0)
+            token = ranks(data[start:end])
+            fits = False
+            if token is not None:
                 before = last[start - 1] if start else -1
-                fits = pairs((before, token))
-                if fits or fits is None and self.vocabulary.valid(before, token):
-                    break
-            else:
-                raise ValueError("the ranks give this prefix no encoding")
+                fits = pairs(before << 32 | token)
+                if fits is None:
+                    fits = valid(before, token)
+            start = end
+            while not fits:  # exactly one fits, so the order does not matter
+                start -= 1
+                token = ranks(data[start:end])
+                if token is not None:
+                    before = last[start - 1] if start else -1
+                    fits = pairs(before << 32 | token)
+                    if fits is None:
+                        fits = valid(before, token)
+                if not start and not fits:
+                    raise ValueError("the ranks give this prefix no encoding")
             add(token)
             if old is not None and end > tail:
                 agree = agree + 1 if token == old[end - shift - 1] else 0
@@ -172,7 +180,7 @@ class Prefixes:
 
     def restart(self, data: bytes) -> Prefixes:
         """Only the common prefix stays: cheapest for pieces in sorted order."""
-        head = len(commonprefix((self.data, data)))
+        head = _common(self.data, data)
         del self.last[head:]
         self.data = data
         self._extend(data, self.last)
@@ -180,8 +188,8 @@ class Prefixes:
 
     def become(self, data: bytes) -> Prefixes:
         """The same for whatever turns the bytes into ``data``."""
-        head = len(commonprefix((self.data, data)))
-        tail = len(commonprefix((self.data[head:][::-1], data[head:][::-1])))
+        head = _common(self.data, data)
+        tail = _common(self.data[head:][::-1], data[head:][::-1])
         return self.edit(head, len(self.data) - tail, data[head:len(data) - tail])
 
     def ids(self) -> list[int]:
@@ -190,13 +198,24 @@ class Prefixes:
         whole = self.vocabulary.ranks.get(self.data)
         if whole is not None:
             return [whole]
-        out, end = [], len(self.data)
+        out, end, last, size_of = [], len(self.data), self.last, self.vocabulary.size_of
         while end:
-            out.append(self.last[end - 1])
-            end -= len(self.vocabulary.bytes_of[out[-1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= size_of[token]
         return out[::-1]
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
 class Document:
     """A text with the prefix tables of its pieces, kept for edits."""
 
@@ -244,6 +263,25 @@ def _utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+class Decoder:
+    """Bytes of many ids at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        by_id = vocabulary.bytes_of
+        self.size = np.zeros(max(by_id) + 1, np.int64)
+        for i, t in by_id.items():
+            self.size[i] = len(t)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(len(self.size))), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or (self.size[ids] == 0).any()):
+            raise ValueError("an id that the ranks lack")
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        return self.flat[np.repeat(self.start[ids] - stop + size, size) + np.arange(int(size.sum()))].tobytes()
+
+
 class Codec:
     """Encoder of many texts, with a memo of pieces."""
 
@@ -251,7 +289,7 @@ class Codec:
         self.vocabulary, self.split = vocabulary, regex.compile(pattern)
         self.memo_bytes, self.window, self.used = memo_bytes, window, 0
         self.code: dict[str, bytes] = {}   # ids as little-endian 32-bit numbers
-        self.back: dict[str, bytes] = {}   # bytes decoded from these ids
+        self.decoder = Decoder(vocabulary)
 
     def pieces(self, text: str) -> Iterator[tuple[list[str], bool]]:
         """Matches of the pattern, about a window of the text at a time, and
@@ -267,10 +305,9 @@ class Codec:
                 width *= 2
         yield self.split.findall(text[at:] if at else text), True
 
-    def encoded(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, bytes, bool]]:
-        """(ids as bytes, decoded bytes, whether the text ends here) of all
-        texts in order.  Pieces are held for about a window of characters, in
-        one or many texts."""
+    def encoded(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, bool]]:
+        """(ids as bytes, whether the text ends here) of all texts in order.
+        Pieces are held for about a window of characters, in one or many texts."""
         held, size = [], 0
         for text in texts:
             for found, last in self.pieces(text or ""):
@@ -281,51 +318,46 @@ class Codec:
                     held, size = [], 0
         yield from self._codes(held)
 
-    def _codes(self, held: list[tuple[list[str], bool]]) -> Iterator[tuple[bytes, bytes, bool]]:
-        every = set().union(*[found for found, _ in held])
-        code, back = self.code, self.back
-        new = {p: _utf8(p) for p in every.difference(code)}
-        table, learnt = Prefixes(self.vocabulary), {}
-        for p in sorted(new, key=new.__getitem__):
-            ids = table.restart(new[p]).ids()
-            learnt[p] = (array("I", ids).tobytes(), b"".join([self.vocabulary.bytes_of[i] for i in ids]))
-        grown = sum([ENTRY + 6 * len(p) for p in learnt])
+    def _codes(self, held: list[tuple[list[str], bool]]) -> Iterator[tuple[bytes, bool]]:
+        every, code = set().union(*[found for found, _ in held]), self.code
+        new = sorted([(_utf8(p), p) for p in every.difference(code)])
+        grown = sum([ENTRY + 4 * len(data) for data, _ in new])
         if self.used + grown > self.memo_bytes:
-            known = every.difference(learnt)
-            code, back = {p: code[p] for p in known}, {p: back[p] for p in known}
-            self.code, self.back, self.used = code, back, sum([ENTRY + 6 * len(p) for p in known])
+            known = every.intersection(code)
+            code = self.code = {p: code[p] for p in known}
+            self.used = sum([ENTRY + 4 * len(p) for p in known])
         self.used += grown
-        code.update((p, v[0]) for p, v in learnt.items())
-        back.update((p, v[1]) for p, v in learnt.items())
+        table, whole = Prefixes(self.vocabulary), self.vocabulary.ranks.get
+        for data, p in new:
+            token = whole(data)
+            code[p] = array("I", [token] if token is not None else table.restart(data).ids()).tobytes()
         for found, last in held:
-            yield b"".join(map(code.__getitem__, found)), b"".join(map(back.__getitem__, found)), last
-        for p in learnt:
+            yield b"".join(map(code.__getitem__, found)), last
+        for data, p in new:
             if len(p) > LONG_PIECE:
-                del code[p], back[p]
-                self.used -= ENTRY + 6 * len(p)
+                del code[p]
+                self.used -= ENTRY + 4 * len(data)
 
 
-#: vocabulary of this Python worker, by the id of the broadcast it came from
-_LOADED: dict[int, Vocabulary] = {}
+#: codec of this Python worker, whose memos serve all its tasks, and what it was made from
+_LOADED: list[tuple] = []
 
 
-def _vocabulary(shared) -> Vocabulary:
-    key = id(shared.value)
-    if key not in _LOADED or _LOADED[key].ranks is not shared.value:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(shared.value)
-    return _LOADED[key]
+def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
+    if not _LOADED or _LOADED[0][0] is not ranks or _LOADED[0][1] != pattern:
+        _LOADED[:] = [(ranks, pattern, Codec(Vocabulary(ranks), pattern))]
+    return _LOADED[0][2]
 
 
-def _map(df: DataFrame, path: str, fn, schema: str) -> DataFrame:
-    """``fn(vocabulary, batch)`` on every batch.  The ranks, of fixed size,
-    are read once by the driver and broadcast."""
+def _map(df: DataFrame, path: str, pattern: str, fn, schema: str) -> DataFrame:
+    """``fn(codec, batch)`` on every batch.  The ranks, of fixed size, are
+    read once by the driver and broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(load_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = fn(_vocabulary(shared))
+        codec = _codec(shared.value, pattern)
         for batch in batches:
-            yield found(batch)
+            yield fn(codec, batch)
     return df.mapInArrow(run, schema)
 
 
@@ -336,30 +368,24 @@ def _docs(docs: DataFrame, id_col: str, col: str, *more: str) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id and token ids.  A null text counts as empty;
     no special token is known; other columns are not read."""
-    def start(vocabulary: Vocabulary):
-        codec = Codec(vocabulary, pattern)
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, own = [], b""
-            for code, _, last in codec.encoded(t.as_py() for t in batch.column(1)):
-                own += code
-                if last:
-                    ids.append(np.frombuffer(own, "<u4").astype(np.int32))
-                    own = b""
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
-        return run
-    return _map(_docs(docs, id_col, text_col), path, start, "doc_id bigint, ids array<int>")
+    def run(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, own = [], []
+        for code, last in codec.encoded(t.as_py() for t in batch.column(1)):
+            own.append(code)
+            if last:
+                ids.append(np.frombuffer(b"".join(own), "<u4").astype(np.int32))
+                own = []
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+    return _map(_docs(docs, id_col, text_col), path, pattern, run, "doc_id bigint, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per list of ids: id and decoded bytes; a null list is empty, an
     id that the ranks lack is an error."""
-    def start(vocabulary: Vocabulary):
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            data = [b"".join([vocabulary.bytes_of[i] for i in row.as_py() or ()]) for row in batch.column(1)]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
-        return run
-    return _map(_docs(tokens, id_col, ids_col), path, start, "doc_id bigint, data binary")
+    def run(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        data = [codec.decoder.decode(np.array(row.as_py() or [], np.int64)) for row in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
+    return _map(_docs(tokens, id_col, ids_col), path, "", run, "doc_id bigint, data binary")
 
 
 def encode_edits(edits: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,23 +393,21 @@ def encode_edits(edits: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     ``start`` to ``stop`` become ``insert`` (a null insert is empty, null
     places are the end of the text: an append).  Returns the id, the ids of
     the edited text and how many prefixes the edit had computed anew."""
-    def start(vocabulary: Vocabulary):
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, redone = [], []
-            for text, a, b, new in zip(*[batch.column(i) for i in range(1, 5)], strict=True):
-                doc = Document(vocabulary, pattern, text.as_py() or "")
-                n, before = len(doc.text), {id(t): (t, t.redone) for t in doc.tables}
-                a = n if a.as_py() is None else min(max(0, a.as_py()), n)
-                b = n if b.as_py() is None else min(max(a, b.as_py()), n)
-                doc.edit(a, b, new.as_py() or "")
-                ids.append(doc.ids())
-                redone.append(sum(t.redone - before.get(id(t), (t, 0))[1] for t in doc.tables))
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())),
-                                               pa.array(redone, pa.int64())], ["doc_id", "ids", "n_redone"])
-        return run
+    def run(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, redone = [], []
+        for text, a, b, new in zip(*[batch.column(i).to_pylist() for i in range(1, 5)], strict=True):
+            doc = Document(codec.vocabulary, pattern, text or "")
+            n, before = len(doc.text), {id(t): (t, t.redone) for t in doc.tables}
+            a = n if a is None else min(max(0, a), n)
+            b = n if b is None else min(max(a, b), n)
+            doc.edit(a, b, new or "")
+            ids.append(doc.ids())
+            redone.append(sum(t.redone - before.get(id(t), (t, 0))[1] for t in doc.tables))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())),
+                                           pa.array(redone, pa.int64())], ["doc_id", "ids", "n_redone"])
     rows = edits.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
                         F.col("start").cast("bigint"), F.col("stop").cast("bigint"), "insert")
-    return _map(rows, path, start, "doc_id bigint, ids array<int>, n_redone bigint")
+    return _map(rows, path, pattern, run, "doc_id bigint, ids array<int>, n_redone bigint")
 
 
 REPORT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -392,23 +416,19 @@ REPORT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 def encoding_report(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Digests per document: number of ids, SHA-256 of the ids as
     little-endian 32-bit numbers and of the bytes decoded from them."""
-    def start(vocabulary: Vocabulary):
-        codec = Codec(vocabulary, pattern)
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, ids, back = [], [], []
-            size, id_hash, back_hash = 0, hashlib.sha256(), hashlib.sha256()
-            for code, data, last in codec.encoded(t.as_py() for t in batch.column(1)):
-                size += len(code) // 4
-                id_hash.update(code)
-                back_hash.update(data)
-                if last:
-                    n.append(size)
-                    ids.append(id_hash.hexdigest())
-                    back.append(back_hash.hexdigest())
-                    size, id_hash, back_hash = 0, hashlib.sha256(), hashlib.sha256()
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        return run
-    return _map(_docs(docs, id_col, text_col), path, start, REPORT)
+    def run(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, ids, back = [], [], []
+        size, id_hash, back_hash = 0, hashlib.sha256(), hashlib.sha256()
+        for code, last in codec.encoded(t.as_py() for t in batch.column(1)):
+            size += len(code) // 4
+            id_hash.update(code)
+            back_hash.update(codec.decoder.decode(np.frombuffer(code, "<u4")))
+            if last:
+                n.append(size)
+                ids.append(id_hash.hexdigest())
+                back.append(back_hash.hexdigest())
+                size, id_hash, back_hash = 0, hashlib.sha256(), hashlib.sha256()
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return _map(_docs(docs, id_col, text_col), path, pattern, run, REPORT)
