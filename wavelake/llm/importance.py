@@ -320,7 +320,8 @@ def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     weight first.  Without documents or target texts the sums over them are
     zero.  Other columns are not read."""
     gain = gains(bucket_counts(docs, text_col), bucket_counts(target, text_col))
-    rows = weights(docs, gain, id_col, text_col).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+    # written first, since the ranges are drawn from a sample of the rows
+    rows = stored(weights(docs, gain, id_col, text_col), "weights").withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     fit = F.col("n_words") >= min_words
     order = [fit.desc(), F.col("score").desc(), F.col("doc_id").asc(), F.col("n_features").asc(), F.col("weight").asc()]
     placed = ranges(rows, order)
