@@ -1,3 +1,8 @@
+import time
+import tracemalloc
+
+import pytest
+
 from wavelake.llm import html_extract as h
 
 SCHEMA = "page_id bigint, url string, html string, path string, salt int, host string, n_chars string"
@@ -127,3 +132,59 @@ def test_heading_and_text_beside_the_longest_part(spark):
     # nothing is added from the frame of the page
     frame = h.parse(f"<div id=page><h1 class=banner>Site</h1><nav>m</nav><div class=post><h2>T</h2><p>{body}</div>{more}</div>")
     assert h.extract(frame, None) == ["T", body]
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<p>Hello <script>var a='<p>';</script>world", ["Hello world"]),
+    ("<p>one <button>press <b>me</b></button>two <svg><path d=x /><text>pic</text></svg>three <input name=x>four",
+     ["one two three four"]),
+    ("<p>a <label>Name</label>b <video><p>no video</video>c", ["a b c"]),
+    ("<p>x <span class='advert'>buy <span>now</span> it</span> y", ["x y"]),
+    ("<p>x <span class='no-ads lead'>kept</span> y", ["x kept y"]),
+    ("<p>a <span class=ad>ad<p>b", ["a", "b"]),  # never closed
+    ("<p>cut <button>open</p><p>next", ["cut", "next"]),
+    ("<div><p>cut <svg><text>open</div><p>next", ["cut", "next"]),
+])
+def test_what_stands_in_a_line_does_not_end_the_block(html, want):
+    assert h.extract(h.parse(f"<article>{html}</article>"), None) == want
+
+
+def test_a_title_before_the_article_is_kept():
+    body = ("long " * 40).strip()
+    page = h.parse(f"<nav>m</nav><div><h1>Title</h1><p class=lede>Lede</p><article><p>{body}</article></div><footer>f")
+    assert h.extract(page, None) == ["Title", "Lede", body]
+    for html in (f"<div><nav>m</nav><h1>Site</h1><article><p>{body}</article></div>",  # a frame of the page
+                 f"<div><h1>News</h1><article><p>{body}</article><article><p>x</article></div>",
+                 f"<div><h1>Site</h1><article><h2>Title</h2><p>{body}</article></div>"):
+        assert "Site" not in h.extract(h.parse(html), None) and "News" not in h.extract(h.parse(html), None)
+
+
+def test_long_paths_are_named_by_digests(spark):
+    page = h.parse("<div class=a>" * 300 + "<p>deep text</div><p>beside")
+    assert max(len(n.path) for n in page.nodes) <= h.LONG_PATH
+    assert len({n.path for n in page.nodes if n.tag == "div"}) == 300
+    # a host's vote reaches the pages through such a path
+    deep = "<div class=a>" * 300
+    rows = [(i, "http://d.example/", f"{deep}<p>{'long ' * 50}{'</div>' * 300}<div class=b><p>few") for i in range(3)]
+    rows.append((9, "http://d.example/", f"{deep}<p>short{'</div>' * 300}<div class=b><p>{'other ' * 50}"))
+    got = {r.page_id: r.text for r in h.extract_pages(pages(spark, rows)).collect()}
+    assert got[9] == "short" and got[0] == ("long " * 50).strip()
+
+
+@pytest.mark.parametrize("html", ["<div>" * 200_000 + "text", "<div>x " * 50_000, "<div><h2>t</h2><p>x</div>" * 20_000,
+                                  "<ul>" + "<div>" * 30_000 + "<li>x" * 10_000, "<div>" * 30_000 + "</p>" * 60_000,
+                                  "<div class='widget a'>x " * 20_000, "<div class=widget>" * 9000 + "<article>x</article>" * 9000])
+def test_time_and_memory_grow_with_the_page(html):
+    began = time.monotonic()
+    page = h.parse(html)
+    votes = h.wide_votes(page)
+    blocks = h.extract(page, *max(votes, key=votes.get, default=(None, None)))
+    assert time.monotonic() - began < 20 and len(blocks) <= len(page.blocks)  # a quadratic step takes minutes
+
+
+def test_memory_of_a_megabyte_of_nested_elements():
+    tracemalloc.start()
+    h.parse("<div>" * 200_000 + "text")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20

@@ -21,14 +21,21 @@ word of the class or id.  Words and ``form`` are weak signs: they don't count
 where what they name holds most of the page's text (a form around the page, a
 theme that calls everything a widget), nor around ``main``, the page's
 ``article`` or an element on the host's winning path.
+
+Scripts, buttons, pictures and other elements that stand inside a line, and
+inline adverts, are left out without ending the block around them.  A path of
+over ``LONG_PATH`` characters is named by a digest of the path above and its
+last step, so that a page's paths grow with its tags and not with their depth.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from bisect import bisect_left
-from collections.abc import Collection, Iterator
+from collections import Counter
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -39,11 +46,13 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored
 
 SALT = 32
+#: longer paths are named by a digest
+LONG_PATH = 400
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
     |<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)
     |(?P<text>[^<]+|<)""", re.S | re.X)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt "
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr br img picture source".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -60,7 +69,11 @@ ENDS_SAME = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)
              "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
              "body": (("head",), ())}
 SKIP_TAGS = frozenset("head nav footer aside form menu dialog noscript template svg math button select input "
-                      "object embed applet audio video canvas map".split()) | RAW
+                      "object embed applet audio video canvas map label".split()) | RAW
+#: left out inside a line: the block around them goes on
+MUTED = frozenset("noscript template svg math button select object audio video canvas map label".split())
+#: inline elements with such a class or id are left out in the same way
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 HARD_TAGS, FORM, NONE = SKIP_TAGS - {"form"}, frozenset(["form"]), frozenset()
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                        "toolbar form".split())
@@ -91,6 +104,7 @@ class Node:
     hard: bool = False  # left out by its own tag or role
     words: frozenset = frozenset()  # weak signs of its own: skip words of class and id, "form" for the tag
     named: bool = False  # a weak sign is in its id, which the path does not show
+    main: bool = False  # is or stands inside an article or main element
 
 
 @dataclass
@@ -152,6 +166,23 @@ def _left(page: Page) -> int:
                if not page.nodes[inner].skip and not page.nodes[inner].header)
 
 
+def _within(page: Page, tags: Collection[str]) -> list[bool]:
+    """Whether a node is or stands inside an element of one of the tags."""
+    found = [False] * len(page.nodes)
+    for k, node in enumerate(page.nodes):
+        found[k] = node.tag in tags or node.parent >= 0 and found[node.parent]
+    return found
+
+
+def _ends(page: Page) -> list[int]:
+    """Place behind each node's subtree; the nodes of a subtree stand together."""
+    end = list(range(1, len(page.nodes) + 1))
+    for k in range(len(page.nodes) - 1, 0, -1):
+        up = page.nodes[k].parent
+        end[up] = max(end[up], end[k])
+    return end
+
+
 def _judge_skips(page: Page) -> None:
     """Decide which weak signs count on this page.
 
@@ -171,9 +202,7 @@ def _judge_skips(page: Page) -> None:
                 left += 0 if nodes[inner].skip else max(0, len(text) - linked)
         if 2 * left >= total and _left(page):  # then no sign holds most of the text
             return
-    end = list(range(1, len(nodes) + 1))  # the nodes of a subtree stand together
-    for k in range(len(nodes) - 1, 0, -1):
-        end[nodes[k].parent] = max(end[nodes[k].parent], end[k])
+    end = _ends(page)
 
     def below(out) -> list[bool]:
         """Whether a node or one above it is left out by a tag, a role or ``out``."""
@@ -185,11 +214,12 @@ def _judge_skips(page: Page) -> None:
     def comment(k: int, node: Node) -> bool:
         return any((k, w) not in void for w in node.words & COMMENT_WORDS)
     weight = _weights(page, below(lambda k, node: False))
+    listed, unseen = _within(page, frozenset(["li"])), _within(page, UNSEEN)
     signed = [k for k, node in enumerate(nodes) if node.words and node.tag not in MAIN]
     # an article's signs: main, h1, and articles that are no reader's comment
     titles = [k for k, node in enumerate(nodes) if weight[k] and node.tag in ("main", "h1")]
     articles = [k for k, node in enumerate(nodes) if weight[k] and node.tag == "article" and not comment(k, node)
-                and not any(nodes[a].tag == "li" for a in _ancestors(page, k))]
+                and not listed[k]]
     signs = sorted(titles + articles) if len(articles) == 1 else titles
 
     places: set[int] = set()
@@ -234,7 +264,7 @@ def _judge_skips(page: Page) -> None:
         judge(COMMENT_WORDS, weight, True)
     # main, and the page's article if no other is free, stand for themselves
     for k, node in enumerate(nodes):
-        if node.tag == "main" and node.skip and not any(nodes[a].tag in UNSEEN for a in _ancestors(page, k)):
+        if node.tag == "main" and node.skip and not unseen[k]:
             page.reset.add(k)
     if not page.reset and not any(n.tag in MAIN and not n.skip and weight[k] for k, n in enumerate(nodes)):
         left, last, found = _left(page), 0, []
@@ -247,13 +277,31 @@ def _judge_skips(page: Page) -> None:
     _set_skips(page, page.reset, void)
 
 
+def _path(above: str, step: str) -> str:
+    path = f"{above}>{step}"
+    if len(path) <= LONG_PATH:
+        return path
+    return f"#{hashlib.blake2b(above.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}>{step}"
+
+
+def _advert(attrs: str) -> bool:
+    return any(not BESIDE.match(c) and ADVERT_WORDS.intersection(re.split(r"[^a-z]+", c))
+               for name, value in ATTRIBUTE.findall(attrs) if name.lower() != "role"
+               for c in value.strip("\"'").lower().split())
+
+
 def parse(html: str | None) -> Page:
     """Containers and blocks of a page.  Unclosed, stray and cut-off tags are
-    taken as browsers do in the usual cases."""
+    taken as browsers do in the usual cases.  Memory grows with the page's
+    length, however deep its elements stand."""
     page = Page([Node("body", -1, "body", False, False)])  # html and body tags may be missing
     nodes, stack, text, linked, depth = page.nodes, [0], [], 0, 0
     href, anchor = None, []
     html, at = html or "", 0
+    paths: dict[tuple[str, str], str] = {}  # equal paths share their text
+    #: open muted elements: place in the stack, open elements of its name, block text around it
+    held: list[tuple[int, list[int], list[str], int]] = []
+    opened: Counter[str] = Counter()  # names in the stack
 
     def flush() -> None:
         nonlocal linked
@@ -267,6 +315,42 @@ def parse(html: str | None) -> Page:
             text.clear()
         linked = 0
 
+    def drop(size: int) -> None:
+        opened.subtract(nodes[k].tag for k in stack[size:])
+        del stack[size:]
+
+    def leave(size: int) -> None:
+        """End the open elements from ``size`` on; the block around a muted one goes on."""
+        nonlocal linked
+        flush()
+        while held and held[-1][0] >= size:
+            place, _, around, linked = held.pop()
+            drop(place)
+            text[:] = around
+            if place > size:
+                flush()
+        drop(size)
+
+    def enter(tag: str, attrs: str, hard: bool) -> None:
+        step, own, words, named, header = _step(tag, attrs)
+        up = nodes[stack[-1]]
+        key = up.path, step
+        path = paths.get(key) or paths.setdefault(key, _path(*key))
+        nodes.append(Node(tag, stack[-1], path, False, (header or up.header) and tag not in MAIN,
+                          own or hard, words, named, up.main or tag in MAIN))
+        if not attrs.rstrip().endswith("/"):
+            stack.append(len(nodes) - 1)
+            opened[tag] += 1
+
+    def mute(tag: str, attrs: str) -> None:
+        """A node that is left out; the text before it waits for its end."""
+        nonlocal linked
+        if not attrs.rstrip().endswith("/"):
+            held.append((len(stack), [1], text.copy(), linked))
+            text.clear()
+            linked = 0
+            enter(tag, attrs, True)
+
     while at < len(html):
         m = TOKEN.match(html, at)
         at = m.end()
@@ -283,14 +367,21 @@ def parse(html: str | None) -> Page:
         tag, attrs = tag.lower(), m.group("attrs")
         if m.group("close"):
             if tag in INLINE:
+                if held and nodes[stack[held[-1][0]]].tag == tag:
+                    held[-1][1][0] -= 1
+                    if not held[-1][1][0]:
+                        leave(held[-1][0])
                 if tag == "a" and depth:
                     page.links.append((href, " ".join(entities.unescape("".join(anchor)).split())))
                     depth = 0
                 continue
-            flush()
+            if not opened[tag]:
+                if tag not in MUTED and tag not in RAW:
+                    flush()
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if nodes[stack[k]].tag == tag:
-                    del stack[k:]
+                    leave(k)
                     break
             continue
         if tag in INLINE:
@@ -299,31 +390,39 @@ def parse(html: str | None) -> Page:
                 depth, href, anchor = 1, entities.unescape(found[1].strip("\"'")) if found else "", []
             elif tag == "br":
                 text.append(" ")
+            if held and nodes[stack[held[-1][0]]].tag == tag:
+                held[-1][1][0] += 1
+            elif tag not in VOID and "=" in attrs and _advert(attrs):
+                mute(tag, attrs)
+            continue
+        if tag in RAW:
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+            at = end.end() if end else len(html)
+            continue
+        if tag in VOID and tag != "hr":
+            continue
+        if tag in MUTED:
+            mute(tag, attrs)
             continue
         flush()
         depth = 0
-        if tag in ENDS_P and nodes[stack[-1]].tag == "p":
-            stack.pop()
+        if tag in ENDS_P and opened["p"]:
+            k = len(stack) - 1
+            while nodes[stack[k]].tag in INLINE or nodes[stack[k]].tag == "label":
+                k -= 1
+            if nodes[stack[k]].tag == "p":
+                leave(k)
         if tag in ENDS_SAME:
             ends, stop = ENDS_SAME[tag]
             k = len(stack) - 1
-            while k > 0 and nodes[stack[k]].tag not in stop:
+            while k > 0 and nodes[stack[k]].tag not in stop and any(opened[t] for t in ends):
                 if nodes[stack[k]].tag in ends:
-                    del stack[k:]
+                    leave(k)
                 k -= 1
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            continue
-        if tag in VOID or tag in ("html", "body"):
+        if tag in ("html", "body", "hr"):
             continue
-        step, hard, words, named, header = _step(tag, attrs)
-        parent = stack[-1]
-        up = nodes[parent]
-        nodes.append(Node(tag, parent, f"{up.path}>{step}", False, (header or up.header) and tag not in MAIN,
-                          hard, words, named))
-        if not attrs.rstrip().endswith("/"):
-            stack.append(len(nodes) - 1)
+        enter(tag, attrs, False)
+    leave(1)
     flush()
     _judge_skips(page)
     return page
@@ -346,12 +445,13 @@ def container_scores(page: Page) -> dict[int, float]:
 def wide_votes(page: Page) -> dict[tuple[str, str | None], float]:
     """Vote per generalised path, and the path it is widened to: its
     containers' score over the page's best.  Containers with nothing to add or
-    less than half of the best score name no widened path."""
+    less than half of the best score name no widened path; those with less
+    than a millionth of it have no vote."""
     score = container_scores(page)
     best, out = max(score.values(), default=0.0), {}
     around = Around(page) if best > 0 else None
     for k, s in score.items():
-        if best > 0:
+        if best > 0 and s >= best * 5e-7:
             top = around.widened(k) if 2 * s >= best else k
             key = page.nodes[k].path, page.nodes[top].path if top != k else None
             out[key] = out.get(key, 0.0) + s / best
@@ -375,14 +475,14 @@ class Around:
     def _read(self) -> None:
         nodes = self.page.nodes
         n, self.ready = len(nodes), True
-        self.end = list(range(1, n + 1))  # the nodes of a subtree stand together
+        self.end = _ends(self.page)
         self.frame = [False] * n
         #: text outside and inside links, without headings, per node with all below it
         self.plain, self.linked = [0] * n, [0] * n
         #: text in a node itself, of blocks that aren't mostly links
         self.own = [0] * n
-        #: first block of a subtree; place and node of the headings
-        self.first, self.headings = [len(self.page.blocks)] * n, {}
+        #: first block of a subtree; place and node of the headings; h1 before each node
+        self.first, self.headings, self.h1 = [len(self.page.blocks)] * n, {}, [0] * (n + 1)
         for at, (_, inner, text, linked) in enumerate(self.page.blocks):
             node = nodes[inner]
             if node.skip or node.header and node.tag not in HEADING:
@@ -390,18 +490,42 @@ class Around:
             self.first[inner] = min(self.first[inner], at)
             if node.tag in HEADING:
                 self.headings[at] = inner
+                self.h1[inner + 1] += node.tag == "h1"
                 continue
             self.plain[inner] += max(0, len(text) - linked)
             self.linked[inner] += linked
             self.own[inner] += len(text) - linked if 2 * linked <= len(text) else 0
         for k in range(n - 1, 0, -1):
             up, node = nodes[k].parent, nodes[k]
-            self.end[up] = max(self.end[up], self.end[k])
             self.plain[up] += self.plain[k]
             self.linked[up] += self.linked[k]
             self.first[up] = min(self.first[up], self.first[k])
             if node.skip and (node.tag in FRAME_TAGS or node.words & FRAME_WORDS):
                 self.frame[up] = True
+        self.h1, self.places = list(accumulate(self.h1)), list(self.headings)
+        #: the last heading so far that is in no header, per place of a heading
+        self.last = list(accumulate((-1 if nodes[m].header else m for m in self.headings.values()),
+                                    lambda a, m: a if m < 0 else m))
+        # jumps over many ancestors; the nearest frame at or above a node
+        self.jump, depth, self.framed = [0] * n, [0] * n, [0] * n
+        for k in range(1, n):
+            up = nodes[k].parent
+            far = self.jump[up]
+            depth[k] = depth[up] + 1
+            self.jump[k] = self.jump[far] if depth[up] - depth[far] == depth[far] - depth[self.jump[far]] else up
+            self.framed[k] = k if self.frame[k] else self.framed[up]
+        #: how many elements above a node add text to what is inside; without and with a title
+        self.adds = []
+        for titled in (False, True):
+            good = [bool(self.plain[c]) and not self.links(c) and not (titled and self.first[c] in self.headings)
+                    for c in range(n)]
+            count, adds = [0] * n, [0] * n
+            for c in range(1, n):
+                count[nodes[c].parent] += good[c]
+            for c in range(1, n):
+                up = nodes[c].parent
+                adds[c] = adds[up] + (self.own[up] > 0 or count[up] > good[c])
+            self.adds.append(adds)
 
     def children(self, k: int) -> Iterator[int]:
         c = k + 1
@@ -412,12 +536,36 @@ class Around:
     def links(self, k: int) -> bool:
         return self.linked[k] > self.plain[k]
 
-    def _heading(self, up: int, k: int, tags: Collection[str]) -> bool:
-        """Whether a heading stands before k in ``up``; of a header only if it
-        is beside k and ``up`` no frame of the page."""
-        nodes = self.page.nodes
-        return any(up < m < self.end[up] and not k <= m < self.end[k] and at < self.first[k] and nodes[m].tag in tags
-                   and (not nodes[m].header or 0 < up == nodes[k].parent and not self.frame[up]) for at, m in self.headings.items())
+    def _climb(self, k: int, test: Callable[[int], bool]) -> int:
+        """The first node at or above k that passes; all above it pass too."""
+        while not test(k):
+            k = self.page.nodes[k].parent if test(self.jump[k]) else self.jump[k]
+        return k
+
+    def _beside(self, k: int, tags: Collection[str]) -> bool:
+        """Whether a heading stands before k in its parent; one of a header
+        only if the parent is no frame of the page."""
+        nodes, up = self.page.nodes, self.page.nodes[k].parent
+        for i in range(bisect_left(self.places, self.first[k]) - 1, -1, -1):
+            m = self.headings[self.places[i]]
+            if not up < m < self.end[up]:  # the blocks of a subtree stand together
+                return False
+            if nodes[m].tag in tags and (not nodes[m].header or up > 0 and not self.frame[up]):
+                return True
+        return False
+
+    def titled(self, k: int) -> int:
+        """The parent of an article without a title, if the parent's text begins
+        with an h1 of its own and it holds no other article and is no frame of
+        the page; else the article."""
+        if not self.ready:
+            self._read()
+        nodes, up = self.page.nodes, self.page.nodes[k].parent
+        if up < 0 or self.frame[up] or self.h1[self.end[k]] > self.h1[k] or self.first[k] in self.headings:
+            return k
+        title = self.headings.get(self.first[up], 0)
+        alone = not any(nodes[c].tag == "article" for c in self.children(up) if c != k)
+        return up if alone and nodes[title].tag == "h1" and not nodes[title].header and nodes[title].parent == up else k
 
     def widened(self, k: int) -> int:
         """The smallest ancestor of k that adds the article's heading, and from
@@ -425,29 +573,29 @@ class Around:
         in which k has less than half of the text are not looked at, nor is
         the whole page, except for a heading beside k."""
         nodes = self.page.nodes
-        if any(nodes[a].tag in MAIN for a in _ancestors(self.page, k)):
+        if nodes[k].main:
             return k
         if not self.ready:
             self._read()
-        most, top = 2 * self.plain[k], k
-        inside = {nodes[m].tag for m in self.headings.values() if k <= m < self.end[k]}
-        titled = "h1" in inside or self.first[k] in self.headings
-        up = nodes[k].parent
-        if "h1" not in inside:
-            while up >= 0 and self.plain[up] <= most and (up > 0 or nodes[k].parent == 0):
-                if self._heading(up, k, ("h1",) if titled else HEADING):
+        most, top, up = 2 * self.plain[k], k, nodes[k].parent
+        inside = self.h1[self.end[k]] > self.h1[k]
+        titled = inside or self.first[k] in self.headings
+        if not inside and up >= 0 and self.plain[up] <= most:
+            before = bisect_left(self.places, self.first[k])
+            if self._beside(k, ("h1",) if titled else HEADING):
+                top, titled = up, True
+            elif not titled and up > 0 and before and self.last[before - 1] >= 0:
+                up = self._climb(up, lambda x: x < self.last[before - 1] or x == 0)
+                if up > 0 and self.plain[up] <= most:
                     top, titled = up, True
-                    break
-                if titled:  # it has a heading; only a title beside it is added
-                    break
-                up = nodes[up].parent
-        child, up = top, nodes[top].parent
-        while up > 0 and not self.frame[up] and self.plain[up] <= most:
-            if self.own[up] or any(c != child and self.plain[c] and not self.links(c) and not (
-                    titled and self.first[c] in self.headings) for c in self.children(up)):
-                top = up
-            child, up = up, nodes[up].parent
-        return top
+        up = nodes[top].parent
+        if up <= 0:
+            return top
+        limit = max(self._climb(up, lambda x: x == 0 or self.plain[x] > most), self.framed[up])
+        if up == limit:
+            return top
+        last = self._climb(up, lambda x: nodes[x].parent <= limit)
+        return self._climb(top, lambda x: self.adds[titled][x] <= self.adds[titled][last])
 
 
 def _ancestors(page: Page, k: int) -> list[int]:
@@ -466,10 +614,16 @@ def main_element(page: Page, path: str | None) -> int:
     on = [k for k, node in enumerate(page.nodes) if node.path == path]
     found = [k for k in on if not page.nodes[k].skip]
     if on and not found:
-        found = [k for k in on if not page.nodes[k].named and not any(
-            page.nodes[a].hard or page.nodes[a].words & COMMENT_WORDS for a in _ancestors(page, k))]
+        out = [False] * len(page.nodes)
+        for k, node in enumerate(page.nodes):
+            out[k] = bool(node.hard or node.words & COMMENT_WORDS) or node.parent >= 0 and out[node.parent]
+        found = [k for k in on if not page.nodes[k].named and not out[k]]
         if found:
-            clear = {a for k in found for a in _ancestors(page, k)}
+            clear: set[int] = set()
+            for k in found:
+                while k >= 0 and k not in clear:
+                    clear.add(k)
+                    k = page.nodes[k].parent
             page.void |= {(a, w) for a in clear for w in page.nodes[a].words}
             _set_skips(page, page.reset, page.void)
     if not found:
@@ -477,10 +631,8 @@ def main_element(page: Page, path: str | None) -> int:
         if not score:
             return 0
         found = [max(score, key=lambda k: (score[k], -k))]
-    common = _ancestors(page, found[0])
-    for k in found[1:]:
-        have = set(_ancestors(page, k))
-        common = [c for c in common if c in have]
+    end = _ends(page)
+    common = [a for a in _ancestors(page, found[0]) if end[a] > found[-1]]
     wide = [k for k in common if page.nodes[k].tag in MAIN]
     articles = [k for k in wide if page.nodes[k].tag == "article"]
     return (articles or wide or [common[0]])[-1]
@@ -494,7 +646,11 @@ def extract(page: Page, path: str | None, wide: str | None = None) -> list[str]:
     core = top = main_element(page, path)
     around = Around(page)
     if core > 0:
-        if wide is not None and f"{path}>".startswith(f"{nodes[core].path}>"):
+        last = _ends(page)[core] if wide is not None else 0
+        if nodes[core].tag in MAIN:
+            top = around.titled(core)
+        elif wide is not None and (f"{path}>".startswith(f"{nodes[core].path}>") or any(
+                nodes[k].path == path for k in range(core, last))):
             top = next((a for a in _ancestors(page, core) if nodes[a].path == wide), core)
         else:
             top = around.widened(core)
