@@ -32,7 +32,10 @@ def rows():
     a = prose(31, 6)
     texts = [*a, a[0] + " GNU General-Public License, apache LICENSE", "mit license mit license mit mit license",
              "cc by", "the cc, by nc", "gnu general public licence", "Apache", "Éapache license", "apache licenseé",
-             "Released under the MIT License.", *licenses.TEMPLATES, *ODD]
+             "Released under the MIT License.", *licenses.TEMPLATES, *ODD, *licenses.TEXTS.values(),
+             "released under the mit license mit license mit license mit license",
+             "mit license " * 40 + "released under the mit license" + " the mit license" * 40,
+             "in the software the software of the software " * 30 + licenses.TEXTS["mit-whole"] + " of the software" * 50]
     return [*enumerate(texts), (None, "cc by"), (8, "cc by"), (8, "cc by")]
 
 
@@ -56,6 +59,22 @@ def test_edited_templates_are_found_and_prose_is_not(spark):
     assert got[2].labels == got[3].labels == "" and got[2].score == 0
 
 
+def test_repeated_pairs_beside_a_copy_do_not_hide_it(spark):
+    notice = "released under the mit license"
+    whole = licenses.TEXTS["mit-whole"].split()
+    edited = " ".join([*whole[:40], "extra", *whole[40:90], *whole[92:]])
+    texts = [notice + " mit license" * 3, "mit license " * 40 + notice + " the mit license" * 40, edited,
+             "of the software " * 200 + edited + " in the software" * 200, "of the software in the software " * 300,
+             " ".join(whole[:80])]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, list(enumerate(texts)))).collect()}
+    assert got[0].labels == got[1].labels == "mit,mit-notice" and got[0].score == got[1].score == 1
+    for k in (2, 3):
+        assert got[k].labels == "mit-text,mit-whole"
+        (span,) = (s for s in got[k].spans if s.label == "mit-whole")
+        assert 0.9 < span.share < 1 and span.stop - span.start <= 2 * len(words(licenses.TEXTS["mit-whole"]))
+    assert got[4].labels == "" and got[5].labels == "mit-text"
+
+
 def test_oracle_says_the_same(spark):
     docs = documents(spark, rows())
     with duckdb.connect() as db:

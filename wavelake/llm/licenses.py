@@ -9,16 +9,21 @@ word q votes for the diagonal p - q.
   has m - 1 votes.
 * The longer templates tolerate edits.  Votes are summed per diagonal; the
   diagonals of one document and template within ``NEAR`` of each other merge
-  (an inserted or lost word moves the rest of a copy by one); the merged span
-  is verified by the share of distinct template pairs it holds.
-
-The template table is fixed in this module, some hundred rows, and is
-broadcast.  Votes are counted in the task that reads a document before
+  (an inserted or lost word moves the rest of a copy by one).  A merged span is
+  verified by the share of distinct template pairs that it holds; of one that
+  runs on over more than twice the template, because pairs of it are repeated
+  beside the copy, each window of as many diagonals as the template has words
+  is verified for itself.
+
+The templates are notices and whole license texts of any length.  Their table
+is fixed in this module, some thousand rows, and is broadcast.  Votes are counted in the task that reads a document before
 anything is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,21 +52,81 @@ TEMPLATES = {
     "public license as published by the free software foundation": "gpl-text",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
 }
+#: whole texts of public licenses by their labels (fixed values)
+TEXTS = {
+    "mit-whole": """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc-whole": """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.""",
+    "bsd-2-whole": """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "zlib-whole": """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter
+it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If
+you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not
+required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software.
+3. This notice may not be removed or altered from any source distribution.""",
+}
+#: pairs that one mask holds
+MASK = 62
 #: diagonals at most this far apart merge
 NEAR = 2
 #: share of a template's pairs that a merged span must hold
 SHARE = 0.75
 
 
+def _phrases() -> list[tuple[int, str, bool, list[str]]]:
+    """tid, label, whether it is a base phrase, and words of every template."""
+    every = [*((label, True, phrase) for phrase, label in BASE.items()),
+             *((label, False, phrase) for phrase, label in TEMPLATES.items()),
+             *((label, False, text) for label, text in TEXTS.items())]
+    return [(tid, label, base, re.findall("[0-9a-z]+", text.lower())) for tid, (label, base, text) in enumerate(every)]
+
+
+def masks() -> int:
+    """Masks that hold the pairs of the longest template."""
+    return 1 + max(len(w) - 2 for *_, w in _phrases()) // MASK
+
+
 def templates(spark: SparkSession) -> DataFrame:
-    """tid, label, base, pairs (their number), q, bit (1 << q), w1, w2: one row
-    per pair.  A template has at most 63 pairs."""
-    rows = []
-    for tid, (phrase, label) in enumerate([*BASE.items(), *TEMPLATES.items()]):
-        w = phrase.split()
-        rows += [(tid, label, phrase in BASE, len(w) - 1, q, 1 << q, a, b)
-                 for q, (a, b) in enumerate(zip(w, w[1:], strict=False))]
-    return spark.createDataFrame(rows, "tid int, label string, base boolean, pairs int, q int, bit bigint, w1 string, w2 string")
+    """tid, label, base, pairs (their number), q, part and bit (mask of the
+    pair and its place in it), w1, w2: one row per pair."""
+    rows = [(tid, label, base, len(w) - 1, q, q // MASK, 1 << q % MASK, a, b) for tid, label, base, w in _phrases()
+            for q, (a, b) in enumerate(zip(w, w[1:], strict=False))]
+    return spark.createDataFrame(rows, "tid int, label string, base boolean, pairs int, q int, part int, bit bigint, "
+                                       "w1 string, w2 string")
 
 
 def votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,13 +144,14 @@ def votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     grams = base.select("row", "doc_id", "n_words", "p", "g.w1", "g.w2",
                         F.xxhash64("g.w1", "g.w2").alias("h"))
     t = templates(docs.sparkSession).withColumn("h", F.xxhash64("w1", "w2"))
-    t = t.select("h", "tid", "label", "base", "pairs", "q", "bit", F.col("w1").alias("t1"), F.col("w2").alias("t2"))
+    t = t.select("h", "tid", "label", "base", "pairs", "q", "part", "bit", F.col("w1").alias("t1"), F.col("w2").alias("t2"))
     joined = grams.join(F.broadcast(t), (grams["h"] == t["h"]) & (grams["w1"] == t["t1"]) & (grams["w2"] == t["t2"]),
                         "left")
     return joined.groupBy("row", "doc_id", "n_words", "tid", "label", "base", "pairs",
                           (F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.count("tid").alias("votes"), F.min("q").alias("first_q"), F.max("q").alias("last_q"),
-        F.bit_or("bit").alias("seen"))
+        *[F.coalesce(F.bit_or(F.when(F.col("part") == k, F.col("bit"))), F.lit(0)).alias(f"seen_{k}")
+          for k in range(masks())])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,15 +168,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     w = Window.partitionBy("row", "tid").orderBy("diagonal")
     jump = F.when((F.col("diagonal") - F.lag("diagonal").over(w) <= NEAR) & ~F.col("base"), 0).otherwise(1)
     runs = found.withColumn("jump", jump).withColumn("run", F.sum("jump").over(w))
+    # windows of as many diagonals as the template has words; their span is at most twice the template
+    runs = runs.withColumn("place", F.col("diagonal") / (F.col("pairs") + 1))
+    window = "(PARTITION BY row, tid, run ORDER BY place RANGE BETWEEN CURRENT ROW AND 1.000001D FOLLOWING)"
+    parts = range(masks())
+    runs = runs.withColumn("window", F.struct(
+        F.expr("+".join(f"bit_count(bit_or(seen_{k}) OVER {window})" for k in parts)).alias("held"),
+        F.expr(f"-min(diagonal + first_q) OVER {window}").cast("bigint").alias("start"),
+        F.expr(f"max(diagonal + last_q + 2) OVER {window}").cast("bigint").alias("stop")))
     spans = runs.groupBy("row", "tid", "run").agg(
         *[F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "base", "pairs")],
-        F.bit_count(F.bit_or("seen")).alias("held"),
-        F.min(F.col("diagonal") + F.col("first_q")).cast("bigint").alias("start"),
-        F.max(F.col("diagonal") + F.col("last_q") + 2).cast("bigint").alias("stop"))
-    share = F.col("held") / F.col("pairs")
-    spans = spans.withColumn("share", share).withColumn(
-        "ok", F.when(F.col("base"), F.col("held") == F.col("pairs")).otherwise(
-            (F.col("share") >= SHARE) & (F.col("stop") - F.col("start") <= 2 * (F.col("pairs") + 1))))
+        F.struct(sum((F.bit_count(F.bit_or(f"seen_{k}")) for k in parts), F.lit(0)).alias("held"),
+                 (-F.min(F.col("diagonal") + F.col("first_q"))).cast("bigint").alias("start"),
+                 F.max(F.col("diagonal") + F.col("last_q") + 2).cast("bigint").alias("stop")).alias("all"),
+        F.max("window").alias("window"))
+    # the whole span where it is short enough, else the window that holds most
+    whole = F.col("all.stop") + F.col("all.start") <= 2 * (F.col("pairs") + 1)
+    spans = spans.withColumn("span", F.when(whole, F.col("all")).otherwise(F.col("window")))
+    spans = spans.select("row", "doc_id", "n_words", "label", "base", (-F.col("span.start")).alias("start"),
+                         F.col("span.stop").alias("stop"), (F.col("span.held") / F.col("pairs")).alias("share"))
+    spans = spans.withColumn("ok", F.col("share") >= F.when(F.col("base"), 1.0).otherwise(SHARE))
     is_base = F.col("ok") & F.col("base")
     return spans.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
@@ -126,11 +203,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def oracle_sql() -> str:
     """The same counts and labels as DuckDB SQL over ``documents``."""
-    rows = []
-    for tid, (phrase, label) in enumerate([*BASE.items(), *TEMPLATES.items()]):
-        w = phrase.split()
-        rows += [f"({tid}, '{label}', {phrase in BASE}, {len(w) - 1}, {q}, '{a}', '{b}')"
-                 for q, (a, b) in enumerate(zip(w, w[1:], strict=False))]
+    rows = [f"({tid}, '{label}', {base}, {len(w) - 1}, {q}, '{a}', '{b}')" for tid, label, base, w in _phrases()
+            for q, (a, b) in enumerate(zip(w, w[1:], strict=False))]
     return f"""
 WITH t(tid, label, base, pairs, q, w1, w2) AS (VALUES {", ".join(rows)}),
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -142,11 +216,16 @@ v AS (SELECT r, tid, label, base, pairs, p - q AS diagonal, q FROM g JOIN t USIN
 j AS (SELECT *, CASE WHEN NOT base AND diagonal - lag(diagonal) OVER (PARTITION BY r, tid ORDER BY diagonal)
         <= {NEAR} THEN 0 ELSE 1 END AS jump FROM (SELECT DISTINCT r, tid, label, base, pairs, diagonal FROM v)),
 c AS (SELECT *, sum(jump) OVER (PARTITION BY r, tid ORDER BY diagonal) AS run FROM j),
-s AS (SELECT r, tid, run, c.label, c.base, c.pairs, count(DISTINCT q) AS held, min(c.diagonal + q) AS start,
-        max(c.diagonal + q + 2) AS stop
-      FROM c JOIN v USING (r, tid, diagonal) GROUP BY ALL),
-k AS (SELECT *, CASE WHEN base THEN held = pairs ELSE held / pairs >= {SHARE}
-        AND stop - start <= 2 * (pairs + 1) END AS ok FROM s),
+x AS (SELECT r, tid, run, c.label, c.base, c.pairs, diagonal, q FROM c JOIN v USING (r, tid, diagonal)),
+s AS (SELECT r, tid, run, label, base, pairs, count(DISTINCT q) AS held, min(diagonal + q) AS start,
+        max(diagonal + q + 2) AS stop FROM x GROUP BY ALL),
+m AS (SELECT c.r, c.tid, c.run, c.diagonal, count(DISTINCT x.q) AS held FROM c JOIN s USING (r, tid, run)
+      JOIN x ON x.r = c.r AND x.tid = c.tid AND x.run = c.run
+        AND x.diagonal BETWEEN c.diagonal AND c.diagonal + c.pairs + 1
+      WHERE s.stop - s.start > 2 * (c.pairs + 1) GROUP BY ALL),
+k AS (SELECT r, tid, run, label, base, pairs, start, coalesce(best, s.held) AS held,
+        coalesce(best, s.held) >= CASE WHEN base THEN pairs ELSE pairs * {SHARE} END AS ok
+      FROM s LEFT JOIN (SELECT r, tid, run, max(held) AS best FROM m GROUP BY ALL) USING (r, tid, run)),
 a AS (SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
         max(start) FILTER (base) AS last_word, array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',')
         AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(held / pairs) AS score
