@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from wavelake.llm import decontaminate
 from wavelake.llm.decontaminate import FMIndex, words
@@ -51,6 +52,34 @@ def test_matches_scanning_and_blocks_agree(spark):
     assert all(r.contaminated == (r.n_hit > 0) for r in report)
 
 
+def test_one_text_may_be_a_third_of_many_blocks(spark):
+    rows, bench, docs, _ = tables(spark)
+    many = [*bench, *[(1000 + k, bench[0][1]) for k in range(300)], (7000, " ".join(t for _, t in bench[:12]))]
+    items = spark.createDataFrame([(i, t, "x", 1) for i, t in many], "item_id bigint, text string, n_words string, "
+                                  "spans int")
+    blocks = [(t.value, last) for t, last in decontaminate._blocks(items, "item_id", "text", 10, 3000)]
+    assert len(blocks) > 2 and [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True]
+    for block, _ in blocks:  # neither the copies nor a long item go to one block whole
+        assert sum(len(i) for ids in block["items"] for i in ids) < 300 * 4
+    assert result(decontaminate.contamination(docs, items, block_bytes=3000)) == plain(rows, many)
+
+
+def test_equal_phrases_are_one_row_with_all_owners():
+    text = " ".join(f"w{k}" for k in range(12))
+    table = decontaminate.phrase_table([(text, ["a"]), (text + " z", ["b", "c"]), ("w1 w2", ["d"])], 10)
+    assert len(table["matrix"]) == 5 and sorted(table["lengths"].tolist()) == [2, 10, 10, 10, 10]
+    owners = sorted(table["unit"][a:b].tolist() for a, b in zip(table["begin"], table["begin"][1:], strict=False))
+    assert owners == [[0, 1], [0, 1], [0, 1], [1], [2]]
+    assert decontaminate.phrase_table([], 10)["matrix"].shape == (0, 10)
+
+
+def test_shards_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["aaaa", None, "bbbb", "c" * 50, "dd", "", "e" * 9]})
+    shards = [s.column("text").to_pylist() for s in decontaminate._shards(iter([batch, batch.slice(0, 0)]))]
+    assert shards == [["aaaa", None, "bbbb"], ["c" * 50], ["dd", ""], ["e" * 9]]
+
+
 def test_clean_keeps_rows_and_columns_as_they_are(spark):
     rows, bench, docs, items = tables(spark)
     clean = {w[0] for w in plain(rows, bench) if not w[2]}

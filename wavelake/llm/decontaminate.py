@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per training shard (operator 5).
 
-A shard is a run of up to ``SHARD`` documents of a partition.  Its text is a sequence of word
+A shard is a run of up to ``SHARD`` documents and ``SHARD_BYTES`` of a partition.  Its text is a sequence of word
 symbols: the words that occur in the benchmark are numbered, every other word
 is the separator 0, and so is the end of a document.  A phrase can only lie
 inside a stretch of numbered words that is at least as long as the shortest
@@ -16,7 +16,8 @@ All phrases are searched backwards together; each occurrence in a found
 interval walks LF steps to a sampled position.  Spans of occurrences are
 merged per document.  The phrases go to the tasks as a broadcast of bounded
 size: a benchmark of more than ``BLOCK_BYTES`` is searched in several blocks,
-whose spans are merged by document.
+one after another, whose spans are merged by document.  Equal items are one
+text with several ids.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE
+from .common import WORD_TABLE, stored
 
 WINDOW = 10
 SAMPLE = 8
-#: documents per shard
-SHARD = 2500
-#: bytes of benchmark text that one broadcast holds at most
-BLOCK_BYTES = 32 << 20
+#: documents and bytes of text per shard
+SHARD, SHARD_BYTES = 2500, 16 << 20
+#: bytes of distinct benchmark texts and item ids that one broadcast holds, about
+BLOCK_BYTES = 16 << 20
 
 
 def words(text: str | None) -> list[bytes]:
@@ -131,21 +133,29 @@ class FMIndex:
         return out
 
 
-def phrase_table(items: list[tuple], window: int) -> dict:
-    """Numbered vocabulary and right-aligned phrase matrix of ``items``
-    (item_id, text); equal phrases are searched once."""
+def phrase_table(units: list[tuple[str, list[str]]], window: int) -> dict:
+    """Numbered vocabulary, right-aligned phrase matrix and owners of
+    ``units`` (words joined by blanks, item ids).  Equal phrases are one row;
+    the units of row p are ``unit[begin[p]:begin[p + 1]]``."""
     vocab: dict[bytes, int] = {}
-    owners: dict[tuple, set] = {}
-    for item, text in items:
-        ids = [vocab.setdefault(w, len(vocab) + 1) for w in words(text)]
-        for k in range(max(1, len(ids) - window + 1) if ids else 0):
-            owners.setdefault(tuple(ids[k:k + window]), set()).add(str(item))
-    keys = list(owners)
-    matrix = np.zeros((len(keys), window), np.int64)
-    for r, key in enumerate(keys):
-        matrix[r, window - len(key):] = key
-    return {"vocab": vocab, "matrix": matrix, "lengths": np.array([len(k) for k in keys], np.int64),
-            "owners": [sorted(owners[k]) for k in keys], "window": window}
+    parts = [np.array([vocab.setdefault(w, len(vocab) + 1) for w in text.encode("utf-8", "surrogatepass").split()],
+                      np.int32) for text, _ in units]
+    rows, owner = [], []
+    for u, ids in enumerate(parts):
+        if len(ids) >= window:
+            rows.append(np.lib.stride_tricks.sliding_window_view(ids, window))
+        elif len(ids):
+            rows.append(np.concatenate([np.zeros(window - len(ids), np.int32), ids])[None])
+        owner.append(np.full(len(rows[-1]) if len(ids) else 0, u, np.int32))
+    matrix = np.ascontiguousarray(np.concatenate([np.zeros((0, window), np.int32), *rows]))
+    del parts, rows
+    keys = matrix.view(f"V{4 * window}").ravel()
+    _, first, phrase = np.unique(keys, return_index=True, return_inverse=True)
+    pairs = np.unique(phrase.astype(np.int64) << 32 | np.concatenate([np.zeros(0, np.int32), *owner]).astype(np.int64))
+    matrix = matrix[first]
+    return {"vocab": vocab, "matrix": matrix, "lengths": (matrix > 0).sum(axis=1), "window": window,
+            "begin": np.searchsorted(pairs >> 32, np.arange(len(matrix) + 1)),
+            "unit": (pairs & 0xFFFFFFFF).astype(np.int32), "items": [ids for _, ids in units]}
 
 
 def find_spans(texts: list[str | None], phrases: dict) -> tuple[list[int], list[list[tuple[int, int]]], list[set]]:
@@ -184,30 +194,68 @@ def find_spans(texts: list[str | None], phrases: dict) -> tuple[list[int], list[
     at = where[index.locate(rows)]
     doc = np.searchsorted(offset, at, "right") - 1
     order = np.lexsort((at, doc))
-    for d, s, p in zip(doc[order].tolist(), (at - offset[doc])[order].tolist(), phrase[order].tolist(), strict=True):
-        e = s + int(lengths[p])
+    for d, s, n in zip(doc[order].tolist(), (at - offset[doc])[order].tolist(), lengths[phrase[order]].tolist(),
+                       strict=True):
         if spans[d] and s <= spans[d][-1][1]:
-            spans[d][-1] = (spans[d][-1][0], max(e, spans[d][-1][1]))
+            spans[d][-1] = (spans[d][-1][0], max(s + n, spans[d][-1][1]))
         else:
-            spans[d].append((s, e))
-        items[d].update(phrases["owners"][p])
+            spans[d].append((s, s + n))
+    begin, unit, own = phrases["begin"], phrases["unit"], np.unique(np.stack([doc, phrase]), axis=1)
+    for d in np.unique(own[0]).tolist():
+        hit = own[1, slice(*np.searchsorted(own[0], [d, d + 1]))].tolist()
+        for u in np.unique(np.concatenate([unit[begin[p]:begin[p + 1]] for p in hit])).tolist():
+            items[d].update(phrases["items"][u])
     return n_words, spans, items
 
 
 SCHEMA = "doc_id bigint, n_words bigint, spans array<struct<start:bigint,stop:bigint>>, items array<string>"
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """Broadcast phrase tables of about ``block_bytes`` of text each; equal
-    texts are in one block."""
-    bench = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t"))
-    size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks, out = max(1, -(-size // block_bytes)), []
+def _units(benchmark: DataFrame, item_col: str, text_col: str, window: int, part_bytes: int) -> DataFrame:
+    """Distinct (t, i): the words of an item joined by blanks and its id as
+    text.  Long items are cut into parts of about ``part_bytes`` that share
+    ``window`` - 1 words, so every window is whole in one part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own, begin, size = words(text.as_py()), 0, 0
+                for k, w in enumerate(own):
+                    size += len(w) + 1
+                    if size >= part_bytes and k - begin >= 2 * window or k == len(own) - 1:
+                        texts.append(b" ".join(own[begin:k + 1]).decode("utf-8", "surrogatepass"))
+                        ids.append("None" if item is None else item)
+                        begin, size = k + 2 - window, 0
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(ids, pa.string())], ["t", "i"])
+    return benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")) \
+        .mapInArrow(run, "t string, i string").distinct()
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Iterator:
+    """Broadcast phrase tables, one after another, and whether it is the last.
+    A block holds about ``block_bytes`` of distinct texts and item ids.  A text
+    is in one block with all its ids; only the ids of a text that are over an
+    eighth of a block by themselves are dealt to all of them (there are at most
+    8 such texts a block)."""
+    units, context = _units(benchmark, item_col, text_col, window, max(1, block_bytes // 8)), \
+        benchmark.sparkSession.sparkContext
+
+    def table(block: DataFrame):
+        grouped = block.groupBy("t").agg(F.collect_list("i").alias("i")).toArrow()
+        return context.broadcast(phrase_table(list(zip(*(c.to_pylist() for c in grouped.columns), strict=True)), window))
+    raw = benchmark.agg(F.sum(F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0))
+                              + F.coalesce(F.octet_length(F.col(item_col).cast("string")), F.lit(4)))).first()[0] or 0
+    if raw <= block_bytes:
+        yield table(units), True
+        return
+    units = stored(units.withColumn("h", F.xxhash64("t")), "benchmark")
+    by_text = units.groupBy("h").agg(F.sum(F.octet_length("i")).alias("ids"), F.max(F.octet_length("t")).alias("size"))
+    total = by_text.agg(F.sum(F.col("ids") + F.col("size"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    hot = [r["h"] for r in by_text.filter(F.col("ids") > max(1, block_bytes // 8)).select("h").collect()]
+    key = F.when(F.col("h").isin(hot), F.xxhash64("i")).otherwise(F.col("h")) if hot else F.col("h")
     for b in range(blocks):
-        block = bench if blocks == 1 else bench.filter(F.pmod(F.coalesce(F.xxhash64("t"), F.lit(0)), F.lit(blocks)) == b)
-        out.append(benchmark.sparkSession.sparkContext.broadcast(
-            phrase_table([tuple(r) for r in block.collect()], window)))
-    return out
+        yield table(units.filter(F.pmod(key, F.lit(blocks)) == b).select("t", "i")), b == blocks - 1
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -221,21 +269,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a null item id reads ``None``; repeated items and documents are judged
     each for itself; an empty benchmark hits nothing.  Extra columns of
     either table are not read."""
-    tables = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    blocks = len(tables)
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    if blocks > 1:  # a key that stays with the row while its blocks are merged
-        base = base.withColumn("key", F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"),
-                                               F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("c")))
-    parts = [_search(base, t) for t in tables]
-    if blocks == 1:
-        return parts[0]
+    # a key that stays with the row while its blocks are merged
+    keyed = base.withColumn("key", F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"),
+                                            F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("c")))
+    parts = []
+    for table, last in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
+        if last and not parts:
+            return _search(base, table)
+        found = _search(keyed, table).withColumn("own", F.lit(0 if parts else 1))
+        # written at once, so that one block's phrases are held at a time; after the first only hits matter
+        parts.append(stored(found.filter(F.size("spans") > 0) if parts else found, "hits"))
+        table.destroy()
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
     # repeated rows of one id and text have equal spans: they count per row
     merged = (merged.groupBy("key").agg(
-        F.max("n_words").alias("n_words"), (F.count(F.lit(1)) / blocks).cast("bigint").alias("copies"),
+        F.max("n_words").alias("n_words"), F.sum("own").cast("bigint").alias("copies"),
         F.flatten(F.collect_set("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
     merged = merged.withColumn("spans", _merged_spans("spans"))
@@ -278,21 +329,32 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
           item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, without those that hold a window of
     the benchmark.  Nothing is shuffled: each block of phrases filters what
-    the one before let through."""
-    for table in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
+    the one before let through, which is written in between."""
+    for table, last in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
         docs = docs.mapInArrow(_clean_rows(table, text_col), docs.schema)
+        if not last:  # written at once, so that one block's phrases are held at a time
+            docs = stored(docs, "clean")
+            table.destroy()
     return docs
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of at most SHARD rows and, but for one longer text, SHARD_BYTES."""
     for batch in batches:
-        for k in range(0, batch.num_rows, SHARD):
-            yield batch.slice(k, SHARD)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
+        begin, held = 0, 0
+        for k, size in enumerate(sizes.to_pylist()):
+            if k > begin and (k - begin == SHARD or held + size > SHARD_BYTES):
+                yield batch.slice(begin, k - begin)
+                begin, held = k, 0
+            held += size
+        if batch.num_rows:
+            yield batch.slice(begin)
 
 
 def _clean_rows(table, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _shards(batches):
+        for batch in _shards(batches, text_col):
             _, spans, _ = find_spans(batch.column(text_col).to_pylist(), table.value)
             yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
     return run
@@ -306,3 +368,24 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
+
+
+#: the report as DuckDB SQL over ``documents`` and ``benchmark``: windows as strings, joined
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, 'None') AS item, regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item, least(len(w), {WINDOW}) AS n, array_to_string(w[k:k + least(len(w), {WINDOW}) - 1], ' ') AS phrase
+      FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS k FROM b WHERE len(w) > 0)),
+g AS (SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+h AS (SELECT r, k, n, item FROM g JOIN p USING (n, phrase)),
+c AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS at FROM h) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN i USING (r)"""
