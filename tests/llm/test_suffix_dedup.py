@@ -50,7 +50,8 @@ def test_many_buckets_hot_tokens_and_small_groups(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 2)
     monkeypatch.setattr(suffix_dedup, "MOST_RANGES", 5)
     monkeypatch.setattr(suffix_dedup, "GROUP", 3000)
-    monkeypatch.setattr(suffix_dedup, "STRINGS", 50)
+    monkeypatch.setattr(suffix_dedup, "SENT", 50)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 2000)
     docs = documents(spark, corpus())
     router = suffix_dedup.place_splitters(suffix_dedup._numbered(docs, "doc_id", "text"), 100, 2000)
     assert router.hot and router.parts > 1 and router.buckets > 20
@@ -73,6 +74,34 @@ def test_multikey_quicksort_orders_rows():
     assert (words[suffix_dedup.multikey_quicksort(words)] == words[np.lexsort(words.T[::-1])]).all()
 
 
+def test_common_prefixes_are_exact():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 3, 4000).astype(np.uint8).tobytes() + b"\0" * 50
+    begin, at = np.arange(0, 3900), np.arange(40, 3940)
+    for words, rows in ((suffix_dedup.suffix_symbols(data, at, at + 24, 24), [data[a:a + 24] for a in at]),
+                        (suffix_dedup.context_symbols(data, begin, at, 24), [data[a - 24:a][::-1] for a in at])):
+        order = suffix_dedup.multikey_quicksort(words)
+        ranked = [rows[i] for i in order]
+        assert ranked == sorted(ranked)
+        want = [next((k for k in range(24) if x[k] != y[k]), 24) for x, y in zip(ranked, ranked[1:], strict=False)]
+        assert suffix_dedup.common_prefixes(words, order).tolist() == want
+        for width in (1, 9, 24):
+            groups = suffix_dedup.classes(np.array(want), order, width)
+            assert len(set(groups)) == len({r[:width] for r in rows})
+            assert len({(g, r[:width]) for g, r in zip(groups, rows, strict=True)}) == len(set(groups))
+
+
+def test_a_task_sends_a_hot_string_again_only_if_it_starts_earlier():
+    text = prose(4, 1)[0].encode()[:100]
+    router = suffix_dedup.Router([], {text[a:a + 24] for a in range(77)}, 1)
+    sent = {}
+    blocks = [list(suffix_dedup.collect_records([(doc, doc, text)], router, 100, sent)) for doc in (5, 7, 3)]
+    columns = [suffix_dedup.unpack(own[0][1], 100)[0][5].tolist() for own in blocks]
+    assert columns == [[100], [0], [100]]
+    found = suffix_dedup.bucket_repeats([b for own in blocks for _, b in own], 100)
+    assert sorted(found.T.tolist()) == [[5, 0, 1], [7, 0, 1]]
+
+
 def test_equal_strings_have_equal_anchors():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 100, 3000).astype(np.uint8)

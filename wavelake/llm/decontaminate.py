@@ -383,7 +383,7 @@ p AS (SELECT DISTINCT item, least(len(w), {WINDOW}) AS n, array_to_string(w[k:k
 g AS (SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
 h AS (SELECT r, k, n, item FROM g JOIN p USING (n, phrase)),
-c AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS at FROM h) GROUP BY r),
+c AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS place FROM h) GROUP BY r),
 i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
       FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,

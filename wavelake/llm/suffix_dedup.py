@@ -18,13 +18,16 @@ suffix in 39, and no string is left out.
    to key ranges by binary search in the splitters and go out as compressed
    blocks.  Records with a hot token are taken apart into their 100-byte
    strings, which are dealt by a hash of all their bytes, so that a hot token
-   is spread and equal strings still meet.
-3. A bucket sorts its suffixes by multikey quicksort over 8-byte symbols.
-   Neighbours whose common prefix is too short for any shared string drop
-   out; runs of equal leading tokens are compared string by string, in the
-   order of their places.  A token is never divided between ranges, except a
-   hot one, whose strings are routed by content; so no comparison across
-   bucket boundaries is left over.
+   is spread and equal strings still meet; a task sends a hot string again
+   only if it starts earlier than the one it has sent.
+3. A bucket sorts its suffixes by multikey quicksort over 8-byte symbols and
+   takes the common prefixes of neighbours; the bytes before the anchors are
+   sorted the same way, read backwards.  A string with its anchor at byte o
+   equals another if both have o, the suffixes share 100 - o bytes and the
+   bytes before share o: for each o, two running sums over the common prefixes
+   number the classes of equal strings, whose earliest stays.  A token is
+   never divided between ranges, except a hot one, whose strings are routed by
+   content; so no comparison across bucket boundaries is left over.
 4. The repeats meet their document, and the covered bytes are cut out.
 """
 
@@ -36,6 +39,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +57,10 @@ HOT = 8
 MOST_RANGES = 1 << 15
 #: bytes of text whose records are collected at once
 GROUP = 4 << 20
-#: strings compared at once inside a run of equal tokens
-STRINGS = 500_000
+#: hot strings that a task remembers having sent; forgetting one sends it again
+SENT = 50_000
+#: bytes of text in one batch of results, about
+BATCH = 16 << 20
 #: order of rows without an id: after all others
 NO_ID = (1 << 63) - 1
 
@@ -147,10 +153,12 @@ def unpack(blob: bytes, length: int) -> tuple[np.ndarray, bytes]:
     return columns, raw[8 + 40 * n:]
 
 
-def collect_records(docs: list[tuple[int, int, bytes]], router: Router, length: int) -> Iterator[tuple[int, bytes]]:
+def collect_records(docs: list[tuple[int, int, bytes]], router: Router, length: int,
+                    sent: dict[bytes, tuple[int, int, int]]) -> Iterator[tuple[int, bytes]]:
     """(bucket, block) of a group of texts (id, row, bytes) in the order of
     (id, row).  Equal records stay once, as the first; the others go along as
-    repeats: records without bytes."""
+    repeats: records without bytes.  ``sent`` has places of hot strings of
+    groups before."""
     seen: set[tuple[bytes, int]] = set()
     place, tokens, strings, pieces, repeats = [], [], [], [], []
     for doc, row, text in docs:
@@ -173,10 +181,13 @@ def collect_records(docs: list[tuple[int, int, bytes]], router: Router, length:
     bucket = router.route(tokens) if tokens else np.zeros(0, np.int64)
     known: dict[bytes, None] = {}
     for doc, row, start, one, a, piece in strings:
-        if piece in known:
+        if piece in known or piece in sent and sent[piece] < (doc, row, start):
             repeats.append([doc, row, start, one, 0, 0])
         else:
             known[piece] = None
+            if len(sent) >= SENT:
+                sent.clear()
+            sent[piece] = (doc, row, start)
             place.append((doc, row, start, one, a, len(piece)))
             pieces.append(piece)
     if known:
@@ -227,37 +238,71 @@ def suffix_symbols(data: bytes, begin: np.ndarray, end: np.ndarray, length: int)
     return out
 
 
-def repeated_in_run(run: list[tuple[tuple, int, bytes]], length: int) -> Iterator[tuple[tuple, int, int]]:
-    """(place, first string, number) of strings that a record before has, of
-    records (place, count, bytes) in the order of their anchors."""
-    rounds = 1 + sum(c for _, c, _ in run) // STRINGS
-    repeated: list[set[int]] = [set() for _ in run]
-    whole: dict[bytes, int] = {}
-    distinct = []
-    for i, (_, c, piece) in enumerate(run):
-        if whole.setdefault((piece, c), i) != i:
-            repeated[i] = set(range(c))
-        else:
-            distinct.append(i)
-    for r in range(rounds if len(distinct) > 1 else 0):
-        seen: set[bytes] = set()
-        for i in distinct:
-            _, c, piece = run[i]
-            for k in range(c):
-                s = piece[k:k + length]
-                if rounds > 1 and crc32(s) % rounds != r:
-                    continue
-                if s in seen:
-                    repeated[i].add(k)
-                else:
-                    seen.add(s)
-    for i, found in enumerate(repeated):
-        ks = sorted(found)
-        a = 0
-        for b in range(1, len(ks) + 1):
-            if b == len(ks) or ks[b] != ks[b - 1] + 1:
-                yield run[i][0], ks[a], b - a
-                a = b
+def context_symbols(data: bytes, begin: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Symbols of data[begin:at] read backwards, zeros after their end."""
+    width = -(-length // 8) * 8
+    flat, out = np.frombuffer(data, np.uint8), np.zeros((len(begin), width // 8), np.uint64)
+    for k in range(0, len(begin), 20_000):
+        back = at[k:k + 20_000, None] - 1 - np.arange(width)
+        block = np.where(back >= begin[k:k + 20_000, None], flat[np.maximum(back, 0)], 0).astype(np.uint8)
+        out[k:k + 20_000] = np.ascontiguousarray(block).view(">u8").astype(np.uint64)
+    return out
+
+
+def common_prefixes(words: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Bytes that each row of the order, but the first, shares with the one
+    before it."""
+    out = np.full(max(0, len(order) - 1), words.shape[1] * 8, np.int64)
+    open_ = np.arange(len(out))
+    for k in range(words.shape[1]):
+        differ = words[order[open_ + 1], k] ^ words[order[open_], k]
+        end, x = open_[differ > 0], differ[differ > 0]
+        out[end] = 8 * k + sum((x < np.uint64(1 << 8 * e)).astype(np.int64) for e in range(1, 8))
+        open_ = open_[differ == 0]
+    return out
+
+
+def classes(common: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
+    """Number of each row's class: rows that share their first ``width`` bytes."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum(common < width)])
+    return out
+
+
+def repeated_strings(data: bytes, offset: np.ndarray, columns: np.ndarray, length: int) -> np.ndarray:
+    """Columns row and start of the strings of the records that also start
+    earlier, from the common prefixes of neighbours in suffix order."""
+    doc, row, start, count, anchor, size = columns
+    words = suffix_symbols(data, offset + anchor, offset + size, length)
+    order = multikey_quicksort(words)
+    after = common_prefixes(words, order)
+    del words
+    reach = np.zeros(len(order), np.int64)  # bytes shared with a neighbour
+    reach[1:] = after
+    reach[:-1] = np.maximum(reach[:-1], after)
+    near = np.flatnonzero(reach >= length - anchor[order])
+    if len(near) < 2:
+        return np.zeros((2, 0), np.int64)
+    after = np.minimum.reduceat(after[:near[-1]], near[:-1])  # what is left out lies between them
+    doc, row, start, count, anchor, offset = (x[order[near]] for x in (doc, row, start, count, anchor, offset))
+    here = np.arange(len(near))
+    words = context_symbols(data, offset, offset + anchor, length - TOKEN)
+    order = multikey_quicksort(words)
+    before = common_prefixes(words, order)
+    del words
+    place = np.empty(len(near), np.int64)
+    place[np.lexsort((start + anchor, row, doc))] = here
+    found = [np.zeros((2, 0), np.int64)]
+    for o in range(int(anchor.max()) + 1):
+        right = classes(after, here, length - o)
+        own = np.flatnonzero((anchor >= o) & (anchor - count < o))
+        own = own[np.bincount(right[own], minlength=1)[right[own]] > 1]
+        if len(own):
+            key = right[own] * len(near) + classes(before, order, o)[own]
+            by = np.lexsort((place[own], key))
+            later = own[by[1:][key[by[1:]] == key[by[:-1]]]]
+            found.append(np.stack([row[later], start[later] + anchor[later] - o]))
+    return np.concatenate(found, axis=1)
 
 
 def bucket_repeats(blobs: list[bytes], length: int) -> np.ndarray:
@@ -267,35 +312,22 @@ def bucket_repeats(blobs: list[bytes], length: int) -> np.ndarray:
     data = b"".join([d for _, d in parts])
     del parts
     known = columns[5] == 0
-    out = [columns[1:4, known]]
     offset = np.cumsum(columns[5]) - columns[5]
-    columns, offset = columns[:, ~known], offset[~known]
-    if columns.shape[1] > 1:
-        doc, row, start, count, anchor, size = columns
-        words = suffix_symbols(data, offset + anchor, offset + size, length)
-        order = multikey_quicksort(words)
-        differ = words[order[1:]] != words[order[:-1]]
-        common = np.where(differ.any(axis=1), np.argmax(differ, axis=1), words.shape[1]) * 8 + 7
-        same = ~differ[:, :TOKEN // 8].any(axis=1)
-        del words, differ
-        reach = np.zeros(len(order), np.int64)  # bytes shared with a neighbour, at most
-        reach[1:] = common
-        reach[:-1] = np.maximum(reach[:-1], common)
-        near = reach >= length - anchor[order]
-        run = np.concatenate([[0], np.cumsum(~same)])
-        rows, run = order[near], run[near]
-        edge = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1], [True]])) if len(rows) else np.zeros(1, int)
-        found = []
-        for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False):
-            if b - a < 2:
-                continue
-            own = rows[a:b]
-            own = own[np.lexsort((start[own] + anchor[own], row[own], doc[own]))]
-            pieces = [((i,), int(count[i]), data[offset[i]:offset[i] + size[i]]) for i in own.tolist()]
-            found += [(row[i], start[i] + k, n) for (i,), k, n in repeated_in_run(pieces, length)]
-        if found:
-            out.append(np.array(found, np.int64).T)
-    return np.concatenate(out, axis=1)
+    row, start = repeated_strings(data, offset[~known], columns[:, ~known], length)
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(start) != 1)])) if len(row) else order
+    runs = np.stack([row[first], start[first], np.diff(np.concatenate([first, [len(row)]]))])
+    return np.concatenate([columns[1:4, known], runs], axis=1)
+
+
+def _bounded(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Slices whose column of bytes holds about BATCH at most."""
+    for batch in batches:
+        total = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)) // BATCH
+        edge = np.flatnonzero(np.concatenate([[True], total[1:] != total[:-1], [True]])) if len(total) else []
+        for a, b in zip(edge, edge[1:], strict=False):
+            yield batch.slice(int(a), int(b - a))
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -343,10 +375,10 @@ def repeated_starts(rows: DataFrame, router: Router, length: int) -> DataFrame:
 
         def flush(docs):
             docs.sort(key=lambda d: d[:2])
-            found = list(collect_records(docs, router, length))
+            found = list(collect_records(docs, router, length, sent))
             return pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()),
                                                pa.array([x for _, x in found], pa.binary())], ["bucket", "blob"])
-        held, size = [], 0
+        held, size, sent = [], 0, {}
         for batch in batches:
             for doc, row, text in zip(batch.column(1), batch.column(0), batch.column(2), strict=True):
                 held.append((NO_ID if doc.as_py() is None else doc.as_py(), row.as_py(), text.as_py()))
@@ -383,7 +415,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in _bounded(batches, 2):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([press.compress(t.as_py()) for t in batch.column(2)],
                                                             pa.binary())], ["row", "doc_id", "packed"])
@@ -392,10 +424,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(ids, size, removed, left):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(removed, span),
+                 pa.array(left, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+        ids, size, removed, left, held = [], [], [], [], 0
         for batch in batches:
-            size, removed, left = [], [], []
-            for blob, runs in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                text = zstandard.ZstdDecompressor().decompress(blob.as_py())
+            for doc, blob, runs in zip(*batch.columns, strict=True):
+                text, runs = zstandard.ZstdDecompressor().decompress(blob.as_py()), runs.as_py()
                 spans, at, kept = [], 0, []
                 for r in sorted(runs or [], key=lambda r: r["start"]):
                     a, b = r["start"], r["start"] + r["count"] + length - 1
@@ -407,12 +443,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(text[at:s["start"]])
                     at = s["stop"]
                 kept.append(text[at:])
+                ids.append(doc.as_py())
                 size.append(len(text))
                 removed.append(spans)
                 left.append(b"".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(removed, span), pa.array(left, pa.binary())],
-                ["doc_id", "n_bytes", "spans", "kept"])
+                held += len(text)
+                if held >= BATCH:
+                    yield rows_of(ids, size, removed, left)
+                    ids, size, removed, left, held = [], [], [], [], 0
+        if ids:
+            yield rows_of(ids, size, removed, left)
     return joined.mapInArrow(cut, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, "
                                   "kept binary")
 
