@@ -71,5 +71,6 @@ QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_language_id, op3_suffix_dedup, op4_exact_dedup, op5_decontamination, op6_token_counts,
     op7_warc_derivatives, op8_license_scan, op9_bpe, op10_html_extraction, op11_source_audit,
     op12_importance_resampling, op13_prefix_bpe)}
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_decontamination": decontaminate.ORACLE_SQL,
-           "op8_license_scan": licenses.oracle_sql(), "op11_source_audit": source_audit.ORACLE_SQL}
+ORACLES = {"op3_suffix_dedup": suffix_dedup.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+           "op5_decontamination": decontaminate.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql(),
+           "op11_source_audit": source_audit.ORACLE_SQL}

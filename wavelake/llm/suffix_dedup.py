@@ -463,3 +463,22 @@ def removal_report(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["stop"] - s["start"])
         .alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: the report as DuckDB SQL over ``documents``: every string as a row, spans as islands; two hexadecimal digits a byte
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h
+      FROM documents),
+s AS (SELECT r, p, substr(h, 2 * p + 1, {2 * LENGTH}) AS x
+      FROM (SELECT r, h, unnest(range(0, len(h) // 2 - {LENGTH - 1})) AS p FROM d WHERE len(h) >= {2 * LENGTH})),
+f AS (SELECT r, p FROM (SELECT r, p, row_number() OVER (PARTITION BY x ORDER BY r, p) AS k FROM s) WHERE k > 1),
+j AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + {LENGTH} THEN 0 ELSE 1 END AS jump FROM f),
+i AS (SELECT r, p, sum(jump) OVER (PARTITION BY r ORDER BY p) AS island FROM j),
+z AS (SELECT r, min(p) AS a, max(p) + {LENGTH} AS b FROM i GROUP BY r, island),
+k AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM z
+      UNION ALL SELECT d.r, coalesce(max(b), 0), len(any_value(h)) // 2 FROM d LEFT JOIN z USING (r) GROUP BY d.r),
+t AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept FROM k JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM z GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN t USING (r) LEFT JOIN n USING (r)"""
