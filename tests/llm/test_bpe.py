@@ -47,6 +47,20 @@ def test_no_token_holds_a_forced_boundary():
 def test_small_memo_and_groups_change_nothing(monkeypatch):
     vocabulary, lib = bpe.load_vocabulary(PATH), Tokenizer.from_file(PATH)
     monkeypatch.setattr(bpe, "GROUP", 200)
-    codec = bpe.Codec(vocabulary, memo=5)
+    codec = bpe.Codec(vocabulary, memo_bytes=5000)
     for text, parts in zip(texts(), codec.parts(texts()), strict=False):
         assert ",".join(p[0] for p in parts) == ",".join(map(str, lib.encode(text or "", add_special_tokens=False).ids))
+
+
+def test_memo_is_bounded_in_bytes_and_keeps_no_long_pieces():
+    rnd = random.Random(3)
+    codec = bpe.Codec(bpe.load_vocabulary(PATH), memo_bytes=200_000)
+    texts = [" ".join("".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (900, 900, 3000)) for _ in range(40)]
+    texts += [f"word{k}" for k in range(3000)]
+    lib = Tokenizer.from_file(PATH)
+    for text in texts:
+        assert codec.encode(text) == lib.encode(text, add_special_tokens=False).ids
+        assert codec.used <= 200_000 + 400 * 4 + 10 * 1900
+        assert all(len(p) <= bpe.LONG_PIECE for p in codec.pieces)
+    kept = [p for p in codec.pieces if p not in codec.special]
+    assert codec.used == sum(bpe.ENTRY + bpe.ENTRY_CHAR * len(p) for p in kept)

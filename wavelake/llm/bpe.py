@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import values
 
-#: memo entries per task; a full memo is emptied, which changes no result
-MEMO = 250_000
+#: bytes that the memo of a task may take, about; a full memo is emptied, which changes no result
+MEMO_BYTES = 100 << 20
+#: bytes of an entry besides its piece, bytes for each character of it, and characters beyond which it isn't kept
+ENTRY, ENTRY_CHAR, LONG_PIECE = 400, 10, 1000
 #: characters of text whose pieces are held at once
 GROUP = 1_000_000
 #: fragments of more bytes are merged one by one
@@ -65,9 +67,9 @@ def load_vocabulary(path: str) -> dict:
 class Codec:
     """Encoder and decoder over a loaded vocabulary."""
 
-    def __init__(self, vocabulary: dict, memo: int = MEMO):
+    def __init__(self, vocabulary: dict, memo_bytes: int = MEMO_BYTES):
         self.merges, self.by_id = vocabulary["merges"], vocabulary["bytes"]
-        self.special, self.memo = vocabulary["special"], memo
+        self.special, self.memo_bytes, self.used = vocabulary["special"], memo_bytes, 0
         self.split = regex.compile(PATTERN).findall
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                         + ")") if self.special else None
@@ -208,15 +210,20 @@ class Codec:
                             for p in ([run] if run in self.special else self.split(run))])
             else:
                 cut.append(self.split(t))
-        codes = self.pieces
-        new = self.learn(set().union(*cut).difference(codes, self.special))
-        if len(codes) + len(new) > self.memo:
-            known = set().union(*cut).intersection(codes)
-            codes = {p: codes[p] for p in known}
+        every, codes = set().union(*cut), self.pieces
+        new = self.learn(every.difference(codes, self.special))
+        grown = sum([ENTRY + ENTRY_CHAR * len(p) for p in new])
+        if self.used + grown > self.memo_bytes:
+            codes = self.pieces = {p: codes[p] for p in every.intersection(codes).difference(self.special)}
+            self.used = sum([ENTRY + ENTRY_CHAR * len(p) for p in codes])
+        self.used += grown
         codes.update(new)
         codes.update((s, (str(i), 1, s.encode())) for s, i in self.special.items())
-        self.pieces = codes
-        return [[codes[p] for p in c] for c in cut]
+        out = [[codes[p] for p in c] for c in cut]
+        for p in [p for p in new if len(p) > LONG_PIECE]:
+            del codes[p]
+            self.used -= ENTRY + ENTRY_CHAR * len(p)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _, _ in next(self.parts([text])) for i in ids.split(",")]
