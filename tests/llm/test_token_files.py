@@ -1,4 +1,5 @@
 import glob
+import re
 import os
 
 import numpy as np
@@ -35,8 +36,9 @@ def plain(files, eod):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block", [1, 3, 7, 1 << 20])
-def test_boundaries_are_stitched_across_blocks(spark, tmp_path, block):
+@pytest.mark.parametrize("block, run", [(1, 5), (3, 4), (7, 2), (7, 1), (7, 4096), (1 << 20, 4096)])
+def test_boundaries_are_stitched_across_blocks(spark, tmp_path, monkeypatch, block, run):
+    monkeypatch.setattr(token_files, "RUN", run)
     rng = np.random.default_rng(5)
     files = {"a": rng.integers(0, 4, 200).tolist(), "b": [2], "c": [5] * 50, "d": [5] * 20 + [2], "e": [2, 2, 2, 9],
              "f": [], "g": [0x0200, 0x0002, 0x0002, 0x0200, 7, 2]}
@@ -89,6 +91,15 @@ def test_a_file_is_dealt_over_tasks_and_stitched(spark, tmp_path, monkeypatch):
     assert result(token_files.token_counts(large)) == [("c", 0, 0, 1 << 30, True), ("c", 1, (1 << 30) + 1, 31, False)]
 
 
+def test_no_places_pass_a_window(spark, tmp_path):
+    rows = token_files.read_token_files(spark, write(tmp_path, a=[1, 2, 3] * 50))
+    plan = token_files.token_counts(rows, 2, block=8)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    windows = re.findall(r"\) Window\n(Input[^\n]*)\n", plan)
+    assert len(windows) >= 2 and not any(re.search(r"\b(seps|ends)#", w) for w in windows)
+    assert all("run#" in w for w in windows)
+
+
 def test_written_files_are_rolled(spark, tmp_path, monkeypatch):
     texts = prose(42, 300)
     docs = documents(spark, list(enumerate(texts))).coalesce(1)

@@ -7,8 +7,9 @@ of any size is spread; a range is cut into blocks of ``BLOCK`` ids.  Each block
 is searched for the separator with one vectorised comparison and reports only
 its size and the places of its separators.  A prefix scan over a file's blocks (running sums of ids and
 separators, running maximum of the last separator's place) gives every
-document its number and start, also where it spans blocks; the blocks of a
-file are numbered, so the scan orders a short summary, not the ids.
+document its number and start, also where it spans blocks.  It runs in two
+levels, within runs of ``RUN`` blocks and over the runs, and orders four
+numbers a block, neither ids nor places.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .common import stored
 
 #: ids per block
 BLOCK = 1 << 20
@@ -28,6 +30,8 @@ BLOCK = 1 << 20
 RANGE, ROW_BYTES, FILE_ROWS = 32 << 20, 1 << 20, 256
 #: bytes of ranges per task, about
 TASK_BYTES = 64 << 20
+#: block numbers whose sizes are summed together
+RUN = 4096
 
 
 def write_token_files(docs: DataFrame, path: str, model_file: str, text_col: str = "text", eod: int = 2) -> None:
@@ -144,14 +148,35 @@ def token_counts(files: DataFrame, eod: int = 2, dtype: str = "<u2", block: int
 
 
 def stitched(blocks: DataFrame) -> DataFrame:
-    """Documents of the blocks of each file, in the order of their numbers."""
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    at = blocks.withColumn("offset", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    at = at.withColumn("last_sep", F.col("offset") + F.array_max("seps"))
-    at = at.select("file", "block", "n_ids", "seps", "offset",
-                   F.coalesce(F.sum(F.size("seps")).over(before), F.lit(0)).alias("doc"),
-                   F.coalesce(F.max("last_sep").over(before) + 1, F.lit(0)).alias("open"),
-                   F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("final"))
+    """Documents of the blocks of each file, in the order of their numbers.
+
+    The blocks are written and read again.  The scan orders their sizes only,
+    in two levels: within runs of ``RUN`` block numbers, then over the runs of
+    a file; the separators meet the sums by block number."""
+    blocks = stored(blocks, "blocks")
+    at = blocks.select("file", "block", (F.col("block") - F.pmod("block", F.lit(RUN))).alias("run"), "n_ids",
+                       F.size("seps").cast("bigint").alias("n_seps"), F.array_max("seps").alias("last"))
+    own = Window.partitionBy("file", "run").orderBy("block")
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    at = at.withColumn("offset", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    at = at.withColumn("last", F.col("offset") + F.col("last"))
+    at = at.withColumns({"doc": F.coalesce(F.sum("n_seps").over(before), F.lit(0)),
+                         "open": F.max("last").over(before) + 1, "ends_run": F.lead("block").over(own).isNull()})
+    runs = at.groupBy("file", "run").agg(F.sum("n_ids").alias("ids"), F.sum("n_seps").alias("n_seps"),
+                                         F.max("last").alias("last"))
+    all_runs = Window.partitionBy("file").orderBy("run")
+    before = all_runs.rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("run_offset", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    runs = runs.withColumn("last", F.col("run_offset") + F.col("last"))
+    runs = runs.select("file", "run", "run_offset", F.coalesce(F.sum("n_seps").over(before), F.lit(0)).alias("run_doc"),
+                       F.coalesce(F.max("last").over(before) + 1, F.lit(0)).alias("run_open"),
+                       F.lead("run").over(all_runs).isNull().alias("ends_file"))
+    at = at.join(runs, ["file", "run"]).select(
+        "file", "block", (F.col("offset") + F.col("run_offset")).alias("offset"),
+        (F.col("doc") + F.col("run_doc")).alias("doc"),
+        F.coalesce(F.col("open") + F.col("run_offset"), F.col("run_open")).alias("open"),
+        (F.col("ends_run") & F.col("ends_file")).alias("final"))
+    at = blocks.join(at, ["file", "block"])
     # the end of the file closes what is left after its last separator
     at = at.withColumn("ends", F.when(F.col("final"), F.concat("seps", F.array("n_ids"))).otherwise(F.col("seps")))
     docs = at.select("file", "doc", "offset", "open", "seps", F.col("n_ids"), F.posexplode("ends").alias("i", "end"))
