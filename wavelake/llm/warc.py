@@ -18,9 +18,11 @@ import io
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ HEADERS = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
 CRLF = b"\r\n"
 #: capture date of responses made from a page table, which has none
 PAGE_DATE = "2024-01-01T00:00:00Z"
+#: bytes of blocks in one batch of records read, about
+BATCH = 16 << 20
 
 
 def digest(data: bytes) -> str:
@@ -50,32 +54,47 @@ def serialize(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + CRLF * 2 + block + CRLF * 2
 
 
+def _lines(f: io.BufferedIOBase) -> Iterator[bytes]:
+    """Lines up to a blank one; nothing if the file ends before it."""
+    lines = []
+    while (line := f.readline()) not in (b"", b"\r\n", b"\n"):
+        lines.append(line)
+    if line:
+        yield from lines
+
+
 def split_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """Headers and block of each record of a file, gzipped or not."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.find(CRLF * 2, at)
-        if end < 0:
-            return
-        headers = []
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            if line[:1] in (" ", "\t") and headers:  # continued line
-                headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
-            elif ":" in line:
-                k, _, v = line.partition(":")
-                headers.append((k.strip(), v.strip()))
-        size = next((int(v) for k, v in headers if k.lower() == "content-length" and v.isdigit()), 0)
-        yield headers, data[end + 4:end + 4 + size]
-        at = end + 4 + size
+    """Headers and block of each record of a file, gzipped or not; gzip
+    members are unpacked as they are read.  Of a file that is cut off or
+    damaged the records before that place come."""
+    raw = io.BytesIO(data)
+    f = gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
+    try:
+        while line := f.readline():
+            if not line.startswith(b"WARC/"):
+                continue
+            headers: list[tuple[str, str]] = []
+            for h in _lines(f):
+                h = h.decode("utf-8", "replace").rstrip("\r\n")
+                if h[:1] in (" ", "\t") and headers:  # continued line
+                    headers[-1] = (headers[-1][0], f"{headers[-1][1]} {h.strip()}")
+                elif ":" in h:
+                    k, _, v = h.partition(":")
+                    headers.append((k.strip(), v.strip()))
+            size = next((int(v) for k, v in headers if k.lower() == "content-length" and v.isdigit()), 0)
+            block = f.read(size)
+            if headers and len(block) == size:
+                yield headers, block
+    except (EOFError, gzip.BadGzipFile, zlib.error):
+        return
 
 
 def read_warc(files: DataFrame) -> DataFrame:
-    """Records of ``spark.read.format("binaryFile")`` rows."""
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [r for content in batch.column(0) for r in split_records(content.as_py() or b"")]
-        get = lambda h, name: next((v for k, v in h if k.lower() == name), None)
+    """Records of ``spark.read.format("binaryFile")`` rows, in batches of
+    about ``BATCH`` bytes."""
+    get = lambda h, name: next((v for k, v in h if k.lower() == name), None)
+
+    def batch_of(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([get(h, "warc-record-id") for h, _ in rows], pa.string()),
              pa.array([get(h, "warc-type") for h, _ in rows], pa.string()),
@@ -83,7 +102,20 @@ def read_warc(files: DataFrame) -> DataFrame:
              pa.array([[{"name": k, "value": v} for k, v in h] for h, _ in rows], HEADERS),
              pa.array([b for _, b in rows], pa.binary())],
             ["record_id", "warc_type", "target_uri", "headers", "block"])
-    return map_batches(files.select("content"), fn, RECORD)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                held, size = [], 0
+                for record in split_records(content.as_py() or b""):
+                    held.append(record)
+                    size += len(record[1])
+                    if size >= BATCH:
+                        yield batch_of(held)
+                        held, size = [], 0
+                if held:
+                    yield batch_of(held)
+    return files.select("content").mapInArrow(run, RECORD)
 
 
 def response_headers(url: str | None, payload: bytes, key: str, date: str) -> tuple[list[tuple[str, str]], bytes]:
@@ -121,9 +153,62 @@ def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0], [(k.strip(), v.strip()) for k, s, v in (x.partition(":") for x in lines[1:]) if s], payload
 
 
+def _field(http: list[tuple[str, str]], name: str) -> str:
+    """Values of a header, joined by commas, in lower case."""
+    return ",".join(v for k, v in http if k.lower() == name).lower()
+
+
+def _dechunked(payload: bytes) -> bytes:
+    """The payload without the framing of chunks; as it is where it has none
+    (some archives undo it and leave the header)."""
+    out, at = [], 0
+    while (end := payload.find(CRLF, at)) >= 0:
+        size = payload[at:end].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", size):
+            break
+        if not int(size, 16):
+            return b"".join(out)
+        out.append(payload[end + 2:end + 2 + int(size, 16)])
+        at = end + 2 + int(size, 16) + 2
+    return b"".join(out) if out else payload
+
+
+def _inflated(payload: bytes, wbits: int) -> bytes:
+    """As much as can be unpacked, member by member."""
+    out = []
+    while payload:
+        one = zlib.decompressobj(wbits)
+        try:
+            out.append(one.decompress(payload))
+        except zlib.error:
+            if wbits == zlib.MAX_WBITS and not out:  # deflate without its header, as some servers send it
+                return _inflated(payload, -zlib.MAX_WBITS)
+            break
+        payload = one.unused_data
+    return b"".join(out)
+
+
+def _decoded(payload: bytes, http: list[tuple[str, str]]) -> tuple[bytes, bytes]:
+    """The payload without its transfer encoding, and that without its
+    content encodings (gzip, deflate and zstd; what is named otherwise, or
+    can't be unpacked, stays as it is)."""
+    entity = _dechunked(payload) if "chunked" in _field(http, "transfer-encoding") else payload
+    body = entity
+    for name in reversed([c.strip() for c in _field(http, "content-encoding").split(",")]):
+        if name in ("gzip", "x-gzip"):
+            body = _inflated(body, zlib.MAX_WBITS | 16) or body
+        elif name == "deflate":
+            body = _inflated(body, zlib.MAX_WBITS) or body
+        elif name == "zstd":
+            try:
+                body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+            except zstandard.ZstdError:
+                return entity, body
+    return entity, body
+
+
 def _text(payload: bytes, http: list[tuple[str, str]]) -> str:
-    kind = next((v for k, v in http if k.lower() == "content-type"), "")
-    found = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I)
+    found = re.search(r"charset=[\"']?([\w.:-]+)", _field(http, "content-type"))
     try:
         return payload.decode(found[1] if found else "utf-8", "replace")
     except LookupError:  # an encoding nobody knows
@@ -134,11 +219,15 @@ TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.I | re.S)
 
 
 def derive(headers: list[tuple[str, str]], block: bytes) -> list[tuple[str, str, list[tuple[str, str]], bytes, dict]]:
-    """(record id, type, headers, block, facts) of the two derived records."""
+    """(record id, type, headers, block, facts) of the two derived records.
+    A response without an id refers to none; its records are named by its
+    target, date and block."""
     own = {k.lower(): v for k, v in headers}
     source, uri = own.get("warc-record-id", ""), own.get("warc-target-uri", "")
+    name = source or f"{uri} {own.get('warc-date', '')} {digest(block)}"
     status, http, payload = _http(block)
-    text = _text(payload, http)
+    payload, body = _decoded(payload, http)
+    text = _text(body, http)
     page = parse(text)
     title = TITLE.search(text)
     payload_digest = own.get("warc-payload-digest") or digest(payload)
@@ -153,7 +242,7 @@ def derive(headers: list[tuple[str, str]], block: bytes) -> list[tuple[str, str,
     for kind, mime, body in (
             ("metadata", "application/json", json.dumps(described, ensure_ascii=False).encode("utf-8", "replace")),
             ("conversion", "text/plain; charset=utf-8", plain.encode("utf-8", "replace"))):
-        record_id = derived_id(kind, source)
+        record_id = derived_id(kind, name)
         h = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Refers-To", source),
              ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", own.get("warc-date", "")),
              ("WARC-Target-URI", uri), ("WARC-Date", own.get("warc-date", "")), ("WARC-Block-Digest", digest(body)),
