@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import values
 
-#: bytes that the memo of a task may take, about; a full memo is emptied, which changes no result
-MEMO_BYTES = 100 << 20
+#: bytes that the memo of a task may take, about, in two halves: when the one in use is full, the other is forgotten and
+#: what is still met in the full one moves on, which changes no result
+MEMO_BYTES = 128 << 20
 #: bytes of an entry besides its piece, bytes for each character of it, and characters beyond which it isn't kept
-ENTRY, ENTRY_CHAR, LONG_PIECE = 400, 10, 1000
+ENTRY, ENTRY_CHAR, LONG_PIECE = 300, 8, 1000
 #: characters of text whose pieces are held at once
 GROUP = 1_000_000
 #: fragments of more bytes are merged one by one
@@ -75,6 +76,7 @@ class Codec:
                                         + ")") if self.special else None
         #: decimal ids, number of ids and decoded bytes by piece of text
         self.pieces: dict[str, tuple[str, int, bytes]] = {}
+        self.old: dict[str, tuple[str, int, bytes]] = {}
         ids = vocabulary["ids"]
         self.byte_id = np.array([ids[bytes([b])] for b in range(256)], np.int64)
         self.inside = np.zeros(65536, bool)
@@ -211,9 +213,12 @@ class Codec:
             else:
                 cut.append(self.split(t))
         every, codes = set().union(*cut), self.pieces
-        new = self.learn(every.difference(codes, self.special))
+        lacking = every.difference(codes, self.special)
+        new = {p: self.old[p] for p in lacking.intersection(self.old)}
+        new.update(self.learn(lacking.difference(new)))
         grown = sum([ENTRY + ENTRY_CHAR * len(p) for p in new])
-        if self.used + grown > self.memo_bytes:
+        if self.used + grown > self.memo_bytes // 2:
+            self.old = codes
             codes = self.pieces = {p: codes[p] for p in every.intersection(codes).difference(self.special)}
             self.used = sum([ENTRY + ENTRY_CHAR * len(p) for p in codes])
         self.used += grown
