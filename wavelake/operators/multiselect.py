@@ -6,15 +6,16 @@ option metadata.  The metadata has one row per option column of the header,
 known when the plan is built.  A respondent who selected nothing in a block
 yields no row (inner semantics).
 
-De-duplication needs no text: ``distinct_flags`` numbers the options so that
-the number is the dedupe order, groups by (wave, id, item code) with a
-``min`` of that integer (a hash aggregate over integers) and joins the labels
-to what is left.
+De-duplication needs no text and no long rows: ``distinct_flags`` gives every
+form row bit masks of its ticked options.  The masks of a respondent are
+joined by ``bit_or`` in a hash aggregate, so that one row per form is shuffled
+and held, however many options it ticks; the kept options are laid out
+afterwards by a join with the broadcast option table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,32 +84,81 @@ def flags_to_long(df: DataFrame, id_col: str, wave: int | str | Column, options:
     return long.join(meta, "_slot").select(id_name, wave_name, *columns)
 
 
+#: columns of a form that are tested together, and groups of them in one mask,
+#: which stays positive as a long
+TOGETHER, GROUPS = 8, 7
+
+
+def _masks_of(places: Iterable[int], words: int) -> list[int]:
+    """Masks that hold the bits of these places."""
+    out = [0] * words
+    for n in places:
+        out[n // (TOGETHER * GROUPS)] |= 1 << (n % (TOGETHER * GROUPS))
+    return out
+
+
+def row_masks(df: DataFrame, id_col: str, wave: int | str | Column, headers: Sequence[str], first: int, words: int,
+              id_name: str, wave_name: str, blank_as_null: bool) -> DataFrame:
+    """(id, wave, _m0, _m1, ...): the ticked columns of rows with an id as
+    bits, at ``first`` (a multiple of ``TOGETHER``) and the places after it.
+
+    A row is laid out in groups of columns, so that the code that tests cells
+    is as long as one group whatever the width of the form: the JVM never
+    compiles a method that tests a whole wide form."""
+    df, wave_sql = _with_wave_sql(df, wave)
+    base = df.selectExpr(
+        f"{_id_sql(id_col, blank_as_null)} AS {ident(id_name)}", f"{wave_sql} AS {ident(wave_name)}",
+        *[f"CAST({ident(h)} AS STRING) AS _f{i}" for i, h in enumerate(headers)])
+    cells = [f"_f{i}" for i in range(len(headers))] + ["CAST(NULL AS STRING)"] * (-len(headers) % TOGETHER)
+    groups = [", ".join([str((first + i) // TOGETHER), *cells[i:i + TOGETHER]]) for i in range(0, len(cells), TOGETHER)]
+    names = ["_group", *[f"_v{i}" for i in range(TOGETHER)]]
+    bits = " | ".join(f"CASE WHEN {is_selected_sql(f'_v{i}')} THEN {1 << i}L ELSE 0L END" for i in range(TOGETHER))
+    own = [ident(id_name), ident(wave_name)]
+    return (base.filter(f"{ident(id_name)} IS NOT NULL")
+            .selectExpr(*own, f"stack({len(groups)}, {', '.join(groups)}) AS ({', '.join(names)})")
+            .selectExpr(*own, "_group", f"{bits} AS _bits")
+            .selectExpr(*own, *[f"CASE WHEN _group DIV {GROUPS} = {w} THEN shiftleft(_bits, _group % {GROUPS} * {TOGETHER}) "
+                                f"ELSE 0L END AS _m{w}" for w in range(words)]))
+
+
 def distinct_flags(parts: Sequence[tuple[DataFrame, str, int | str | Column, Sequence[Option]]],
                    columns: Sequence[str], keys: Sequence[str], order: Sequence[str], id_name: str = "entity_id",
                    wave_name: str = "wave", blank_as_null: bool = True) -> DataFrame:
     """``flags_to_long`` of several editions (frame, id column, wave, options),
     united and de-duplicated on (wave, id, *keys): of the options that name
     one item the first by ``order`` and then the other columns stays."""
-    if not any(options for *_, options in parts):
-        raise ValueError("no option columns")
     rest = [c for c in columns if c not in keys and c not in order]
 
-    def place(option: Option) -> list[tuple[bool, bytes]]:  # as Spark orders: NULL first, then by bytes
+    def rank(option: Option) -> list[tuple[bool, bytes]]:  # as Spark orders: NULL first, then by bytes
         return [(v is not None, (v or "").encode()) for v in (option.values.get(c) for c in [*order, *rest, *keys])]
-    every = sorted((o for *_, options in parts for o in options), key=place)
-    number: dict[int, int] = {id(o): i for i, o in enumerate(every)}
-    codes: dict[tuple, int] = {}
-    code = [codes.setdefault(tuple(o.values.get(k) for k in keys), len(codes)) for o in every]
-    rows = []
-    for df, id_col, wave, options in parts:
-        if options:
-            headers = {number[id(o)]: o.header for o in options}
-            rows.append(unpivot_slots(df, id_col, wave, headers, id_name, wave_name, blank_as_null).filter(
-                is_selected_sql("_v")).drop("_v"))
-    item = F.get(F.lit(code), F.col("_slot")).alias("_code")
-    kept = union_waves(rows).groupBy(id_name, wave_name, item).agg(F.min("_slot").alias("_slot"))
-    meta = F.broadcast(options_frame(parts[0][0].sparkSession, every, columns))
-    return kept.join(meta, "_slot").select(id_name, wave_name, *columns)
+    placed, first = [], []  # (place, option) of all; place of every edition's first
+    end = 0
+    for *_, options in parts:
+        first.append(end)
+        placed += enumerate(options, end)
+        end += -(-len(options) // TOGETHER) * TOGETHER
+    if not placed:
+        raise ValueError("no option columns")
+    words = -(-end // (TOGETHER * GROUPS))
+    rows = [row_masks(df, id_col, wave, [o.header for o in options], at, words, id_name, wave_name, blank_as_null)
+            for (df, id_col, wave, options), at in zip(parts, first) if options]
+    forms = union_waves(rows).groupBy(id_name, wave_name).agg(*[F.bit_or(f"_m{w}").alias(f"_m{w}")
+                                                                for w in range(words)])
+    # an option is kept where it is ticked and no earlier one of its item is
+    earlier: dict[tuple, list[int]] = {}
+    found = []
+    for n, option in sorted(placed, key=lambda x: rank(x[1])):
+        same = earlier.setdefault(tuple(option.values.get(k) for k in keys), [])
+        found.append((*_masks_of([n], words), *_masks_of(same, words), *[option.values.get(c) for c in columns]))
+        same.append(n)
+    schema = T.StructType([T.StructField(f"{part}{w}", T.LongType(), False) for part in ("_own", "_earlier")
+                           for w in range(words)] + [T.StructField(c, T.StringType(), True) for c in columns])
+    meta = F.broadcast(parts[0][0].sparkSession.createDataFrame(found, schema))
+
+    def any_of(part: str) -> str:
+        return " OR ".join(f"(_m{w} & {part}{w}) <> 0" for w in range(words))
+    return (forms.join(meta, F.expr(f"({any_of('_own')}) AND NOT ({any_of('_earlier')})"))
+            .select(id_name, wave_name, *columns))
 
 
 # --- option builders (plan time, from the header only) ---------------------

@@ -324,7 +324,7 @@ def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> Da
 
 def _flag_sql(key: str) -> str:
     mask, i = _option_bits()[key]
-    return f"COALESCE(shiftright({mask}, {i}) & 1, 0) = 1"
+    return f"({mask} & {1 << i}L) <> 0"  # no lines, no mask: not ticked
 
 
 def _flag_text(edition: str, key: str) -> str:
