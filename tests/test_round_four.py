@@ -1,10 +1,16 @@
 """Operators whose rows must not multiply before a shuffle."""
 
+import itertools
 import random
 
+from pyspark.sql import functions as F
+
+from wavelake.operators import metrics
 from wavelake.operators.dedupe import dedupe
 from wavelake.operators.harmonize import union_waves
 from wavelake.operators.multiselect import Option, distinct_flags, flags_to_long
+from wavelake.plans import gold
+from wavelake.plans import queries as Q
 
 
 def _plan(df):
@@ -56,3 +62,25 @@ def test_one_row_per_form_is_shuffled(spark):
     assert plan.count("Exchange hashpartitioning(") == 1 and "Expand" not in plan
     exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(" in line)
     assert exchange.split("hashpartitioning(")[1].count("#") == 2  # id and wave, no item
+
+
+def test_shares_of_unique_items_equal_those_of_distinct_ids(spark):
+    rng = random.Random(3)
+    every = list(itertools.product([1, 2, None], ["a", "b", None], ["x", "y", "z"], [None, *range(12)]))
+    rows = [(w, c, i, "item" if i != "z" else "none", k) for w, c, i, k in rng.sample(every, len(every) // 2)]
+    df = spark.createDataFrame(rows, "wave int, category string, item string, kind string, id int")
+    for bounded in (True, False):
+        def share(unique):
+            return metrics.distinct_share(df, ["wave", "category"], ["item", "kind"], "id", rank_name="rank",
+                                          numerator=F.col("kind") == "item", unique_items=unique, bounded=bounded)
+        assert _rows(share(True)) == _rows(share(False)) != []
+
+
+def test_shares_multiply_no_rows_and_deal_no_id_again(spark):
+    selections = distinct_flags(_forms(spark), COLUMNS, KEYS, ORDER).select(
+        "*", F.lit("item").alias("item_type"), F.lit("same").alias("comparability"))
+    plan = _plan(gold.technologies(Q.Q, selections))
+    assert "Expand" not in plan
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # ids are counted where the forms were put together
+    assert all(keys.startswith("entity_id") for keys in dealt if "entity_id" in keys)

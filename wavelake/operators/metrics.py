@@ -14,6 +14,9 @@ combined map-side and never lands whole on one task.
 Where an id stands at most once per (outer) already (``unique_ids``), a plain
 ``count(id)`` per detail group is enough and the denominator is the sum of
 the group counts: the shuffle carries one row per group and task, no id.
+Where it stands at most once per (outer, inner) (``unique_items``), as after
+the dedupe of a long table, the numerator is a plain count as well and only
+(outer, id) is made distinct, for the denominator.
 """
 
 from __future__ import annotations
@@ -83,12 +86,13 @@ def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id
                    count_name: str = "count", total_name: str = "total", pct_name: str = "percent",
                    numerator: Column | None = None, rank_name: str | None = None,
                    rank_order: Sequence[Column] | None = None, unique_ids: bool = False,
-                   stored: Stored | None = None, bounded: bool = False) -> DataFrame:
+                   unique_items: bool = False, stored: Stored | None = None, bounded: bool = False) -> DataFrame:
     """Per (outer, inner): distinct ids (numerator rows only), distinct ids of
     all rows of (outer) as the base, the percentage and optionally a
     ``row_number`` rank within (outer).  ``unique_ids`` states that no id
-    occurs twice in (outer); ``stored`` and ``bounded`` say how ranks are made
-    (see ``row_numbers``).  They change the plan, not the result."""
+    occurs twice in (outer), ``unique_items`` that none does in (outer,
+    inner); ``stored`` and ``bounded`` say how ranks are made (see
+    ``row_numbers``).  They change the plan, not the result."""
     outer, inner = list(outer), list(inner)
     flag = (numerator if numerator is not None else F.lit(True)).alias("_num")
     base = df.select(*[_c(c) for c in outer + inner], _c(id_col).alias("_id"), flag)
@@ -96,9 +100,14 @@ def distinct_share(df: DataFrame, outer: Sequence[str], inner: Sequence[str], id
     if unique_ids:
         agg = base.groupBy(*keys).agg(F.count("_id").alias(count_name))
         wanted, total = F.col("_num"), (total_name, F.sum(count_name), F.sum)
+    elif unique_items:
+        agg = base.groupBy(*keys).agg(F.count("_id").alias(count_name)).withColumn("_g", F.lit(0)).unionByName(
+            base.groupBy(*outer).agg(F.count_distinct("_id").alias(count_name)).withColumn("_g", F.lit(1)),
+            allowMissingColumns=True)
     else:
         agg = (base.groupingSets([keys, outer], *keys)
                .agg(F.count_distinct("_id").alias(count_name), F.grouping_id().alias("_g")))
+    if not unique_ids:
         wanted = (F.col("_g") == 0) & F.col("_num")
         total = (total_name, F.max(F.when(F.col("_g") != 0, F.col(count_name))), F.max)
     if rank_name:
@@ -166,24 +175,26 @@ def band_distribution(df: DataFrame, wave: str, id_col: str, band_col: str, dims
 
 def adoption_share(df: DataFrame, wave: str, id_col: str, category: str, item: str, extra: Sequence[str],
                    numerator: Column, *, count_name: str = "adopters", total_name: str = "category_base",
-                   pct_name: str = "adoption_percent", rank_name: str = "rank") -> DataFrame:
+                   pct_name: str = "adoption_percent", rank_name: str = "rank",
+                   unique_items: bool = False) -> DataFrame:
     """Adopters of each item over everyone who answered the category (any
     option, including 'none'-type ones that are not counted as adoption)."""
     return distinct_share(df, [wave, category], [item, *extra], id_col, count_name=count_name,
                           total_name=total_name, pct_name=pct_name, numerator=numerator,
                           rank_name=rank_name, rank_order=[F.desc(count_name), F.asc(item)],
-                          bounded=True)  # the items are columns of the form
+                          unique_items=unique_items, bounded=True)  # the items are columns of the form
 
 
 def answer_share(df: DataFrame, wave: str, id_col: str, dimension: str, answer: str, extra: Sequence[str], *,
                  single_choice: Column, count_name: str = "respondents", total_name: str = "dimension_base",
                  pct_name: str = "percent", rank_name: str = "rank",
-                 sums_name: str = "percents_sum_to_100", stored: Stored | None = None) -> DataFrame:
+                 sums_name: str = "percents_sum_to_100", unique_items: bool = False,
+                 stored: Stored | None = None) -> DataFrame:
     """Answer shares per dimension; for multi-select dimensions percentages do
     not sum to 100, which ``sums_name`` states per row."""
     out = distinct_share(df, [wave, dimension], [answer, *extra], id_col, count_name=count_name,
                          total_name=total_name, pct_name=pct_name, rank_name=rank_name,
-                         rank_order=[F.desc(count_name), F.asc(answer)], stored=stored)
+                         rank_order=[F.desc(count_name), F.asc(answer)], unique_items=unique_items, stored=stored)
     return out.withColumn(sums_name, F.coalesce(single_choice, F.lit(False)))
 
 

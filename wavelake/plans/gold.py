@@ -1,7 +1,8 @@
 """Silver -> the four indicator (gold) tables.
 
 Entities come de-duplicated, so an id counts once per wave without a distinct
-(``unique_ids``); selections and answers hold an id once per item."""
+(``unique_ids``); selections and answers hold an id once per item
+(``unique_items``)."""
 
 from __future__ import annotations
 
@@ -25,7 +26,7 @@ def pay(q: Questionnaire, entities: DataFrame, dims=None, overall=True) -> DataF
 
 def technologies(q: Questionnaire, selections: DataFrame) -> DataFrame:
     out = metrics.adoption_share(selections, q.wave_name, q.id_name, "category", "item", ["comparability"],
-                                 numerator=F.col("item_type") == q.item_class)
+                                 numerator=F.col("item_type") == q.item_class, unique_items=True)
     return out.select(q.wave_name, "category", "item", "adopters", "category_base", "adoption_percent",
                       "rank", "comparability")
 
@@ -33,6 +34,7 @@ def technologies(q: Questionnaire, selections: DataFrame) -> DataFrame:
 def answers(q: Questionnaire, answers_df: DataFrame, stored: metrics.Stored | None = None) -> DataFrame:
     out = metrics.answer_share(answers_df, q.wave_name, q.id_name, "dimension", "answer",
                                ["answer_type", "comparability"],
-                               single_choice=F.col("answer_type") == q.single_choice, stored=stored)
+                               single_choice=F.col("answer_type") == q.single_choice, unique_items=True,
+                               stored=stored)
     return out.select(q.wave_name, "dimension", "answer", "respondents", "dimension_base", "percent", "rank",
                       "answer_type", "percents_sum_to_100", "comparability")
