@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from wavelake.operators import metrics
+from wavelake.operators import metrics, quality
 from wavelake.operators.dedupe import dedupe
 from wavelake.operators.harmonize import union_waves
 from wavelake.operators.multiselect import Option, distinct_flags, flags_to_long
@@ -84,3 +84,29 @@ def test_shares_multiply_no_rows_and_deal_no_id_again(spark):
     dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     # ids are counted where the forms were put together
     assert all(keys.startswith("entity_id") for keys in dealt if "entity_id" in keys)
+
+
+def test_difference_counts_copies(spark):
+    rng = random.Random(5)
+    values = [(None, "a"), (1, None), (1, "a"), (2, "b")]
+    a = spark.createDataFrame([rng.choice(values) for _ in range(200)], "`k.1` int, v string")
+    b = spark.createDataFrame([rng.choice(values) for _ in range(150)], "`k.1` int, v string")
+    expected = a.exceptAll(b).unionByName(b.exceptAll(a))
+    assert _rows(quality.difference(a, b)) == _rows(expected) != []
+    many = spark.range(150_000).select(F.lit(None).cast("int").alias("k.1"), F.lit("m").alias("v"))
+    assert quality.difference(many, a.filter("false")).count() == 150_000  # more than are laid out at once
+
+
+def test_second_dedupe_reads_and_deals_the_table_once(spark, monkeypatch):
+    rows = [(f"p{i % 50}", "c", f"i{i % 3}", f"o{i % 4}", "t", "q", "y", 2000) for i in range(600)]
+    names = "entity_id string, category string, item string, item_original string, item_type string, " \
+            "question string, comparability string, wave int"
+    table = spark.createDataFrame(rows, names)
+    monkeypatch.setattr(Q, "stored_table", lambda *_: table)
+    twice = dedupe(table, ["wave", "entity_id", "category", "item"], order=["item_original"])
+    found = Q.dedupe_is_idempotent(spark, "any")
+    plan = _plan(found)
+    assert plan.count("Exchange") == 2 and len(set(
+        line.split("hashpartitioning(")[1].split("REPARTITION")[0].count("#") for line in plan.splitlines()
+        if "Exchange hashpartitioning(" in line)) == 1  # the same one in both branches
+    assert _rows(found) == _rows(table.exceptAll(twice)) != []

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import safe_col
 from ..sources.versions import NULL_PARTITION, Table
 from .harmonize import union_waves
 
@@ -40,6 +41,22 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+#: copies of a row that are laid out at once
+_AT_ONCE = 1 << 16
+
+
+def difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of either frame that the other lacks, as often as it lacks them:
+    ``a EXCEPT ALL b`` and ``b EXCEPT ALL a`` together, by one aggregate over
+    both.  Where both are partitioned by some of their columns already, no row
+    moves."""
+    signed = a.select("*", F.lit(1).alias("_n")).unionByName(b.select("*", F.lit(-1).alias("_n")))
+    found = signed.groupBy(*[safe_col(c) for c in a.columns]).agg(F.abs(F.sum("_n")).alias("_n")).filter("_n > 0")
+    found = found.withColumn("_k", F.explode(F.expr(f"sequence(0L, (_n - 1) DIV {_AT_ONCE})")))
+    found = found.withColumn("_k", F.explode(F.expr(f"sequence(1L, least({_AT_ONCE}L, _n - _k * {_AT_ONCE}))")))
+    return found.select(*[safe_col(c) for c in a.columns])
+
+
 def schema_check(df: DataFrame, expected: Sequence[tuple[str, str]]) -> DataFrame:
     """Differences between ``df``'s schema and the expected (name, type)
     list, as rows (column, expected_type, actual_type, problem); empty when

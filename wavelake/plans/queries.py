@@ -315,9 +315,12 @@ def quality_answer_distribution(spark, sf):
 
 
 def dedupe_is_idempotent(spark, sf):
-    once = stored_table(spark, sf, "selections")
-    twice = dedupe(once, ["wave", "entity_id", "category", "item"], order=["item_original"])
-    return twice.exceptAll(once).unionByName(once.exceptAll(twice))
+    # dealt by respondent once, for the dedupe and for the comparison, and by a
+    # fixed number: by bytes few tasks would get the many rows that pack well
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    once = stored_table(spark, sf, "selections").repartition(tasks, "entity_id", "wave")
+    twice = dedupe(once, ["entity_id", "wave", "category", "item"], order=["item_original"])
+    return quality.difference(twice, once)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -33,7 +33,8 @@ def entities(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: boo
     out = union_waves(parts)
     if not deduplicate:
         return out
-    return dedupe(out, [q.wave_name, q.id_name], order=list(q.dedupe_order), nulls_last=q.dedupe_nulls_last)
+    # the id first: it tells most rows apart where the aggregate sorts
+    return dedupe(out, [q.id_name, q.wave_name], order=list(q.dedupe_order), nulls_last=q.dedupe_nulls_last)
 
 
 def selection_options(q: Questionnaire, edition, columns):
@@ -79,7 +80,7 @@ def answers(q: Questionnaire, bronze: Mapping[str, DataFrame], deduplicate: bool
     if not deduplicate:
         return union_waves([answers_long(df, e.id_header, e.wave, cats, flags, ANSWER_COLUMNS, **names)
                             for e, df, cats, flags in inputs])
-    keys, found = [q.wave_name, q.id_name, *ANSWER_KEYS], []
+    keys, found = [q.id_name, q.wave_name, *ANSWER_KEYS], []
     texts = [answers_long(df, e.id_header, e.wave, cats, [], ANSWER_COLUMNS, **names)
              for e, df, cats, _ in inputs if cats]
     if texts:
