@@ -5,7 +5,7 @@
 * answers:    one row per (wave, entity, dimension, answer)-- categorical + coded
 
 Editions are unioned by name and de-duplicated once on the table key (one
-shuffle).  Option rows are de-duplicated as integer codes and get their labels
+shuffle).  Ticked options are de-duplicated as bit masks and get their labels
 afterwards; single-choice answers, whose text decides, as text.
 """
 
