@@ -195,26 +195,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag",
-                                                 "l_linestatus", "l_discount")
-    part = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
-    words = F.split(F.col("p_name"), " ")
-    brand_no = F.regexp_extract("p_brand", r"#(\d+)$", 1).try_cast("int")
-    return li.join(part, li.l_partkey == part.p_partkey, "left").select(
-        "l_orderkey",
-        F.when(F.col("p_type").isin(PART_TYPES), F.col("p_type")).otherwise(F.lit("OTHER")).alias("f_type"),
-        F.when(words[1].isin(PART_ITEMS), words[1]).otherwise(F.lit(OTHER)).alias("f_item"),
-        F.when(words[0].isin(PART_COLORS), words[0]).otherwise(F.lit(OTHER)).alias("f_color"),
-        F.when(F.col("l_returnflag").isin(list(RETURN_LABELS)), F.col("l_returnflag"))
-         .otherwise(F.lit("?")).alias("f_return"),
-        F.when(brand_no.between(1, N_BRANDS), brand_no).otherwise(F.lit(N_BRANDS + 1)).alias("f_brand"),
-        F.col("l_linestatus").alias("f_status"),
-        F.when(F.col("l_discount") <= 0.0, 1).when(F.col("l_discount") < 0.035, 2)
-         .when(F.col("l_discount") < 0.075, 3).otherwise(4).alias("f_discount"),
-    )
-
-
 def _option_bits() -> dict[str, tuple[str, int]]:
     """Every 0/1 option of the virtual form -> (mask column, bit).  Two long
     masks hold all options; a line sets the bits of its options.  The option
@@ -229,33 +209,47 @@ def _option_bits() -> dict[str, tuple[str, int]]:
     return bits
 
 
-def _line_masks(lines: DataFrame) -> DataFrame:
-    """Per line, the two option bitmasks (pure expressions)."""
-    def bit(i: int) -> Column:
-        return F.shiftleft(F.lit(1).cast("long"), i)
-    bits = _option_bits()
+def _bit_of(col: Column, values, prefix: str) -> Column:
+    """The bit of the option ``prefix_i`` whose value ``col`` has; of the one
+    after the last, which is "other", for any other value or NULL."""
+    bits = [1 << _option_bits()[f"{prefix}_{i}"][1] for i in range(len(values) + 1)]
+    out = F
+    for v, bit in zip(values, bits):
+        out = out.when(col == v, F.lit(bit).cast("long"))
+    return out.otherwise(F.lit(bits[-1]).cast("long"))
+
 
-    def index_of(values, col, keys):
-        out = F.lit(0).cast("long")
-        for v, k in zip(values, keys):
-            out = F.when(col == v, bit(bits[k][1])).otherwise(out)
-        return out
-
-    def numbered(prefix, n):
-        return [f"{prefix}_{i}" for i in range(n)]
-    parts = [index_of(PART_TYPES + ["OTHER"], F.col("f_type"), numbered("type", len(PART_TYPES) + 1)),
-             index_of(PART_ITEMS + [OTHER], F.col("f_item"), numbered("item", len(PART_ITEMS) + 1)),
-             index_of(PART_COLORS + [OTHER], F.col("f_color"), numbered("color", len(PART_COLORS) + 1)),
-             index_of(list(RETURN_LABELS) + ["?"], F.col("f_return"), numbered("return", len(RETURN_LABELS) + 1)),
-             index_of(list(DISCOUNT_LEVELS), F.col("f_discount"), [f"discount_{n}" for n in DISCOUNT_LEVELS])]
-    mask_a = parts[0]
-    for p in parts[1:]:
-        mask_a = mask_a.bitwiseOR(p)
+def _part_masks(part: DataFrame) -> DataFrame:
+    """Per part, the bits of its type, item and colour, and its brand number:
+    the text of a part is taken apart once and not for each of its lines."""
+    words = F.split(F.col("p_name"), " ")
+    brand_no = F.regexp_extract("p_brand", r"#(\d+)$", 1).try_cast("int")
+    mask = (_bit_of(F.col("p_type"), PART_TYPES, "type")
+            .bitwiseOR(_bit_of(F.get(words, F.lit(1)), PART_ITEMS, "item"))
+            .bitwiseOR(_bit_of(F.get(words, F.lit(0)), PART_COLORS, "color")))
+    return part.select("p_partkey", mask.alias("part_mask"),
+                       F.when(brand_no.between(1, N_BRANDS), brand_no).otherwise(F.lit(N_BRANDS + 1)).alias("brand"))
+
+
+def _line_masks(li: DataFrame, part: DataFrame) -> DataFrame:
+    """Per line, the two option bitmasks (pure expressions); what the line
+    itself says is a mask before the join, so that no text is shuffled."""
+    bits = _option_bits()
+    level = {n: F.lit(1 << bits[f"discount_{n}"][1]).cast("long") for n in DISCOUNT_LEVELS}
+    discount = (F.when(F.col("l_discount") <= 0.0, level[1]).when(F.col("l_discount") < 0.035, level[2])
+                .when(F.col("l_discount") < 0.075, level[3]).otherwise(level[4]))
+    own = _bit_of(F.col("l_returnflag"), RETURN_LABELS, "return").bitwiseOR(discount)
     first_o = bits["brand_o_1"][1]
-    brand_shift = F.col("f_brand") - F.lit(1) + F.when(F.col("f_status") == "F", F.lit(0)) \
-        .when(F.col("f_status").isNotNull(), F.lit(first_o))
-    mask_b = F.coalesce(F.call_function("shiftleft", F.lit(1).cast("long"), brand_shift), F.lit(0).cast("long"))
-    return lines.select("l_orderkey", mask_a.alias("mask_a"), mask_b.alias("mask_b"))
+    block = F.when(F.col("l_linestatus") == "F", F.lit(0)).when(F.col("l_linestatus").isNotNull(), F.lit(first_o))
+    lines = li.select("l_orderkey", "l_partkey", own.alias("own"), block.alias("block"))
+    joined = lines.join(_part_masks(part), F.col("l_partkey") == F.col("p_partkey"), "left")
+    # a line without a part has the "other" options
+    no_part = sum(1 << bits[k][1] for k in (f"type_{len(PART_TYPES)}", f"item_{len(PART_ITEMS)}",
+                                            f"color_{len(PART_COLORS)}"))
+    mask_a = F.col("own").bitwiseOR(F.coalesce("part_mask", F.lit(no_part).cast("long")))
+    shift = F.coalesce("brand", F.lit(N_BRANDS + 1)) - F.lit(1) + F.col("block")
+    mask_b = F.coalesce(F.call_function("shiftleft", F.lit(1).cast("long"), shift), F.lit(0).cast("long"))
+    return joined.select("l_orderkey", mask_a.alias("mask_a"), mask_b.alias("mask_b"))
 
 
 def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> DataFrame:
@@ -277,7 +271,9 @@ def base_responses(spark: SparkSession, sf_dir: str, with_flags: bool = True) ->
         return base
     # two bit_or aggregates per order instead of one aggregate per option;
     # partial aggregation runs map-side, the shuffle is on the order key
-    flags = _line_masks(_line_features(spark, sf_dir)).groupBy("l_orderkey").agg(
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_discount")
+    part = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
+    flags = _line_masks(li, part).groupBy("l_orderkey").agg(
         F.bit_or("mask_a").alias("mask_a"), F.bit_or("mask_b").alias("mask_b"))
     return base.join(flags, base.o_orderkey == flags.l_orderkey, "left").drop("l_orderkey")
 
@@ -324,7 +320,7 @@ def stored_base(spark: SparkSession, sf_dir: str, with_flags: bool = True) -> Da
 
 def _flag_sql(key: str) -> str:
     mask, i = _option_bits()[key]
-    return f"({mask} & {1 << i}L) <> 0"  # no lines, no mask: not ticked
+    return f"({mask} & {1 << i}L) <> 0"
 
 
 def _flag_text(edition: str, key: str) -> str:
@@ -332,7 +328,7 @@ def _flag_text(edition: str, key: str) -> str:
     if key == "type_twice":  # ticked as well by some of those who ticked the first spelling
         on += " AND o_orderkey % 3 = 0"
     yes, no = {E1: ("'1'", "'0'"), E2: ("'1.0'", "'0.0'")}.get(edition, ("'1'", "''"))
-    return f"CASE WHEN {on} THEN {yes} ELSE {no} END"
+    return f"IF({on}, {yes}, {no})"
 
 
 def _age_text(edition: str) -> str:
@@ -370,7 +366,13 @@ def edition_filter_sql(edition: str) -> str:
 
 def bronze_edition(base: DataFrame, edition: str, parts: tuple[str, ...] = ("profile", "flags")) -> DataFrame:
     """The wide, all-string layout of one edition (its waves only), built as
-    one projection of the response base."""
+    one projection of the response base.
+
+    No lines, no mask: nothing is ticked.  Masks without NULL keep the code
+    that writes a cell short; the JVM does not compile a method of over 8,000
+    bytes, and the coded blocks make one of all their cells."""
+    masks = [c for c in ("mask_a", "mask_b") if c in base.columns]
+    base = base.withColumns({m: F.coalesce(m, F.lit(0).cast("long")) for m in masks})
     pm = _profile_map(edition)
     cols = ["CASE WHEN o_orderkey % 97 = 1 THEN NULL WHEN o_orderkey % 97 = 2 THEN '  ' "
             f"ELSE CAST(o_custkey AS STRING) END AS {ident(_id_header(edition))}",
